@@ -15,8 +15,14 @@ from pyspark.sql import types as T
 
 from .. import fixtures as fx
 from .. import schemas as S
+from ..functions import ids
+from ..functions import json_check as jc
+from ..operators import aggregates as agg
+from ..operators import clean
 from ..operators import forecast as fc
-from ..operators.moving_average import moving_average
+from ..operators import merge as mg
+from ..operators import quality as qual
+from ..operators.moving_average import latest_per_key, moving_average
 from ..session import ensure_session_conf
 from . import gold
 from . import sql as Q
@@ -148,3 +154,371 @@ def gold_daily_hourly(spark, sf_dir):
 AGG_SQL = ("SELECT SensorLocation, SensorMeasurement, round(CAST(SUM(SensorValue) AS DOUBLE) / COUNT(SensorValue), 6) "
            "AS AvgSensorValue, COUNT(Id) AS NumMeasurements, CAST(MAX(SensorValue) AS DOUBLE) AS HighestSensorValue, "
            "CAST(MIN(SensorValue) AS DOUBLE) AS LowestSensorValue FROM sensors GROUP BY 1, 2")
+
+
+@register("agg_sensor_totals", Q.with_sensors(AGG_SQL))
+def agg_sensor_totals(spark, sf_dir):
+    """All-time statistics per (location, measurement)."""
+    return agg.sensor_totals(_silver(spark, sf_dir))
+
+
+_ROUTES_VALUES = ", ".join(f"('{n}', '{m}')" for n, m in S.DEFAULT_ROUTES.items())
+
+
+@register("agg_by_route", Q.with_sensors(
+    AGG_SQL.replace("SELECT SensorLocation", "SELECT r.route, SensorLocation")
+           .replace("FROM sensors GROUP BY 1, 2",
+                    f"FROM sensors JOIN (VALUES {_ROUTES_VALUES}) AS r(route, lit) ON SensorMeasurement = r.lit "
+                    "GROUP BY 1, 2, 3")))
+def agg_by_route(spark, sf_dir):
+    """One statistics table per configured route, unioned with the route name."""
+    parts = [t.withColumn("route", F.lit(name)) for name, t in agg.totals_by_route(_silver(spark, sf_dir)).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _window_sql(size_min: int, slide_min: int | None) -> str:
+    stats = ("round(CAST(SUM(SensorValue) AS DOUBLE) / COUNT(SensorValue), 6) AS AvgSensorValue, COUNT(Id) AS NumMeasurements, "
+             "CAST(MAX(SensorValue) AS DOUBLE) AS HighestSensorValue, CAST(MIN(SensorValue) AS DOUBLE) AS LowestSensorValue")
+    if slide_min:
+        n = size_min // slide_min
+        shifts = ", ".join(f"({i})" for i in range(n))
+        src = (f"(SELECT s.*, time_bucket(INTERVAL {slide_min} MINUTE, MeasurementDateTime) - v.i * INTERVAL {slide_min} MINUTE "
+               f"AS window_start FROM sensors s, (VALUES {shifts}) AS v(i))")
+    else:
+        src = f"(SELECT s.*, time_bucket(INTERVAL {size_min} MINUTE, MeasurementDateTime) AS window_start FROM sensors s)"
+    return (f"SELECT SensorLocation, SensorMeasurement, window_start, window_start + INTERVAL {size_min} MINUTE AS window_end, "
+            f"{stats} FROM {src} GROUP BY 1, 2, 3, 4")
+
+
+@register("agg_sliding", Q.with_sensors(_window_sql(10, 5)))
+def agg_sliding(spark, sf_dir):
+    """10-minute windows sliding by 5 minutes per (location, measurement)."""
+    return agg.window_stats(_silver(spark, sf_dir), "10 minutes", "5 minutes")
+
+
+@register("agg_tumbling", Q.with_sensors(_window_sql(10, None)))
+def agg_tumbling(spark, sf_dir):
+    """Tumbling 10-minute windows."""
+    return agg.window_stats(_silver(spark, sf_dir), "10 minutes", None)
+
+
+SESSION_SQL = """SELECT SensorLocation, SensorMeasurement, MIN(MeasurementDateTime) AS session_start,
+  MAX(MeasurementDateTime) + INTERVAL 30 MINUTE AS session_end,
+  round(CAST(SUM(SensorValue) AS DOUBLE) / COUNT(SensorValue), 6) AS AvgSensorValue, COUNT(Id) AS NumMeasurements,
+  CAST(MAX(SensorValue) AS DOUBLE) AS HighestSensorValue, CAST(MIN(SensorValue) AS DOUBLE) AS LowestSensorValue
+FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR MeasurementDateTime - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+        OVER (PARTITION BY SensorLocation, SensorMeasurement ORDER BY MeasurementDateTime, Id) AS sid
+      FROM (SELECT *, lag(MeasurementDateTime) OVER (PARTITION BY SensorLocation, SensorMeasurement
+                                                     ORDER BY MeasurementDateTime, Id) AS prev FROM sensors))
+GROUP BY SensorLocation, SensorMeasurement, sid"""
+
+
+@register("agg_session", Q.with_sensors(SESSION_SQL))
+def agg_session(spark, sf_dir):
+    """Activity sessions with a 30-minute gap."""
+    return agg.session_stats(_silver(spark, sf_dir), "30 minutes")
+
+
+@register("unique_sensors", Q.with_sensors("SELECT DISTINCT SensorMeasurement FROM sensors"))
+def unique_sensors(spark, sf_dir):
+    """Distinct sensors published as a global temp view and read back by name."""
+    clean.unique_values(_silver(spark, sf_dir)).createOrReplaceGlobalTempView("unique_sensors")
+    return spark.table("global_temp.unique_sensors")
+
+
+# raw-export shape derived from events: no window start for error rows, no value below 5
+def _raw(spark, sf_dir):
+    s = fx.sensors(spark, sf_dir)
+    return s.select(
+        F.lit(None).cast("string").alias("Skip"), F.lit("_result").alias("SkipResult"), F.lit("0").alias("SkipTable"),
+        F.when(F.col("SensorMeasurement") != S.WATER_DEPTH_FEET, F.date_trunc("day", "MeasurementDateTime"))
+         .cast("timestamp").alias("WindowAverageStartDateTime"),
+        F.date_trunc("day", "MeasurementDateTime").cast("timestamp").alias("WindowAverageStopDateTime"),
+        F.col("MeasurementDateTime").cast("timestamp").alias("MeasurementDateTime"),
+        F.when(F.col("SensorValue") >= 5, F.col("SensorValue")).alias("SensorValue"),
+        "SensorUnitDescription", "SensorMeasurement", "SensorLocation", F.col("Id").cast("string").alias("Id"))
+
+
+CLEAN_SQL = ("SELECT MeasurementDateTime, CAST(SensorValue AS DOUBLE) AS SensorValue, SensorUnitDescription, "
+             "SensorMeasurement, SensorLocation, CAST(Id AS VARCHAR) AS Id FROM sensors "
+             f"WHERE SensorMeasurement <> '{S.WATER_DEPTH_FEET}' AND SensorValue >= 5")
+
+
+@register("clean_bronze", Q.with_sensors(CLEAN_SQL))
+def clean_bronze(spark, sf_dir):
+    """Drop rows without window start or value, drop the bookkeeping columns."""
+    return clean.clean_raw(_raw(spark, sf_dir))
+
+
+@register("json_quarantine", Q.with_sensors(
+    "SELECT Id, CASE WHEN json_valid(p) THEN '' ELSE p END AS malformed FROM "
+    "(SELECT Id, payload AS p FROM sensors UNION ALL SELECT -1 - Id AS Id, substr(payload, 2) AS p FROM sensors)"))
+def json_quarantine(spark, sf_dir):
+    """F8: payload text when malformed, '' when valid (strict RFC check); the second half
+    of the rows are the payloads without their first character."""
+    s = fx.sensors(spark, sf_dir, with_payload=True)
+    both = s.select("Id", F.col("payload").alias("p")).unionByName(
+        s.select((F.lit(-1) - F.col("Id")).alias("Id"), F.substring("payload", 2, 1 << 30).alias("p")))
+    return both.select("Id", jc.malformed_json("p", strict=True).alias("malformed"))
+
+
+_ID_COLS = ("SensorMeasurement", "SensorLocation", "MHour")
+
+
+@register("deterministic_id", Q.with_sensors(
+    "SELECT SensorMeasurement, SensorLocation, MHour, sha256(concat_ws('|', SensorMeasurement, SensorLocation, "
+    "CAST(MHour AS VARCHAR), CAST(row_number() OVER (PARTITION BY SensorMeasurement, SensorLocation, MHour) - 1 AS VARCHAR))) AS Id "
+    "FROM (SELECT SensorMeasurement, SensorLocation, date_trunc('hour', MeasurementDateTime) AS MHour FROM sensors)"))
+def deterministic_id(spark, sf_dir):
+    """content hash + ordinal among exact duplicates (readings per sensor-hour)."""
+    s = _silver(spark, sf_dir).select("SensorMeasurement", "SensorLocation",
+                                      F.date_trunc("hour", "MeasurementDateTime").cast("timestamp_ntz").alias("MHour"))
+    return ids.with_deterministic_id(s, list(_ID_COLS))
+
+
+@register("verify_join", Q.with_sensors(
+    "SELECT s.Id, s.SensorMeasurement, wq.Id AS VerifiedId FROM sensors s LEFT JOIN "
+    f"(SELECT * FROM sensors WHERE SensorMeasurement = '{S.WATER_QUALITY}') wq "
+    f"ON wq.MeasurementDateTime = s.MeasurementDateTime AND s.SensorMeasurement = '{S.WATER_QUALITY}'"))
+def verify_join(spark, sf_dir):
+    """Left equi-join on time with a literal predicate on the left side only."""
+    s = _silver(spark, sf_dir)
+    wq = fx.route(s, S.WATER_QUALITY).select(F.col("MeasurementDateTime").alias("_t"), F.col("Id").alias("VerifiedId"))
+    j = s.join(wq, (F.col("MeasurementDateTime") == F.col("_t")) & (F.col("SensorMeasurement") == F.lit(S.WATER_QUALITY)),
+               "left")
+    return j.select("Id", "SensorMeasurement", "VerifiedId")
+
+
+# --------------------------------------------------------------------------- merges / CDC
+_MID, _SPLIT, _LATE = "2024-01-20", "2024-01-15", "2024-01-10"
+MERGE_CTES = (f"tgt AS (SELECT {Q.SILVER_COLS} FROM sensors WHERE MeasurementDateTime < TIMESTAMP '{_MID}'),\n"
+              f"upd AS (SELECT Id, MeasurementDateTime, CAST(SensorValue AS DOUBLE) + 1 AS SensorValue, SensorUnitDescription, "
+              f"SensorMeasurement, SensorLocation FROM sensors WHERE MeasurementDateTime >= TIMESTAMP '{_LATE}')")
+
+
+def _merge_inputs(spark, sf_dir):
+    s = _silver(spark, sf_dir).withColumn("SensorValue", F.col("SensorValue").cast("double"))
+    tgt = s.filter(F.col("MeasurementDateTime") < F.lit(_MID).cast("timestamp_ntz"))
+    upd = (s.filter(F.col("MeasurementDateTime") >= F.lit(_LATE).cast("timestamp_ntz"))
+            .withColumn("SensorValue", F.col("SensorValue") + 1))
+    return tgt, upd
+
+
+@register("upsert_all", Q.with_sensors(
+    "SELECT * FROM tgt WHERE Id NOT IN (SELECT Id FROM upd) UNION ALL SELECT * FROM upd", extra_ctes=MERGE_CTES))
+def upsert_all(spark, sf_dir):
+    """Update matched ids, insert the rest (late batch overlapping the table)."""
+    tgt, upd = _merge_inputs(spark, sf_dir)
+    return mg.upsert(tgt, upd, ["Id"])
+
+
+@register("merge_insert_only", Q.with_sensors(
+    "SELECT * FROM tgt UNION ALL SELECT * FROM upd WHERE Id NOT IN (SELECT Id FROM tgt)", extra_ctes=MERGE_CTES))
+def merge_insert_only(spark, sf_dir):
+    """Insert rows with new ids only; existing rows keep their values."""
+    tgt, upd = _merge_inputs(spark, sf_dir)
+    return mg.insert_only(tgt, upd, ["Id"])
+
+
+@register("incremental_high_water", Q.with_sensors(
+    "SELECT * FROM upd WHERE MeasurementDateTime > (SELECT MAX(MeasurementDateTime) FROM tgt)", extra_ctes=MERGE_CTES))
+def incremental_high_water(spark, sf_dir):
+    """Source rows newer than the newest target row."""
+    tgt, upd = _merge_inputs(spark, sf_dir)
+    return mg.above_high_water(upd, tgt, "MeasurementDateTime")
+
+
+# change feed: key (user_id, event_type), sequence ts, tiebreak event_id; values below 5
+# arrive as NULL updates; error readings below 50 are deletes
+CDC_FEED_SQL = ("feed AS (SELECT user_id, event_type, ts, event_id, CASE WHEN value < 5 THEN NULL ELSE value END AS value, "
+                "props, (event_type = 'error' AND value < 50) AS is_delete, "
+                "(event_type = 'signup' AND value >= 300) AS is_truncate FROM events)")
+CDC_DELETE = "event_type = 'error' AND value < 50"
+CDC_TRUNCATE = "event_type = 'signup' AND value >= 300"
+CDC_KEYS = ["user_id", "event_type"]
+
+
+def _cdc_feed(spark, sf_dir):
+    ev = fx.table(spark, sf_dir, "events")
+    return ev.select("user_id", "event_type", "ts", "event_id",
+                     F.when(F.col("value") >= 5, F.col("value")).alias("value"), "props",
+                     F.col("value").alias("raw_value"))
+
+
+def _apply_in_batches(spark, sf_dir, **kw):
+    """Apply the feed as two batches split by time, the later batch first (late data)."""
+    feed = _cdc_feed(spark, sf_dir)
+    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+    late, early = feed.filter(F.col("ts") >= cut), feed.filter(F.col("ts") < cut)
+    common = dict(keys=CDC_KEYS, sequence_by="ts", tiebreak=["event_id"])
+    common.update(kw)
+    state = mg.apply_changes(None, late, **common)
+    state = mg.apply_changes(state, early, **common)
+    return mg.visible(state)
+
+
+_DEL_COND = "event_type = 'error' AND raw_value < 50"
+_TRUNC_COND = "event_type = 'signup' AND raw_value >= 300"
+_LATEST = ("ranked AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rn "
+           "FROM feed)")
+
+
+@register("apply_changes_scd1", Q.with_sensors(
+    "SELECT user_id, event_type, ts, value, props FROM ranked WHERE rn = 1 AND NOT is_delete",
+    extra_ctes=CDC_FEED_SQL + ",\n" + _LATEST))
+def apply_changes_scd1(spark, sf_dir):
+    """Latest change per key wins (late older batch loses), deletes remove keys."""
+    return _apply_in_batches(spark, sf_dir, apply_as_deletes=_DEL_COND,
+                             except_column_list=["raw_value", "event_id"]).drop("event_id")
+
+
+@register("apply_changes_ignore_nulls", Q.with_sensors(
+    "SELECT user_id, event_type, MAX(ts) AS ts, arg_max(value, ts) FILTER (WHERE value IS NOT NULL) AS value, "
+    "arg_max(props, ts) AS props FROM feed GROUP BY 1, 2",
+    extra_ctes=CDC_FEED_SQL))
+def apply_changes_ignore_nulls(spark, sf_dir):
+    """NULL values in a change keep the previous value of that column."""
+    return _apply_in_batches(spark, sf_dir, ignore_null_updates=True,
+                             except_column_list=["raw_value", "event_id"]).drop("event_id")
+
+
+@register("apply_changes_truncate", Q.with_sensors(
+    "SELECT user_id, event_type, ts, value, props FROM ranked WHERE rn = 1 AND NOT is_delete "
+    "AND (ts > (SELECT MAX(ts) FROM feed WHERE is_truncate) OR NOT EXISTS (SELECT 1 FROM feed WHERE is_truncate))",
+    extra_ctes=CDC_FEED_SQL + ",\n" + _LATEST.replace("FROM feed)", "FROM feed WHERE NOT is_truncate)")))
+def apply_changes_truncate(spark, sf_dir):
+    """A truncate change empties the table as of its sequence."""
+    return _apply_in_batches(spark, sf_dir, apply_as_deletes=_DEL_COND, apply_as_truncates=_TRUNC_COND,
+                             except_column_list=["raw_value", "event_id"]).drop("event_id")
+
+
+@register("apply_changes_columns", Q.with_sensors(
+    "SELECT user_id, event_type, ts, value FROM ranked WHERE rn = 1", extra_ctes=CDC_FEED_SQL + ",\n" + _LATEST))
+def apply_changes_columns(spark, sf_dir):
+    """Only the listed columns are tracked (column_list)."""
+    return _apply_in_batches(spark, sf_dir, column_list=["value"]).drop("event_id")
+
+
+@register("latest_per_key", Q.with_sensors(
+    "SELECT user_id, event_type, ts, event_id, value FROM ranked WHERE rn = 1",
+    extra_ctes="feed AS (SELECT * FROM events),\n" + _LATEST))
+def latest_per_key_q(spark, sf_dir):
+    """Newest event per (user, type) by time, then id."""
+    ev = fx.table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
+    return latest_per_key(ev, CDC_KEYS, "ts", ["event_id"])
+
+
+@register("scd2_history", Q.with_sensors(
+    "SELECT user_id, event_type, event_id, value, ts AS __START_AT, nxt AS __END_AT, nxt IS NULL AS __IS_CURRENT "
+    "FROM (SELECT *, lead(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS nxt FROM feed) "
+    "WHERE NOT is_delete", extra_ctes=CDC_FEED_SQL))
+def scd2_history(spark, sf_dir):
+    """Version history with validity intervals; deletes close the open version."""
+    feed = _cdc_feed(spark, sf_dir)
+    h = mg.scd2_history(feed, CDC_KEYS, "ts", ["event_id"], apply_as_deletes=_DEL_COND)
+    return h.select("user_id", "event_type", "event_id", "value", "__START_AT", "__END_AT", "__IS_CURRENT")
+
+
+# --------------------------------------------------------------------------- expectations
+EXPECT_CTE = ("ex AS (SELECT Id, CASE WHEN SensorMeasurement = 'h2o_feet' AND SensorValue > 400 THEN NULL "
+              "ELSE MeasurementDateTime END AS MeasurementDateTime, CASE WHEN SensorValue >= 5 THEN SensorValue END AS SensorValue, "
+              "CASE WHEN user_id >= 10 THEN SensorLocation END AS SensorLocation, SensorMeasurement FROM sensors)")
+RULES = {"MeasurementDateTime": "MeasurementDateTime IS NOT NULL", "SensorValue": "SensorValue IS NOT NULL",
+         "SensorLocation": "SensorLocation IS NOT NULL"}
+SQL_RULES = {"mesurement_date_valid": "CAST(MeasurementDateTime AS TIMESTAMP) IS NOT NULL",
+             "sensor_value_valid": "SensorValue > 1"}
+
+
+def _expect_input(spark, sf_dir):
+    s = fx.sensors(spark, sf_dir, with_user=True)
+    return s.select(
+        "Id",
+        F.when((F.col("SensorMeasurement") == S.WATER_DEPTH_FEET) & (F.col("SensorValue") > 400), F.lit(None))
+         .otherwise(F.col("MeasurementDateTime")).alias("MeasurementDateTime"),
+        F.when(F.col("SensorValue") >= 5, F.col("SensorValue")).alias("SensorValue"),
+        F.when(F.col("user_id") >= 10, F.col("SensorLocation")).alias("SensorLocation"),
+        "SensorMeasurement")
+
+
+def _rules_sql(rules) -> str:
+    return " AND ".join(f"COALESCE({p}, FALSE)" for p in rules.values())
+
+
+@register("expect_drop", Q.with_sensors(f"SELECT * FROM ex WHERE {_rules_sql(RULES)}", extra_ctes=EXPECT_CTE))
+def expect_drop(spark, sf_dir):
+    """Q1/Q5: drop rows failing any named rule."""
+    return qual.expect_or_drop(_expect_input(spark, sf_dir), RULES)
+
+
+@register("expect_drop_sql", Q.with_sensors(f"SELECT * FROM ex WHERE {_rules_sql(SQL_RULES)}", extra_ctes=EXPECT_CTE))
+def expect_drop_sql(spark, sf_dir):
+    """Q4: SQL constraints (time castable, value > 1), violating rows dropped."""
+    return qual.expect_or_drop(_expect_input(spark, sf_dir), SQL_RULES)
+
+
+@register("expect_quarantine", Q.with_sensors(
+    "SELECT * FROM (SELECT *, concat_ws(',', " + ", ".join(
+        f"CASE WHEN NOT COALESCE({p}, FALSE) THEN '{n}' END" for n, p in RULES.items())
+    + ") AS failed_rules FROM ex) WHERE failed_rules <> ''", extra_ctes=EXPECT_CTE))
+def expect_quarantine(spark, sf_dir):
+    """Q6: rejected rows with the names of the rules they failed."""
+    q = qual.quarantine(_expect_input(spark, sf_dir), RULES)
+    return q.withColumn("failed_rules", F.array_join("failed_rules", ","))
+
+
+@register("expect_metrics", Q.with_sensors(
+    "SELECT COUNT(*) AS rows, " + ", ".join(
+        f"CAST(SUM(CASE WHEN NOT COALESCE({p}, FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failed_{n}" for n, p in RULES.items())
+    + f", CAST(SUM(CASE WHEN NOT ({_rules_sql(RULES)}) THEN 1 ELSE 0 END) AS BIGINT) AS dropped FROM ex",
+    extra_ctes=EXPECT_CTE))
+def expect_metrics(spark, sf_dir):
+    """Q3: keep all rows, report failures per rule."""
+    return qual.expectation_counts(_expect_input(spark, sf_dir), RULES)
+
+
+# --------------------------------------------------------------------------- forecast extras
+@register("series_mean", Q.with_sensors(
+    "SELECT date_trunc('hour', MeasurementDateTime) AS ds, SensorMeasurement, SensorLocation, "
+    "round(CAST(SUM(SensorValue) AS DOUBLE) / COUNT(SensorValue), 6) AS y, "
+    "SensorMeasurement || '-' || SensorLocation AS ts_id FROM sensors GROUP BY 1, 2, 3"))
+def series_mean(spark, sf_dir):
+    """Mean per (hour, id columns) with the joined ts_id."""
+    s = fc.hourly_series(_silver(spark, sf_dir), id_cols=("SensorMeasurement", "SensorLocation"))
+    return s.withColumn("y", F.round("y", 6))
+
+
+@register("series_span", Q.with_sensors(
+    "SELECT SensorMeasurement AS ts_id, MIN(date_trunc('hour', MeasurementDateTime)) AS start_time, "
+    "MAX(date_trunc('hour', MeasurementDateTime)) AS end_time, COUNT(DISTINCT date_trunc('hour', MeasurementDateTime)) AS n_obs "
+    "FROM sensors GROUP BY 1"))
+def series_span(spark, sf_dir):
+    """Start and end of each series."""
+    return fc.series_span(fc.hourly_series(_silver(spark, sf_dir)))
+
+
+@register("forecast_mean_metrics", Q.with_sensors(
+    "SELECT " + ", ".join(f"round(AVG({m}), 6) AS val_{m}" for m in fc.METRICS) + " FROM ("
+    + Q.METRICS_SELECT.replace("round(", "(").replace(", 6) AS", ") AS") + ")",
+    extra_ctes=Q.metrics_sql().rstrip()))
+def forecast_mean_metrics(spark, sf_dir):
+    """Mean of the seven metrics over all series (val_ prefix)."""
+    m = fc.mean_metrics(fc.evaluate(fc.hourly_series(_silver(spark, sf_dir))))
+    return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
+
+
+MIN_HISTORY = 24  # hourly points a series needs for a model
+
+
+@register("series_without_model", Q.with_sensors(
+    "SELECT ts_id FROM (SELECT SensorMeasurement || '-' || CAST(user_id AS VARCHAR) AS ts_id, "
+    "COUNT(DISTINCT date_trunc('hour', MeasurementDateTime)) AS n FROM sensors GROUP BY 1) "
+    f"WHERE n < {MIN_HISTORY}"))
+def series_without_model(spark, sf_dir):
+    """Per-(sensor, user) series that got no model (too little history)."""
+    s = fx.sensors(spark, sf_dir, with_user=True)
+    series = fc.hourly_series(s, id_cols=("SensorMeasurement", "user_id"))
+    models = fc.series_span(series).filter(F.col("n_obs") >= MIN_HISTORY)
+    return fc.series_without_model(series, models)

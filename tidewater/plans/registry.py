@@ -522,3 +522,6 @@ def series_without_model(spark, sf_dir):
     series = fc.hourly_series(s, id_cols=("SensorMeasurement", "user_id"))
     models = fc.series_span(series).filter(F.col("n_obs") >= MIN_HISTORY)
     return fc.series_without_model(series, models)
+
+
+from . import stream_queries  # noqa: E402,F401  (registers the streaming queries)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -33,11 +33,24 @@ DEFAULT_FRAMES = {"ShortMovingAverage": 30, "LongMovingAverage": 365}
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
-def _avg_expr(value: str, w) -> Column:
-    # Exact decimal sum in the frame, divided as double (as in the oracle SQL).
-    s = F.sum(F.col(value)).over(w).cast("double")
-    n = F.count(F.col(value)).over(w)
-    return F.round(F.try_divide(s, n.cast("double")), 6)
+def _with_frame_averages(df: DataFrame, value: str, w, frames: Mapping[str, int]) -> DataFrame:
+    """avg over ``ROWS BETWEEN k PRECEDING AND CURRENT ROW`` for each frame, in O(n).
+
+    A bounded ROWS frame makes Spark re-aggregate up to k+1 rows per output row; here a
+    running decimal sum S and running count C (one incremental pass) and their values
+    k+1 rows back give the frame exactly: (S_i - S_{i-k-1}) / (C_i - C_{i-k-1}).  Where
+    fewer than k+1 rows precede, lag is NULL and the frame is the whole prefix.  The sum
+    is exact (decimal), divided as double and rounded to 6 places."""
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    v = F.col(value)
+    out = df.withColumns({"_S": F.sum(F.coalesce(v, F.lit(0).cast(df.schema[value].dataType))).over(run),
+                          "_C": F.count(v).over(run)})
+    cols = {}
+    for name, k in frames.items():
+        ds = F.col("_S") - F.coalesce(F.lag("_S", k + 1).over(w), F.lit(0))
+        dc = F.col("_C") - F.coalesce(F.lag("_C", k + 1).over(w), F.lit(0))
+        cols[name] = F.round(F.try_divide(ds.cast("double"), dc.cast("double")), 6)
+    return out.withColumns(cols).drop("_S", "_C")
 
 
 def moving_average_window(df: DataFrame, value: str = "SensorValue",
@@ -47,7 +60,7 @@ def moving_average_window(df: DataFrame, value: str = "SensorValue",
     """Plain window form.  ``order_by`` must end in a unique column (ties on time would
     otherwise make the frame contents depend on shuffle order)."""
     w = Window.partitionBy(*partition_by).orderBy(*order_by) if partition_by else Window.orderBy(*order_by)
-    return df.withColumns({name: _avg_expr(value, w.rowsBetween(-k, 0)) for name, k in frames.items()})
+    return _with_frame_averages(df, value, w, frames)
 
 
 def moving_average_halo(df: DataFrame, value: str = "SensorValue",
@@ -84,15 +97,16 @@ def moving_average_halo(df: DataFrame, value: str = "SensorValue",
     pos = tagged.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + F.col("_loc"))
 
     # 4: buckets of B positions plus a halo of the k positions before each bucket.
+    # (one scan: rows in the last k positions of a bucket are exploded into two copies)
     b = F.floor(F.col("_pos") / F.lit(bucket_rows))
-    main = pos.withColumns({"_b": b, "_halo": F.lit(False)})
-    halo = (pos.filter(F.pmod(F.col("_pos"), F.lit(bucket_rows)) >= bucket_rows - k)
-               .withColumns({"_b": b + 1, "_halo": F.lit(True)}))
-    both = main.unionByName(halo)
+    in_tail = F.pmod(F.col("_pos"), F.lit(bucket_rows)) >= bucket_rows - k
+    copies = F.when(in_tail, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    both = (pos.withColumn("_copy", F.explode(copies))
+               .withColumns({"_b": b + F.col("_copy"), "_halo": F.col("_copy") == 1}).drop("_copy"))
 
     # 5: window per (series, bucket), ordered by position.
     w = Window.partitionBy(*partition_by, "_b").orderBy("_pos")
-    out = both.withColumns({name: _avg_expr(value, w.rowsBetween(-kk, 0)) for name, kk in frames.items()})
+    out = _with_frame_averages(both, value, w, frames)
     return out.filter(~F.col("_halo")).select(*cols, *frames.keys())
 
 

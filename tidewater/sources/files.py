@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Timestamps keep microseconds through CSV round trips.
+# Timestamps keep microseconds through CSV round trips; reading also accepts shorter
+# fractions and a zone suffix (ISO exports such as 2019-08-17T00:00:00Z).
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TS_READ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][XXX]"
 
 
 def _csv_options(header: bool, extra: dict | None) -> dict:
-    opts = {"header": str(header).lower(), "timestampFormat": TS_FORMAT, "timestampNTZFormat": TS_FORMAT,
-            "mode": "PERMISSIVE"}
+    opts = {"header": str(header).lower(), "timestampFormat": TS_READ_FORMAT,
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]", "mode": "PERMISSIVE"}
     opts.update(extra or {})
     return opts
 

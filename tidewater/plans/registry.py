@@ -525,3 +525,24 @@ def series_without_model(spark, sf_dir):
 
 
 from . import stream_queries  # noqa: E402,F401  (registers the streaming queries)
+
+
+# --------------------------------------------------------------------------- searched forecast
+def _ridge_models(spark, sf_dir):
+    from ..operators import ridge
+    return ridge.best_models(spark, fc.hourly_series(_silver(spark, sf_dir)))
+
+
+@register("forecast_best_model")
+def forecast_best_model(spark, sf_dir):
+    """Per sensor, 10 trials x 5 rolling folds of the penalised model,
+    best trial by smape (FORECAST_RESULT rows).  No SQL oracle (iterative solver);
+    tests compare the distributed fit with a direct numpy fit."""
+    return _ridge_models(spark, sf_dir)
+
+
+@register("forecast_ridge_predict")
+def forecast_ridge_predict(spark, sf_dir):
+    """24 future hours per sensor from the stored model_json."""
+    from ..operators import ridge
+    return ridge.predict_future(_ridge_models(spark, sf_dir))

@@ -546,3 +546,4 @@ def forecast_ridge_predict(spark, sf_dir):
     """24 future hours per sensor from the stored model_json."""
     from ..operators import ridge
     return ridge.predict_future(_ridge_models(spark, sf_dir))
+from . import table_queries  # noqa: E402,F401  (registers table, layout, audit and pipeline queries)

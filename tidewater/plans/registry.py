@@ -547,3 +547,29 @@ def forecast_ridge_predict(spark, sf_dir):
     from ..operators import ridge
     return ridge.predict_future(_ridge_models(spark, sf_dir))
 from . import table_queries  # noqa: E402,F401  (registers table, layout, audit and pipeline queries)
+
+
+@register("gold_daily_verified", Q.gold_daily_verified_sql(hourly=True))
+def gold_daily_verified(spark, sf_dir):
+    """A4 without join fan-out: true readings per day and their mean, with the same
+    verified-id counts (hour-truncated times, where the fan-out would occur)."""
+    return _gold_daily(spark, sf_dir, hourly=True, keep_fanout=False, with_forecast=False)
+
+
+MA_VIEW_SQL = """CREATE OR REPLACE TEMPORARY VIEW air_temp_ma_live AS
+SELECT *,
+  round(CAST(SUM(SensorValue) OVER w31 AS DOUBLE) / COUNT(SensorValue) OVER w31, 6) AS TempShortMovingAverage,
+  round(CAST(SUM(SensorValue) OVER w366 AS DOUBLE) / COUNT(SensorValue) OVER w366, 6) AS TempLongMovingAverage
+FROM silver_allsensors
+WHERE SensorMeasurement = '{lit}'
+WINDOW w31 AS (ORDER BY MeasurementDateTime, Id ROWS BETWEEN 30 PRECEDING AND CURRENT ROW),
+       w366 AS (ORDER BY MeasurementDateTime, Id ROWS BETWEEN 365 PRECEDING AND CURRENT ROW)"""
+
+
+@register("ma_short_long", Q.with_sensors(Q.ma_select(gold.AIR_FRAMES, where=f"SensorMeasurement = '{S.AIR_TEMP}'")))
+def ma_short_long(spark, sf_dir):
+    """L3/W1/W2 through the SQL API: a view over the silver table (the single-task plain
+    window; the DataFrame path ``ma_air_temp`` picks the distributed form at scale)."""
+    _silver(spark, sf_dir).createOrReplaceTempView("silver_allsensors")
+    spark.sql(MA_VIEW_SQL.format(lit=S.AIR_TEMP))
+    return spark.table("air_temp_ma_live")

@@ -164,3 +164,17 @@ GROUP BY spine.SensorLocation, spine.MDate, spine.SensorMeasurement, spine.Recor
             "CAST(Lowest AS DOUBLE) AS Lowest, round(CAST(Midpoint AS DOUBLE), 6) AS Midpoint, "
             "CAST(Highest AS DOUBLE) AS Highest, HasForecast, round(AvgDailyForecast, 6) AS AvgDailyForecast FROM step2")
     return with_sensors(body, hourly=hourly, extra_ctes=extra)
+
+
+def gold_daily_verified_sql(hourly: bool = True) -> str:
+    """Per-reading daily statistics with the verified-id counts of the benchmark."""
+    full = gold_daily_sql(hourly=hourly, with_forecast=False)
+    body_start = full.index("SELECT DISTINCT")
+    ctes = full[:body_start].rstrip()
+    return (ctes + ",\nper_reading AS (SELECT SensorLocation, SensorMeasurement, date_trunc('day', MeasurementDateTime) AS MDate, "
+            "COUNT(*) AS RecordsInDay, AVG(SensorValue) AS Midpoint FROM sensors GROUP BY 1, 2, 3)\n"
+            "SELECT s.SensorLocation, s.MDate, s.SensorMeasurement, p.RecordsInDay, CountOfVerifiedWaterDepthRecords, "
+            "CountOfVerifiedWaterQualityRecords, CountOfVerifiedWaterTempRecords, CountOfVerifiedAirTempRecords, "
+            "CAST(Lowest AS DOUBLE) AS Lowest, round(CAST(p.Midpoint AS DOUBLE), 6) AS Midpoint, "
+            "CAST(Highest AS DOUBLE) AS Highest, 0 AS HasForecast, CAST(NULL AS DOUBLE) AS AvgDailyForecast "
+            "FROM step2 s JOIN per_reading p USING (SensorLocation, SensorMeasurement, MDate)")

@@ -245,3 +245,48 @@ def copy_into_incremental(spark, sf_dir):
     copy_into(spark, f"{root}/raw", target, state, select, n_columns=12, pattern="*.csv")
     copy_into(spark, f"{root}/raw", target, state, select, n_columns=12, pattern="*.csv")
     return spark.read.parquet(target).drop("InputFileName").withColumn(TS, F.col(TS).cast("timestamp_ntz"))
+
+
+# --------------------------------------------------------------------------- window join, sessions
+_WJ_CTES = ("w AS (SELECT SensorLocation, time_bucket(INTERVAL 1 HOUR, MeasurementDateTime) AS window_start, "
+            f"COUNT(*) FILTER (WHERE SensorMeasurement = '{S.WATER_TEMP}') AS left_count, "
+            f"COUNT(*) FILTER (WHERE SensorMeasurement = '{S.AIR_TEMP}') AS right_count FROM sensors GROUP BY 1, 2), "
+            f"lim AS (SELECT LEAST(MAX(MeasurementDateTime) FILTER (WHERE SensorMeasurement = '{S.WATER_TEMP}'), "
+            f"MAX(MeasurementDateTime) FILTER (WHERE SensorMeasurement = '{S.AIR_TEMP}')) - INTERVAL 10 MINUTE AS wm "
+            "FROM sensors)")
+_WJ_SQL = Q.with_sensors(
+    "SELECT SensorLocation, window_start, window_start + INTERVAL 1 HOUR AS window_end, left_count, right_count "
+    "FROM w, lim WHERE left_count > 0 AND right_count > 0 AND window_start + INTERVAL 1 HOUR <= lim.wm",
+    extra_ctes=_WJ_CTES)
+
+
+@R.register("stream_window_join", _WJ_SQL)
+def stream_window_join(spark, sf_dir):
+    """Hourly counts of two streams (water temperature, air temperature), each
+    finalised by its watermark, joined on (location, window) - chained stateful
+    operators in append mode."""
+    root = scratch_dir(spark, "window-join")
+    silver, inp = _silver_stream_source(spark, sf_dir, root)
+    out, ckpt = f"{root}/joined", f"{root}/_checkpoint"
+    for _ in stage(silver, inp, TS):
+        src = spark.readStream.schema(silver.schema).parquet(inp)
+        left, right = fx.route(src, S.WATER_TEMP), fx.route(src, S.AIR_TEMP)
+        run_stream(so.window_join(left, right, "1 hour", ["SensorLocation"], TS, "10 minutes"), ckpt, path=out)
+    df = spark.read.parquet(out)
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@R.register("stream_agg_session", Q.with_sensors(
+    "SELECT * FROM (" + R.SESSION_SQL + ") WHERE session_end <= (SELECT MAX(MeasurementDateTime) FROM sensors) "
+    "- INTERVAL 10 MINUTE"))
+def stream_agg_session(spark, sf_dir):
+    """Streaming session windows (30-minute gap) with a 10-minute watermark; a
+    session is written once the watermark passes its end."""
+    root = scratch_dir(spark, "sessions")
+    silver, inp = _silver_stream_source(spark, sf_dir, root)
+    out, ckpt = f"{root}/sessions", f"{root}/_checkpoint"
+    for _ in stage(silver, inp, TS):
+        src = spark.readStream.schema(silver.schema).parquet(inp).withWatermark(TS, "10 minutes")
+        run_stream(agg.session_stats_builtin(src, "30 minutes"), ckpt, path=out)
+    df = spark.read.parquet(out)
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})

@@ -83,9 +83,7 @@ def future_frame(params: DataFrame, key: str = "ts_id", horizon: int = HORIZON,
     if per_series_end:
         base = params.select(key, F.col("end_time").alias("_end"))
     else:
-        latest = params.agg(F.max("end_time").alias("_end")).withColumn("_one", F.lit(1))
-        base = (params.select(key).withColumn("_one", F.lit(1))
-                      .join(F.broadcast(latest), "_one").drop("_one"))   # one-row side
+        base = params.select(key, params.agg(F.max("end_time")).scalar().alias("_end"))   # scalar subquery
     steps = F.sequence(F.lit(1), F.lit(horizon))
     return (base.select(key, F.explode(steps).alias("_h"), "_end")
                 .select(key, (F.col("_end") + F.make_dt_interval(hours=F.col("_h"))).cast("timestamp_ntz").alias("ds")))

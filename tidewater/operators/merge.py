@@ -49,11 +49,10 @@ def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
 
 def above_high_water(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows newer than the newest row already in the target
-    (``WHERE c > (SELECT max(c) FROM target)``; an empty target lets all rows through).
-    The one-row maximum is broadcast."""
-    hw = target.agg(F.max(column).alias("_hw")).withColumn("_one", F.lit(1))
-    s = source.withColumn("_one", F.lit(1)).join(F.broadcast(hw), "_one")
-    return s.filter(F.col("_hw").isNull() | (F.col(column) > F.col("_hw"))).drop("_one", "_hw")
+    (``WHERE c > (SELECT max(c) FROM target)``, a scalar subquery evaluated once; an
+    empty target lets all rows through)."""
+    hw = target.agg(F.max(column)).scalar()
+    return source.filter(hw.isNull() | (F.col(column) > hw))
 
 
 def _as_cond(c: str | Column | None) -> Column | None:
@@ -121,17 +120,17 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, keys: Sequence[s
         is_marker = is_marker & F.col(k).isNull()
 
     if apply_as_truncates is not None:
-        # latest truncate over the stored marker and this batch: a one-row table, broadcast
+        # latest truncate over the stored marker and this batch (scalar subquery)
         prev = target.filter(is_marker).select(order.alias("_t"))
         cur = ch.filter(F.col("_op") == "T").select(order.alias("_t"))
-        tmax = prev.unionByName(cur).agg(F.max("_t").alias("_tmax")).withColumn("_one", F.lit(1))
+        tmax_df = prev.unionByName(cur).agg(F.max("_t").alias("_tmax"))
+        tmax = tmax_df.scalar()
 
         def after_truncate(df: DataFrame) -> DataFrame:
-            j = df.withColumn("_one", F.lit(1)).join(F.broadcast(tmax), "_one")
-            return j.filter(F.col("_tmax").isNull() | (order > F.col("_tmax"))).drop("_one", "_tmax")
+            return df.filter(tmax.isNull() | (order > tmax))
         ch = after_truncate(ch)
         target = after_truncate(target.filter(~is_marker))
-        marker = tmax.filter(F.col("_tmax").isNotNull()).select(
+        marker = tmax_df.filter(F.col("_tmax").isNotNull()).select(
             *[F.lit(None).cast(ch.schema[k].dataType).alias(k) for k in keys],
             *[F.col("_tmax").getField(c).alias(c) for c in seq],
             *[F.lit(None).cast(ch.schema[c].dataType).alias(c) for c in values],

@@ -272,8 +272,7 @@ def predict_future(models: DataFrame, horizon: int = HORIZON, z: float = Z_95) -
     scored from model_json (the served model is just this column)."""
     schema = "coef array<double>, sigma double, scale double, span double, mode string, start_time string"
     m = models.select("SensorMeasurement", F.from_json("model_json", schema).alias("m"), "end_time")
-    latest = models.agg(F.max("end_time").alias("_end")).withColumn("_one", F.lit(1))
-    m = m.withColumn("_one", F.lit(1)).join(F.broadcast(latest), "_one")
+    m = m.withColumn("_end", models.agg(F.max("end_time")).scalar())   # scalar subquery
     steps = m.select("SensorMeasurement", "m", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("h"), "_end")
     ds = (F.col("_end") + F.make_dt_interval(hours=F.col("h"))).cast("timestamp_ntz")
     hrs = lambda c: F.unix_seconds(c.cast("timestamp")) / F.lit(3600.0)

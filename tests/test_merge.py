@@ -95,3 +95,15 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     sinks.append_batch(spark.createDataFrame([(3, "c")], "Id int, v string"), p, 8)
     sinks.append_batch(df, p, 7)                          # replay of batch 7
     assert spark.read.parquet(p).count() == 3
+
+
+def test_scd2_positions_equal_window(spark, tmp_path):
+    import random
+    rnd = random.Random(5)
+    rows = [(rnd.choice([1, 1, 1, 1, 2, 3]), i, f"v{i}", rnd.choice(["U", "U", "D"])) for i in range(600)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a = mg.scd2_history(df, ["key"], "seq", apply_as_deletes="op = 'D'", strategy="window")
+    b = mg.scd2_history(df, ["key"], "seq", apply_as_deletes="op = 'D'", strategy="positions",
+                        num_partitions=7, work_dir=str(tmp_path / "pos"))
+    cols = ["key", "seq", "value", "__START_AT", "__END_AT", "__IS_CURRENT"]
+    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))

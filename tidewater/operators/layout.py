@@ -65,10 +65,12 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS,
     return out.withColumn("_z", z).drop(*[f"_zn_{c}" for c in columns], *[f"_zb_{c}" for c in columns])
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Total size of the files a file-based DataFrame reads (from file metadata)."""
-    r = df.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
-    return int(r or 0)
+def folder_bytes(spark: SparkSession, path: str, glob: str = "*.parquet") -> int:
+    """Total size of the data files below ``path``: a distributed file listing
+    (``binaryFile`` without reading content), one row per file."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", "true").load(path))
+    return int(files.agg(F.sum("length")).first()[0] or 0)
 
 
 def zorder_compact(spark: SparkSession, path: str, columns: Sequence[str], new_path: str | None = None,
@@ -77,7 +79,7 @@ def zorder_compact(spark: SparkSession, path: str, columns: Sequence[str], new_p
     """Rewrite a Parquet folder clustered by the Z-order of ``columns`` into files
     of about ``target_file_bytes``; returns the new folder."""
     df = spark.read.parquet(path)
-    n_files = max(1, math.ceil(input_bytes(df) / target_file_bytes))
+    n_files = max(1, math.ceil(folder_bytes(spark, path) / target_file_bytes))
     keyed = zorder_key(df, columns)
     out = keyed.repartitionByRange(n_files, *partition_by, "_z").sortWithinPartitions(*partition_by, "_z").drop("_z")
     new_path = new_path or f"{path.rstrip('/')}-z{uuid.uuid4().hex[:8]}"

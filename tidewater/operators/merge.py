@@ -193,15 +193,31 @@ def visible(table: DataFrame) -> DataFrame:
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str] = (),
-                 apply_as_deletes: str | Column | None = None) -> DataFrame:
+                 apply_as_deletes: str | Column | None = None, strategy: str = "auto",
+                 threshold_rows: int = 20_000_000, **kw) -> DataFrame:
     """SCD 2 history: every upsert becomes a version valid from its sequence until
     the next change of the key (``__END_AT`` NULL for the current one); a delete closes
-    the open version without opening a new one."""
+    the open version without opening a new one.
+
+    ``window``: ``lead`` over each key (a key's changes are sorted in one task);
+    ``positions``: global positions in (keys, sequence, tiebreak) order and an equi-join on
+    position + 1 - no task holds more than its range partition, however hot a key;
+    ``auto``: positions above ``threshold_rows`` changes."""
     from pyspark.sql import Window
+
+    from .ordered import next_in_group, with_global_positions
     d = _as_cond(apply_as_deletes)
     ch = changes.withColumn("_is_del", F.coalesce(d, F.lit(False)) if d is not None else F.lit(False))
-    w = Window.partitionBy(*keys).orderBy(F.col(sequence_by), *[F.col(c) for c in tiebreak])
-    hist = ch.withColumn("__END_AT", F.lead(F.col(sequence_by)).over(w))
+    if strategy == "auto":
+        strategy = "positions" if changes.count() > threshold_rows else "window"
+    if strategy == "window":
+        w = Window.partitionBy(*keys).orderBy(F.col(sequence_by), *[F.col(c) for c in tiebreak])
+        hist = ch.withColumn("__END_AT", F.lead(F.col(sequence_by)).over(w))
+    elif strategy == "positions":
+        pos = with_global_positions(ch, [*keys, sequence_by, *tiebreak], **kw)
+        hist = next_in_group(pos, keys, [sequence_by]).withColumnRenamed(f"_next_{sequence_by}", "__END_AT").drop("_pos")
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
     return (hist.filter(~F.col("_is_del")).withColumn("__START_AT", F.col(sequence_by))
                 .withColumn("__IS_CURRENT", F.col("__END_AT").isNull()).drop("_is_del"))
 

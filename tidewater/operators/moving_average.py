@@ -27,10 +27,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_dir
+from .ordered import with_global_positions
 
 DEFAULT_FRAMES = {"ShortMovingAverage": 30, "LongMovingAverage": 365}
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
 
 
 def _with_frame_averages(df: DataFrame, value: str, w, frames: Mapping[str, int]) -> DataFrame:
@@ -70,31 +69,14 @@ def moving_average_halo(df: DataFrame, value: str = "SensorValue",
                         bucket_rows: int = 1 << 20, num_partitions: int | None = None,
                         work_dir: str | None = None) -> DataFrame:
     """Distributed exact form; same rows and values as ``moving_average_window``."""
-    spark = df.sparkSession
     k = max(frames.values())
     if bucket_rows <= k:
         raise ValueError(f"bucket_rows ({bucket_rows}) must exceed the longest frame ({k})")
     keys = list(partition_by) + list(order_by)
     cols = df.columns
-    if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    # 1-2: range partition, sort, tag, materialise once in the shared folder.
-    path = work_dir or scratch_dir(spark, "ma-halo")
-    (df.repartitionByRange(num_partitions, *keys)
-       .sortWithinPartitions(*keys)
-       .withColumn("_mid", F.monotonically_increasing_id())
-       .write.mode("overwrite").parquet(path))
-    tagged = spark.read.parquet(path)
-    pid = F.shiftright(F.col("_mid"), _ROW_BITS)
-    loc = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    tagged = tagged.withColumns({"_pid": pid, "_loc": loc})
-
-    # 3: per-partition offsets (one row per partition -> bounded, broadcast).
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    pos = tagged.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + F.col("_loc"))
+
+    # 1-3: global positions (range partition, one write, per-partition offsets)
+    pos = with_global_positions(df, keys, num_partitions, work_dir)
 
     # 4: buckets of B positions plus a halo of the k positions before each bucket.
     # (one scan: rows in the last k positions of a bucket are exploded into two copies)

@@ -422,6 +422,17 @@ def scd2_history(spark, sf_dir):
     return h.select("user_id", "event_type", "event_id", "value", "__START_AT", "__END_AT", "__IS_CURRENT")
 
 
+SCD2_SQL = ORACLES["scd2_history"]
+
+
+@register("scd2_history_positions", SCD2_SQL)
+def scd2_history_positions(spark, sf_dir):
+    """J11, distributed form: successor found by an equi-join on global position + 1."""
+    feed = _cdc_feed(spark, sf_dir)
+    h = mg.scd2_history(feed, CDC_KEYS, "ts", ["event_id"], apply_as_deletes=_DEL_COND, strategy="positions")
+    return h.select("user_id", "event_type", "event_id", "value", "__START_AT", "__END_AT", "__IS_CURRENT")
+
+
 # --------------------------------------------------------------------------- expectations
 EXPECT_CTE = ("ex AS (SELECT Id, CASE WHEN SensorMeasurement = 'h2o_feet' AND SensorValue > 400 THEN NULL "
               "ELSE MeasurementDateTime END AS MeasurementDateTime, CASE WHEN SensorValue >= 5 THEN SensorValue END AS SensorValue, "

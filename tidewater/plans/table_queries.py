@@ -145,7 +145,7 @@ def compact_zorder(spark, sf_dir):
 
 def _chunk_case(col: str) -> str:
     b = DEFAULT_BOUNDS
-    return (f"CASE WHEN {col} < TIMESTAMP '{b[0]}' THEN 0 WHEN {col} < TIMESTAMP '{b[1]}' THEN 1 ELSE 2 END")
+    return (f"CAST(CASE WHEN {col} < TIMESTAMP '{b[0]}' THEN 0 WHEN {col} < TIMESTAMP '{b[1]}' THEN 1 ELSE 2 END AS BIGINT)")
 
 
 @R.register("batch_audit", Q.with_sensors(

@@ -209,7 +209,11 @@ def scd2_history(changes: DataFrame, keys: Sequence[str], sequence_by: str, tieb
     d = _as_cond(apply_as_deletes)
     ch = changes.withColumn("_is_del", F.coalesce(d, F.lit(False)) if d is not None else F.lit(False))
     if strategy == "auto":
-        strategy = "positions" if changes.count() > threshold_rows else "window"
+        n_rows = changes.count()
+        strategy = "positions" if n_rows > threshold_rows else "window"
+        if strategy == "positions" and kw.get("num_partitions") is None:
+            from .ordered import range_partitions
+            kw["num_partitions"] = range_partitions(changes, n_rows)
     if strategy == "window":
         w = Window.partitionBy(*keys).orderBy(F.col(sequence_by), *[F.col(c) for c in tiebreak])
         hist = ch.withColumn("__END_AT", F.lead(F.col(sequence_by)).over(w))

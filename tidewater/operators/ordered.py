@@ -22,6 +22,16 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
+ROWS_PER_PARTITION = 2_000_000
+
+
+def range_partitions(df: DataFrame, n_rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partitions for a range shuffle: the session's shuffle partitions, or more when the
+    row count is known and large (about ``rows_per_partition`` rows each)."""
+    base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n_rows is None:
+        return base
+    return max(base, -(-n_rows // rows_per_partition))
 
 
 def with_global_positions(df: DataFrame, order_by: Sequence[str], num_partitions: int | None = None,
@@ -30,7 +40,7 @@ def with_global_positions(df: DataFrame, order_by: Sequence[str], num_partitions
     unique - end it with an id column)."""
     spark = df.sparkSession
     if num_partitions is None:
-        num_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        num_partitions = range_partitions(df)
     path = work_dir or scratch_dir(spark, "positions")
     (df.repartitionByRange(num_partitions, *order_by)
        .sortWithinPartitions(*order_by)

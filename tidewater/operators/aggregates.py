@@ -49,8 +49,9 @@ def window_stats(df: DataFrame, size: str = "10 minutes", slide: str | None = "5
 
 def session_stats(df: DataFrame, gap: str = "30 minutes", time_col: str = "MeasurementDateTime",
                   keys: Sequence[str] = SENSOR_KEYS, value: str = "SensorValue", id_col: str = "Id") -> DataFrame:
-    """Statistics per activity session (a new session starts when ``gap`` or more
-    passed since the previous reading of the key); session_end = last reading + gap.
+    """Statistics per activity session (a new session starts when more than ``gap``
+    passed since the previous reading of the key, as in ``session_window``);
+    session_end = last reading + gap.
 
     Readings in one gap-wide time bucket are always in one session, so they are first
     combined per (keys, bucket) - a partial aggregate before any shuffle - and only the
@@ -70,7 +71,8 @@ def session_stats(df: DataFrame, gap: str = "30 minutes", time_col: str = "Measu
     from pyspark.sql import Window
     w = Window.partitionBy(*keys).orderBy("_bk")
     prev_last = F.lag("_last").over(w)
-    starts = F.when(prev_last.isNull() | (F.col("_first") >= prev_last + g), 1).otherwise(0)
+    # as session_window: readings exactly ``gap`` apart still share a session
+    starts = F.when(prev_last.isNull() | (F.col("_first") > prev_last + g), 1).otherwise(0)
     sess = buckets.withColumn("_new", starts).withColumn(
         "_sid", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = sess.groupBy(*keys, "_sid").agg(

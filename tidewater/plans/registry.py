@@ -209,7 +209,7 @@ SESSION_SQL = """SELECT SensorLocation, SensorMeasurement, MIN(MeasurementDateTi
   MAX(MeasurementDateTime) + INTERVAL 30 MINUTE AS session_end,
   round(CAST(SUM(SensorValue) AS DOUBLE) / COUNT(SensorValue), 6) AS AvgSensorValue, COUNT(Id) AS NumMeasurements,
   CAST(MAX(SensorValue) AS DOUBLE) AS HighestSensorValue, CAST(MIN(SensorValue) AS DOUBLE) AS LowestSensorValue
-FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR MeasurementDateTime - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+FROM (SELECT *, SUM(CASE WHEN prev IS NULL OR MeasurementDateTime - prev > INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
         OVER (PARTITION BY SensorLocation, SensorMeasurement ORDER BY MeasurementDateTime, Id) AS sid
       FROM (SELECT *, lag(MeasurementDateTime) OVER (PARTITION BY SensorLocation, SensorMeasurement
                                                      ORDER BY MeasurementDateTime, Id) AS prev FROM sensors))

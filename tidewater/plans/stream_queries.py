@@ -15,7 +15,7 @@ from ..operators import merge as mg
 from ..session import scratch_dir
 from ..sources import envelope as env
 from ..sources import sinks
-from ..sources.copy_into import copy_into
+from ..sources.copy_into import copy_into, read_loaded
 from ..sources.files import TS_FORMAT, stream_csv
 from ..streaming import operators as so
 from ..streaming.runner import run_stream
@@ -244,7 +244,7 @@ def copy_into_incremental(spark, sf_dir):
     # files were staged with an extra column; load by position (11 columns + helper)
     copy_into(spark, f"{root}/raw", target, state, select, n_columns=12, pattern="*.csv")
     copy_into(spark, f"{root}/raw", target, state, select, n_columns=12, pattern="*.csv")
-    return spark.read.parquet(target).drop("InputFileName").withColumn(TS, F.col(TS).cast("timestamp_ntz"))
+    return read_loaded(spark, target).drop("InputFileName").withColumn(TS, F.col(TS).cast("timestamp_ntz"))
 
 
 # --------------------------------------------------------------------------- window join, sessions

@@ -32,6 +32,9 @@ def test_query_matches_oracle(spark, duck, name):
     import __spark_entry__ as E
     from check_oracles import digest
     df = E.queries()[name](spark, SF)
+    from test_plans import plan_of
+    plan = plan_of(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:

@@ -46,9 +46,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_session_conf(spark: SparkSession) -> None:
-    """Apply the runtime settings the operators expect to an existing session."""
-    for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode"):
-        spark.conf.set(k, BASE_CONF[k])
+    """Apply the runtime setting the operators expect to an existing session (UTC, for
+    casts between zoned and zone-less timestamps); writers pass their own options."""
+    spark.conf.set("spark.sql.session.timeZone", BASE_CONF["spark.sql.session.timeZone"])
     ensure_checkpoint_dir(spark)
 
 

@@ -57,3 +57,33 @@ def test_future_frame_continues_from_latest_end(spark, series):
     r = fut.agg(F.min("ds"), F.max("ds"), F.count(F.lit(1))).first()
     assert (r[0] - latest).total_seconds() == 3600 and (r[1] - latest).total_seconds() == 24 * 3600
     assert r[2] == 24 * series.select("ts_id").distinct().count()
+
+
+def test_cross_validation_matches_brute_force(spark, series):
+    folds, horizon, period = 3, 24, ridge.FOLD_PERIOD_HOURS
+    m, _, prep = ridge.cross_validate(series, spark, n_trials=2, folds=folds, horizon=horizon)
+    got = {(r.ts_id, r.trial): r.smape for r in m.collect()}
+    pdf = prep.toPandas()
+    for i, p in enumerate(ridge.trials(2)):
+        for sid, g in pdf.groupby("ts_id"):
+            ys, yhs = [], []
+            for f in range(folds):
+                cut = g["span"].iloc[0] - (horizon + f * period)
+                tr, te = g[g["t"] <= cut], g[(g["t"] > cut) & (g["t"] <= cut + horizon)]
+                if tr.empty or te.empty:
+                    continue
+                mode = p["seasonality_mode"]
+                X = ridge.design(tr["t"].to_numpy(float), tr["abs_h"].to_numpy(float), tr["span"].to_numpy(float), mode)
+                y = tr["y"].to_numpy(float) / tr["scale"].to_numpy(float)
+                A = X.T @ X + np.diag(ridge._penalty(p["changepoint_prior_scale"], p["seasonality_prior_scale"])) \
+                    + 1e-9 * np.eye(ridge.N_FEATURES)
+                beta = np.linalg.solve(A, X.T @ y)
+                Xt = ridge.design(te["t"].to_numpy(float), te["abs_h"].to_numpy(float), te["span"].to_numpy(float), mode)
+                yhs.append(Xt @ beta * te["scale"].to_numpy(float))
+                ys.append(te["y"].to_numpy(float))
+            if not ys:
+                continue
+            y, yh = np.concatenate(ys), np.concatenate(yhs)
+            den = np.abs(y) + np.abs(yh)
+            want = np.mean(2 * np.abs(y - yh)[den > 0] / den[den > 0])
+            assert got[(sid, i)] == pytest.approx(want, rel=1e-6), (sid, i)

@@ -73,10 +73,12 @@ def gold_daily(silver: DataFrame, verified: Mapping[str, tuple[str, DataFrame]],
     s = silver.select(L, M, TS, V)
 
     if keep_join_fanout:
-        mult = None
+        # rows per (sensor literal, time) over all right tables: one aggregate, one row per key
+        rights = None
         for lit, right in verified.values():
-            c = (right.groupBy(TS).agg(F.count(F.lit(1)).alias("_c")).withColumn(M, F.lit(lit)))
-            mult = c if mult is None else mult.unionByName(c)
+            r = right.select(F.lit(lit).alias(M), TS)
+            rights = r if rights is None else rights.unionByName(r)
+        mult = rights.groupBy(M, TS).agg(F.count(F.lit(1)).alias("_c"))
         s = s.join(mult, [M, TS], "left").withColumn("_m", F.coalesce(F.col("_c"), F.lit(1)).cast("long"))
     else:
         s = s.withColumn("_m", F.lit(1).cast("long"))

@@ -223,3 +223,23 @@ def pipeline_run(spark, sf_dir):
         generate_gold(name)
     p.run()
     return spark.read.parquet(p.path("Gold_AllSensorAggregates"))
+
+
+@R.register("pipeline_jobs", Q.gold_daily_sql())
+def pipeline_jobs(spark, sf_dir):
+    """R2B/B2S/S2G end to end: raw CSV drops -> bronze fan-out with deterministic ids ->
+    silver merge -> gold tables; returns the daily gold aggregate."""
+    from ..config import RunParams
+    from . import jobs
+    root = scratch_dir(spark, "jobs")
+    s = R._silver(spark, sf_dir)
+    raw = s.select(F.lit(None).cast("string").alias("Skip"), F.lit("_result").alias("SkipResult"),
+                   F.lit("0").alias("SkipTable"), F.date_trunc("day", TS).alias("a"), F.date_trunc("day", TS).alias("b"),
+                   TS, "SensorValue", "SensorUnitDescription", "SensorMeasurement", "SensorLocation",
+                   F.lit("").alias("Id"))
+    params = RunParams(mode="stream", source=f"{root}/landing", target_root=f"{root}/lake")
+    for _ in stage(raw, params.source, TS, fmt="csv", options={"header": "true", "timestampFormat": files.TS_FORMAT}):
+        jobs.raw_to_bronze(spark, params)
+    jobs.bronze_to_silver(spark, params)
+    out = jobs.silver_to_gold(spark, params)
+    return spark.read.parquet(out["gold_aggregates"])

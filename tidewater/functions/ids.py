@@ -37,12 +37,17 @@ def with_deterministic_id(df: DataFrame, cols: Sequence[str] | None = None, id_c
     if rest:
         raise ValueError(f"columns {rest} are not part of the id; pass them in cols or drop them")
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    chunks = g.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))))
+    # contents seen at most ``chunk`` times expand where they are; more frequent ones are
+    # first cut into chunks of ordinals, which are spread over tasks, then expanded
+    few = g.filter(F.col("_n") <= chunk).withColumn("_ord", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    many = g.filter(F.col("_n") > chunk)
+    chunks = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))))
     chunks = chunks.repartition("_chunk", *cols)
     lo = F.col("_chunk") * chunk
     hi = F.least(F.col("_n"), lo + chunk) - 1
-    rows = chunks.withColumn("_ord", F.explode(F.sequence(lo, hi)))
-    return rows.withColumn(id_col, content_hash(cols, F.col("_ord"))).drop("_n", "_chunk", "_ord")
+    spread = chunks.withColumn("_ord", F.explode(F.sequence(lo, hi))).drop("_chunk")
+    rows = few.unionByName(spread)
+    return rows.withColumn(id_col, content_hash(cols, F.col("_ord"))).drop("_n", "_ord")
 
 
 def uuid_column() -> Column:

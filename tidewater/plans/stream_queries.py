@@ -26,6 +26,11 @@ from . import sql as Q
 TS = "MeasurementDateTime"
 
 
+def _sp(spark) -> int:
+    """State partitions of the test streams: the cluster's default parallelism."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _silver_stream_source(spark, sf_dir, root):
     """Stage silver rows (event time as TIMESTAMP) as Parquet files; returns (path, schema)."""
     silver = so.as_event_time(R._silver(spark, sf_dir))
@@ -45,7 +50,7 @@ def stream_csv_bronze(spark, sf_dir):
     for _ in stage(raw, f"{root}/raw", TS, fmt="csv", options={"timestampFormat": TS_FORMAT}):
         src = stream_csv(spark, f"{root}/raw", schema, path_glob="*.csv")
         bronze = clean.with_lineage(clean.clean_raw(src))
-        run_stream(bronze, ckpt, path=out)
+        run_stream(bronze, ckpt, path=out, state_partitions=_sp(spark))
     df = spark.read.parquet(out)
     bad = df.filter(F.col("InputFileName").isNull()).limit(1).count()
     if bad:
@@ -68,7 +73,7 @@ def route_fanout_stream(spark, sf_dir):
     ckpt, base = f"{root}/_checkpoint", f"{root}/tables"
     for _ in stage(silver, inp, TS):
         src = spark.readStream.schema(silver.schema).parquet(inp)
-        run_stream(src, ckpt, foreach_batch=sinks.fanout_writer(base))
+        run_stream(src, ckpt, foreach_batch=sinks.fanout_writer(base), state_partitions=_sp(spark))
     names = ["all_sensors", *S.DEFAULT_ROUTES]
     out = None
     for n in names:
@@ -90,7 +95,8 @@ def stream_agg_complete(spark, sf_dir):
         batch.write.mode("overwrite").parquet(out)
     for _ in stage(silver, inp, TS):
         src = spark.readStream.schema(silver.schema).parquet(inp)
-        run_stream(agg.sensor_totals(src), ckpt, foreach_batch=write, output_mode="complete")
+        run_stream(agg.sensor_totals(src), ckpt, foreach_batch=write, output_mode="complete",
+                   state_partitions=_sp(spark))
     return spark.read.parquet(out)
 
 
@@ -106,7 +112,8 @@ def stream_agg_append(spark, sf_dir):
     out, ckpt = f"{root}/windows", f"{root}/_checkpoint"
     for _ in stage(silver, inp, TS):
         src = spark.readStream.schema(silver.schema).parquet(inp)
-        run_stream(so.windowed_stats(src, "10 minutes", "10 minutes", "5 minutes"), ckpt, path=out)
+        run_stream(so.windowed_stats(src, "10 minutes", "10 minutes", "5 minutes"), ckpt, path=out,
+                   state_partitions=_sp(spark))
     df = spark.read.parquet(out)
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
@@ -120,7 +127,7 @@ def stream_dedup(spark, sf_dir):
     out, ckpt = f"{root}/dedup", f"{root}/_checkpoint"
     for _ in stage(doubled, inp, TS):
         src = spark.readStream.schema(silver.schema).parquet(inp)
-        run_stream(so.dedup_within_watermark(src, ["Id"], TS, "1 hour"), ckpt, path=out)
+        run_stream(so.dedup_within_watermark(src, ["Id"], TS, "1 hour"), ckpt, path=out, state_partitions=_sp(spark))
     return spark.read.parquet(out).withColumn(TS, F.col(TS).cast("timestamp_ntz"))
 
 
@@ -137,7 +144,7 @@ def stream_upsert(spark, sf_dir):
     ckpt, inp = f"{root}/_checkpoint", f"{root}/input"
     for _ in stage(upd, inp, TS):
         src = spark.readStream.schema(upd.schema).parquet(inp)
-        run_stream(src, ckpt, foreach_batch=so.upsert_batches(table))
+        run_stream(src, ckpt, foreach_batch=so.upsert_batches(table), state_partitions=_sp(spark))
     return table.read()
 
 
@@ -156,7 +163,7 @@ def stream_apply_changes(spark, sf_dir):
                             except_column_list=["raw_value"])
     for _ in stage(feed, inp, "ts"):
         src = spark.readStream.schema(feed.schema).parquet(inp)
-        run_stream(src, ckpt, foreach_batch=apply)
+        run_stream(src, ckpt, foreach_batch=apply, state_partitions=_sp(spark))
     return table.read().drop("event_id")
 
 
@@ -194,7 +201,7 @@ def stream_interval_join(spark, sf_dir):
         wt, att = _ij_sides(src)
         j = so.interval_join(wt.withWatermark(TS, "10 minutes"), att.withWatermark("AirTime", "10 minutes"),
                              ["SensorLocation"], TS, "AirTime", 0, 120)
-        run_stream(j, ckpt, path=out)
+        run_stream(j, ckpt, path=out, state_partitions=_sp(spark))
     df = spark.read.parquet(out)
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in (TS, "AirTime")})
 
@@ -212,7 +219,7 @@ def envelope_roundtrip(spark, sf_dir):
         env.write_log(env.encode(part, "Id"), path=log, topic="sensors")
         stream = env.read_log_stream(spark, path=log, topics="sensors")
         bronze = env.decode(env.to_envelope(stream), payload_schema)
-        run_stream(bronze, ckpt, path=out)
+        run_stream(bronze, ckpt, path=out, state_partitions=_sp(spark))
     return spark.read.parquet(out).withColumn(TS, F.col(TS).cast("timestamp_ntz"))
 
 
@@ -271,7 +278,8 @@ def stream_window_join(spark, sf_dir):
     for _ in stage(silver, inp, TS):
         src = spark.readStream.schema(silver.schema).parquet(inp)
         left, right = fx.route(src, S.WATER_TEMP), fx.route(src, S.AIR_TEMP)
-        run_stream(so.window_join(left, right, "1 hour", ["SensorLocation"], TS, "10 minutes"), ckpt, path=out)
+        run_stream(so.window_join(left, right, "1 hour", ["SensorLocation"], TS, "10 minutes"), ckpt, path=out,
+                   state_partitions=_sp(spark))
     df = spark.read.parquet(out)
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
 
@@ -287,7 +295,7 @@ def stream_agg_session(spark, sf_dir):
     out, ckpt = f"{root}/sessions", f"{root}/_checkpoint"
     for _ in stage(silver, inp, TS):
         src = spark.readStream.schema(silver.schema).parquet(inp).withWatermark(TS, "10 minutes")
-        run_stream(agg.session_stats_builtin(src, "30 minutes"), ckpt, path=out)
+        run_stream(agg.session_stats_builtin(src, "30 minutes"), ckpt, path=out, state_partitions=_sp(spark))
     df = spark.read.parquet(out)
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
@@ -308,7 +316,8 @@ def stream_late_drop(spark, sf_dir):
     for part in parts:
         part.write.mode("append").parquet(inp)
         src = spark.readStream.schema(silver.schema).parquet(inp)
-        q = run_stream(so.windowed_stats(src, "10 minutes", "10 minutes", "5 minutes"), ckpt, path=out)
+        q = run_stream(so.windowed_stats(src, "10 minutes", "10 minutes", "5 minutes"), ckpt, path=out,
+                     state_partitions=_sp(spark))
         dropped += dropped_by_watermark(q)
     if dropped == 0:
         raise AssertionError("late readings were not dropped")

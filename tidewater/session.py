@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,18 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
     checkpoints of stream queries and intermediate tables)."""
     root = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return f"{root.rstrip('/')}/tidewater-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Temporarily set ``spark.sql.shuffle.partitions`` (a streaming query fixes its state
+    partitions from this value when it starts; the session keeps its own setting)."""
+    if n is None:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)

@@ -50,18 +50,24 @@ def fanout(batch: DataFrame, base_path: str, routes: Mapping[str, str] = S.DEFAU
            column: str = "SensorMeasurement") -> dict[str, str]:
     """Write one batch to an all-rows table and one table per route.
 
-    The batch is persisted once (MEMORY_AND_DISK) so the route writes do not recompute
-    it.  With ``batch_id`` every write is idempotent (``append_batch``); ``mode`` is used
-    otherwise (``overwrite`` keeps only the last batch - rarely what a stream wants)."""
+    With ``batch_id`` (the streaming case) the batch is computed once and written to the
+    all-rows table (``append_batch``: idempotent per batch id); every route is then cut
+    from those freshly written files (partition pruning on the batch id, the route filter
+    pushed to the scan) - no cached copy that a lost executor would take with it, and read
+    partitions sized by the files.  Without ``batch_id`` the batch is persisted for the
+    route writes and ``mode`` applies (``overwrite`` keeps only the last batch)."""
     paths = {all_name: f"{base_path}/{all_name}", **{n: f"{base_path}/{n}" for n in routes}}
+    if batch_id is not None:
+        append_batch(batch, paths[all_name], batch_id)
+        written = (batch.sparkSession.read.parquet(paths[all_name])
+                   .filter(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL))
+        for name, part in clean.routes(written, routes, column).items():
+            append_batch(part, paths[name], batch_id)
+        return paths
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        parts = {all_name: batch, **clean.routes(batch, routes, column)}
-        for name, part in parts.items():
-            if batch_id is not None:
-                append_batch(part, paths[name], batch_id)
-            else:
-                part.write.mode(mode).parquet(paths[name])
+        for name, part in {all_name: batch, **clean.routes(batch, routes, column)}.items():
+            part.write.mode(mode).parquet(paths[name])
     finally:
         batch.unpersist()
     return paths

@@ -13,6 +13,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from ..session import shuffle_partitions
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -39,9 +41,24 @@ def run_stream(df: DataFrame, checkpoint: str, path: str | None = None, table: s
                foreach_batch: Callable[[DataFrame, int], None] | None = None, fmt: str = "parquet",
                output_mode: str = "append", trigger: str | Mapping = "availableNow",
                query_name: str | None = None, partition_by: Sequence[str] | None = None,
-               options: Mapping[str, str] | None = None, wait: bool = True) -> StreamingQuery:
+               options: Mapping[str, str] | None = None, wait: bool = True,
+               state_partitions: int | None = None) -> StreamingQuery:
     """Start a streaming query into a path, a table or a foreachBatch
-    function; returns the (finished, for one-shot triggers) query."""
+    function; returns the (finished, for one-shot triggers) query.  ``state_partitions``
+    sets the number of shuffle/state partitions of a new query (kept by its checkpoint
+    afterwards); by default the session's ``spark.sql.shuffle.partitions`` applies."""
+    with shuffle_partitions(df.sparkSession, state_partitions):
+        q = _start(df, checkpoint, path, table, foreach_batch, fmt, output_mode, trigger, query_name,
+                   partition_by, options)
+    if wait and (trigger in ("availableNow", "once")):
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+    return q
+
+
+def _start(df, checkpoint, path, table, foreach_batch, fmt, output_mode, trigger, query_name, partition_by,
+           options) -> StreamingQuery:
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
@@ -60,10 +77,6 @@ def run_stream(df: DataFrame, checkpoint: str, path: str | None = None, table: s
             q = w.toTable(table)
         else:
             q = w.start(path)
-    if wait and (trigger in ("availableNow", "once")):
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
     return q
 
 

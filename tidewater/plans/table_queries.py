@@ -161,12 +161,12 @@ def batch_audit(spark, sf_dir):
     base, ckpt, inp = f"{root}/tables", f"{root}/_checkpoint", f"{root}/input"
 
     def write(batch, batch_id):
-        batch.persist()
-        parts = {"all_sensors": batch, **clean.routes(batch)}
-        for name, part in parts.items():
+        log.write(batch, "all_sensors", "STREAMING UPDATE", batch_id,
+                  lambda d: sinks.append_batch(d, f"{base}/all_sensors", batch_id))
+        written = spark.read.parquet(f"{base}/all_sensors").filter(F.col(sinks.BATCH_COL) == batch_id)
+        for name, part in clean.routes(written.drop(sinks.BATCH_COL)).items():
             log.write(part, name, "STREAMING UPDATE", batch_id,
                       lambda d, n=name: sinks.append_batch(d, f"{base}/{n}", batch_id))
-        batch.unpersist()
     for _ in stage(silver, inp, TS):
         run_stream(spark.readStream.schema(silver.schema).parquet(inp), ckpt, foreach_batch=write)
     return log.history().select("table_name", "batch_id", "num_rows")

@@ -87,3 +87,13 @@ def test_cross_validation_matches_brute_force(spark, series):
             den = np.abs(y) + np.abs(yh)
             want = np.mean(2 * np.abs(y - yh)[den > 0] / den[den > 0])
             assert got[(sid, i)] == pytest.approx(want, rel=1e-6), (sid, i)
+
+
+def test_failing_series_reports_error_row(spark, series):
+    bad = series.withColumn("y", F.when((F.col("ts_id") == "h2o_pH") & (F.hour("ds") == 3), F.lit(float("nan")))
+                            .otherwise(F.col("y")))
+    coefs = ridge.fit_all(ridge.prepare(bad, folds=2), n_trials=2, folds=2)
+    fails = {r.ts_id: r.error for r in ridge.fit_failures(coefs).collect()}
+    assert list(fails) == ["h2o_pH"] and "non-finite" in fails["h2o_pH"]
+    ok = coefs.filter(F.col("error").isNull()).select("ts_id").distinct().count()
+    assert ok == series.select("ts_id").distinct().count() - 1

@@ -153,14 +153,15 @@ def _partial_stats(batches):
 COEF_SCHEMA = T.StructType([
     T.StructField("ts_id", T.StringType()), T.StructField("trial", T.IntegerType()), T.StructField("fold", T.IntegerType()),
     T.StructField("coef", T.ArrayType(T.DoubleType())), T.StructField("sigma", T.DoubleType()),
-    T.StructField("n_train", T.LongType()),
+    T.StructField("n_train", T.LongType()), T.StructField("error", T.StringType()),
 ])
 
 
 def _solver(trial_rows: list[tuple], folds: int):
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+    cols = [f.name for f in COEF_SCHEMA.fields]
+
+    def solve_series(pdf: pd.DataFrame, sid: str) -> list[tuple]:
         out = []
-        sid = pdf["ts_id"].iloc[0]
         for mode in SEASONALITY_MODES:
             m = pdf[pdf["mode"] == mode]
             segs = {}
@@ -184,11 +185,27 @@ def _solver(trial_rows: list[tuple], folds: int):
                     beta = np.linalg.solve(A, xty)
                     rss = max(yty - 2 * beta @ xty + beta @ xtx @ beta, 0.0)
                     sigma = math.sqrt(rss / max(n - N_FEATURES, 1))
-                    out.append((sid, trial, fold, beta.tolist(), sigma, n))
-        return pd.DataFrame(out, columns=[f.name for f in COEF_SCHEMA.fields])
+                    if not (np.all(np.isfinite(beta)) and math.isfinite(sigma)):
+                        raise FloatingPointError("non-finite fit (missing or infinite values in the series)")
+                    out.append((sid, trial, fold, beta.tolist(), sigma, n, None))
+        return out
+
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        # U4: a series whose fit fails yields one error row instead of failing the job
+        sid = pdf["ts_id"].iloc[0]
+        try:
+            rows = solve_series(pdf, sid)
+        except Exception as e:  # noqa: BLE001 - any failure of one series is reported, not raised
+            rows = [(sid, None, None, None, None, None, f"{type(e).__name__}: {e}")]
+        return pd.DataFrame(rows, columns=cols)
     return solve
 
 
+def fit_failures(coefs: DataFrame) -> DataFrame:
+    """Series whose fit failed, with the error text."""
+    return coefs.filter(F.col("error").isNotNull()).select("ts_id", "error")
+
+
 def fit_all(prepared: DataFrame, n_trials: int = MAX_EVALS, folds: int = NUM_FOLDS) -> DataFrame:
     """Coefficients and residual sigma (scaled units) per (series, trial, fold)."""
     stats = prepared.mapInPandas(_partial_stats, STATS_SCHEMA)
@@ -233,7 +250,7 @@ def cross_validate(series: DataFrame, spark, n_trials: int = MAX_EVALS, folds: i
     """Returns (metrics per series and trial, coefficients, prepared rows)."""
     prep = prepare(series, "ts_id", horizon, folds)
     tdf = trials_frame(spark, n_trials)
-    coefs = fit_all(prep, n_trials, folds)
+    coefs = fit_all(prep, n_trials, folds).filter(F.col("error").isNull())
     # hold-out rows of fold f: segment folds-f (rows after cutoff_f) within horizon of cutoff_f
     holdout = None
     for f in range(folds):

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # Horizon and unit of the forecast, band width.
 HORIZON = 24          # steps
 UNIT = "hour"
@@ -116,15 +118,17 @@ def metrics(scored: DataFrame, key: str = "ts_id", y: str = "y") -> DataFrame:
 
 
 def evaluate(series: DataFrame, key: str = "ts_id", horizon: int = HORIZON) -> DataFrame:
-    """Fit on all but the last ``horizon`` hours of each series and score the rest."""
-    train, test = holdout_split(series, key, horizon)
+    """Fit on all but the last ``horizon`` hours of each series and score the rest.
+    The hourly series is materialised once (every step below reads it)."""
+    train, test = holdout_split(materialize(series, "hourly-series"), key, horizon)
     params, season = fit(train, key)
     return metrics(predict(test, params, season, key), key)
 
 
 def forecast(series: DataFrame, key: str = "ts_id", horizon: int = HORIZON) -> DataFrame:
-    """Fit on the whole history and forecast ``horizon`` hours ahead."""
-    params, season = fit(series, key)
+    """Fit on the whole history and forecast ``horizon`` hours ahead.  The hourly series is
+    materialised once (every step below reads it)."""
+    params, season = fit(materialize(series, "hourly-series"), key)
     return predict(future_frame(params, key, horizon), params, season, key)
 
 

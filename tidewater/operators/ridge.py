@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
 from .forecast import HORIZON, INTERVAL_WIDTH, METRICS, Z_95, metrics
 
 # Fixed values of the search (mirroring the original search space and CV settings):
@@ -248,7 +249,8 @@ def score(rows: DataFrame, coefs: DataFrame, trial_df: DataFrame, z: float = Z_9
 def cross_validate(series: DataFrame, spark, n_trials: int = MAX_EVALS, folds: int = NUM_FOLDS,
                    horizon: int = HORIZON) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Returns (metrics per series and trial, coefficients, prepared rows)."""
-    prep = prepare(series, "ts_id", horizon, folds)
+    # the prepared hourly rows feed the statistics, every fold's hold-out and the spans
+    prep = materialize(prepare(series, "ts_id", horizon, folds), "ridge-prepared")
     tdf = trials_frame(spark, n_trials)
     coefs = fit_all(prep, n_trials, folds).filter(F.col("error").isNull())
     # hold-out rows of fold f: segment folds-f (rows after cutoff_f) within horizon of cutoff_f

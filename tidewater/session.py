@@ -87,3 +87,16 @@ def shuffle_partitions(spark: SparkSession, n: int | None):
         yield
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def materialize(df, label: str = "stage"):
+    """Write ``df`` once to a new folder below the shared checkpoint root and read it back.
+
+    For small intermediates that several branches of a plan reuse (Spark reuses an
+    exchange only when the branches prune it identically, so each branch would otherwise
+    recompute it from the raw tables), and to cut lineage: a lost executor re-reads the
+    files instead of recomputing from the source."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)

@@ -23,7 +23,7 @@ from ..operators import forecast as fc
 from ..operators import merge as mg
 from ..operators import quality as qual
 from ..operators.moving_average import latest_per_key, moving_average
-from ..session import ensure_session_conf
+from ..session import ensure_session_conf, materialize
 from . import gold
 from . import sql as Q
 
@@ -171,12 +171,10 @@ _ROUTES_VALUES = ", ".join(f"('{n}', '{m}')" for n, m in S.DEFAULT_ROUTES.items(
                     f"FROM sensors JOIN (VALUES {_ROUTES_VALUES}) AS r(route, lit) ON SensorMeasurement = r.lit "
                     "GROUP BY 1, 2, 3")))
 def agg_by_route(spark, sf_dir):
-    """One statistics table per configured route, unioned with the route name."""
-    parts = [t.withColumn("route", F.lit(name)) for name, t in agg.totals_by_route(_silver(spark, sf_dir)).items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Statistics per configured route in one pass (rows tagged with their route,
+    one grouping); ``aggregates.totals_by_route`` gives the separate per-route tables."""
+    tagged = clean.route_tagged(_silver(spark, sf_dir))
+    return agg.sensor_totals(tagged, keys=("route", "SensorLocation", "SensorMeasurement"))
 
 
 def _window_sql(size_min: int, slide_min: int | None) -> str:
@@ -355,7 +353,8 @@ def _apply_in_batches(spark, sf_dir, **kw):
     late, early = feed.filter(F.col("ts") >= cut), feed.filter(F.col("ts") < cut)
     common = dict(keys=CDC_KEYS, sequence_by="ts", tiebreak=["event_id"])
     common.update(kw)
-    state = mg.apply_changes(None, late, **common)
+    # the state between batches is a stored table, as in a pipeline (no growing lineage)
+    state = materialize(mg.apply_changes(None, late, **common), "cdc-state")
     state = mg.apply_changes(state, early, **common)
     return mg.visible(state)
 

@@ -323,3 +323,22 @@ def stream_late_drop(spark, sf_dir):
         raise AssertionError("late readings were not dropped")
     df = spark.read.parquet(out)
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@R.register("stream_agg_update", Q.with_sensors(R.AGG_SQL))
+def stream_agg_update(spark, sf_dir):
+    """X7 update mode: each trigger emits only the groups whose statistics changed; they
+    are merged by (location, measurement) into a bucketed table, which ends equal to the
+    complete result."""
+    root = scratch_dir(spark, "agg-update")
+    silver, inp = _silver_stream_source(spark, sf_dir, root)
+    table = mg.BucketedTable(spark, f"{root}/totals", ["SensorLocation", "SensorMeasurement"], n_buckets=4)
+    ckpt = f"{root}/_checkpoint"
+
+    def merge(batch, batch_id):
+        table.upsert(batch)
+    for _ in stage(silver, inp, TS):
+        src = spark.readStream.schema(silver.schema).parquet(inp)
+        run_stream(agg.sensor_totals(src), ckpt, foreach_batch=merge, output_mode="update",
+                   state_partitions=_sp(spark))
+    return table.read()

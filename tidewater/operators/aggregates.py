@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.timewin import window_columns
 from . import clean
 
 SENSOR_KEYS = ("SensorLocation", "SensorMeasurement")
@@ -43,8 +44,7 @@ def window_stats(df: DataFrame, size: str = "10 minutes", slide: str | None = "5
     tumbling otherwise.  Columns window_start/window_end instead of the struct."""
     w = F.window(F.col(time_col), size, slide) if slide else F.window(F.col(time_col), size)
     out = df.groupBy(*keys, w.alias("window")).agg(*sensor_stats())
-    return out.select(*keys, F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                      *[c for c in out.columns if c not in (*keys, "window")])
+    return out.select(*keys, *window_columns("window"), *[c for c in out.columns if c not in (*keys, "window")])
 
 
 def session_stats(df: DataFrame, gap: str = "30 minutes", time_col: str = "MeasurementDateTime",

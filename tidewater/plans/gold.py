@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.timewin import day
 from ..operators import forecast as fc
 from ..operators.moving_average import moving_average
 
@@ -47,8 +48,7 @@ def water_quality_forecast(gold_water_quality: DataFrame, forecast_rows: DataFra
                     .orderBy(F.col("MeasurementDateTime").desc(), "ValueType", "SensorValue").limit(limit))
 
 
-def _day(c):
-    return F.date_trunc("day", c).cast("timestamp_ntz")
+_day = day   # F1: date_trunc('day', ts) as a zone-less timestamp
 
 
 def gold_daily(silver: DataFrame, verified: Mapping[str, tuple[str, DataFrame]],

@@ -48,3 +48,12 @@ def test_gold_daily_has_no_pairwise_join(spark):
     for name in ("gold_daily", "gold_daily_hourly", "interval_join", "verify_join"):
         p = plan_of(E.queries()[name](spark, SF))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_entry_schema_is_stable(spark):
+    import __spark_entry__ as E
+    a, b = E.entry(spark), E.entry(spark)
+    assert a.schema == b.schema
+    assert [f.dataType.simpleString() for f in a.schema.fields] == [
+        "string", "timestamp_ntz", "string", "bigint", "bigint", "bigint", "bigint", "bigint",
+        "double", "double", "double", "int", "double"]

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import load
+from tidewater.llm.mixing import mix_sources, with_quality
+from tidewater.llm.simhash_vp import simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.suffix_dedup import suffix_dedup
 
@@ -15,9 +17,19 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, quality = with_quality(load(spark, sf_dir, "documents").select("doc_id", "source", "text"), load(spark, sf_dir, "labels"))
+    out = mix_sources(docs, ["doc_id"], quality=quality)
+    return out.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix_dedup(load(spark, sf_dir, "documents"), length=100)
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op3_suffix_array_dedup)}
+def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2)
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op7_simhash_near_dedup)}

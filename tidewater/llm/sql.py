@@ -5,12 +5,32 @@ WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\
 spot AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM doc),
 win AS (SELECT doc_id, i, array_to_string(words[i:i + 49], ' ') AS s FROM spot),
 owner AS (SELECT s, min(doc_id) AS head FROM win GROUP BY s),
-gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 50)))) AS at
+gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 50)))) AS pos
          FROM win JOIN owner USING (s) WHERE head < doc_id GROUP BY doc_id),
-cut AS (SELECT doc_id, len(words) AS n, coalesce(len(at), 0) AS r,
-               list_filter(words, lambda w, k: at IS NULL OR NOT list_contains(at, k)) AS kept
+cut AS (SELECT doc_id, len(words) AS n, coalesce(len(pos), 0) AS r,
+               list_filter(words, lambda w, k: pos IS NULL OR NOT list_contains(pos, k)) AS kept
         FROM doc LEFT JOIN gone USING (doc_id))
 SELECT doc_id, n::BIGINT AS n_words, r::BIGINT AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM cut
 """
 
-ORACLES = {"op1_substring_dedup": OP1}
+OP2 = r"""
+WITH good AS (SELECT doc_id, max(quality) AS best FROM labels GROUP BY doc_id),
+doc AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+               -ln((('0x' || substr(md5(doc_id::VARCHAR || 'mix'), 1, 12))::BIGINT + 0.5) / 281474976710656.0)
+               / (CASE best WHEN 1 THEN 2.0 WHEN 0 THEN 0.5 ELSE 1.0 END) AS k
+        FROM documents LEFT JOIN good USING (doc_id)),
+src AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS w FROM doc GROUP BY source),
+walk AS (SELECT *, 3.0 * source_size / w AS ratio FROM src),
+lev AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(3.0 * source_size) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
+          / (sum(w) OVER (ORDER BY ratio, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM walk),
+top AS (SELECT min_by(level, ratio) AS level FROM lev WHERE level <= ratio),
+goal AS (SELECT source, source_size, coalesce(least(3.0 * source_size, (SELECT level FROM top) * w), 0.0)::DOUBLE AS target FROM lev),
+plan AS (SELECT doc_id, size, source_size, target, floor(target + 0.5)::BIGINT AS budget,
+                coalesce(sum(size) OVER (PARTITION BY doc.source ORDER BY k, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+         FROM doc JOIN goal ON doc.source IS NOT DISTINCT FROM goal.source)
+SELECT doc_id, size, source_size, target,
+       CASE WHEN source_size = 0 THEN 0 ELSE (budget // source_size) * size + greatest(0, least(size, budget % source_size - start)) END::BIGINT AS taken
+FROM plan
+"""
+
+ORACLES = {"op1_substring_dedup": OP1, "op2_source_mixing": OP2}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import load
@@ -10,6 +10,8 @@ from tidewater.llm.mixing import mix_sources, with_quality
 from tidewater.llm.simhash_vp import simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.suffix_dedup import suffix_dedup
+from tidewater.llm.text_density import extract_pages
+from tidewater.llm.zstd_toxicity import fit_toxicity, score_toxicity
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,4 +34,23 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op7_simhash_near_dedup)}
+def _fold(ident: str, folds: int) -> Column:
+    return F.crc32(F.col(ident).cast("string")) % folds
+
+
+def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, load(spark, sf_dir, "labels"), _fold("doc_id", 5) != 0)
+    out = score_toxicity(docs, model, ["doc_id"])
+    return out.select("doc_id", (_fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_pages(load(spark, sf_dir, "pages"), ["page_id", "url"])
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op7_simhash_near_dedup, op9_compression_toxicity, op10_text_density)
+}

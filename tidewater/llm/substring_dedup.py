@@ -4,7 +4,7 @@ Pass 1 fills a count-min sketch per partition and merges them (``pieces.build_sk
 reads the texts again and keeps only pieces (runs of windows) that the sketch estimates repeated;
 it writes their content hash and the hashes of their windows. Identical pieces are grouped
 first: every copy outside the smallest document goes as a whole, without its windows being
-listed. The windows of what is left are grouped exactly by a 96-bit hash; each window has one
+listed, and a piece that is alone with its anchor has no other place to recur. The windows of what is left are grouped exactly by a 96-bit hash; each window has one
 first document, and windows of later documents are removed.
 """
 
@@ -94,11 +94,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             spans = [(int(s), int(s + c)) for s, c in zip(start, count, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(found.rolling.ranges(start, end).view(np.int64)), pa.array(other.ranges(start, end).view(np.int64)),
+                    pa.array(found.rolling.ranges(start, end).view(np.int64)), pa.array(other.ranges(start, end).view(np.int64)), pa.array(found.anchor[keep].view(np.int64)),
                     pa.array(doc[row]), pa.array(tags[row] + start - base[row]), pa.array(count.astype(np.int32)),
                     pa.array([w1[s:e].tobytes() for s, e in spans], pa.binary()), pa.array([w2[s:e].tobytes() for s, e in spans], pa.binary()),
                 ],
-                ["p1", "p2", "doc", "at", "n", "w1", "w2"],
+                ["p1", "p2", "anchor", "doc", "at", "n", "w1", "w2"],
             )
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,10 +113,13 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 h2 = np.frombuffer(b"".join(s.column("w2").to_pylist()), dtype=np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(col("doc")), pa.array(col("at") + within)], ["h1", "h2", "doc", "at"])
 
-    pieces = materialize(texts.mapInArrow(candidates, "p1 long, p2 long, doc long, at long, n int, w1 binary, w2 binary"), "substring-pieces")
-    first = pieces.groupBy("p1", "p2").agg(F.min("doc").alias("head"))
+    pieces = materialize(texts.mapInArrow(candidates, "p1 long, p2 long, anchor long, doc long, at long, n int, w1 binary, w2 binary"), "substring-pieces")
+    first = materialize(pieces.groupBy("p1", "p2").agg(F.min("doc").alias("head"), F.min("anchor").alias("anchor")), "substring-kinds")
+    shared = first.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
+    mixed = first.join(shared, "anchor").drop("anchor")  # a window can only recur in another piece of its anchor
+    first = first.drop("anchor")
     copies = pieces.select("p1", "p2", "doc", "at", "n").join(first, ["p1", "p2"]).where("doc > head").select("doc", "at", "n")
-    heads = pieces.join(first, ["p1", "p2"]).where("doc = head").select("doc", "at", "n", "w1", "w2")
+    heads = pieces.join(mixed, ["p1", "p2"]).where("doc = head").select("doc", "at", "n", "w1", "w2")
     each = materialize(heads.mapInArrow(windows, "h1 long, h2 int, doc long, at long"), "substring-windows")
     owner = each.groupBy("h1", "h2").agg(F.min("doc").alias("head"), F.max("doc").alias("tail")).where("head < tail").drop("tail")
     later = each.join(owner, ["h1", "h2"]).where("doc > head").select("doc", "at", F.lit(1).alias("n"))

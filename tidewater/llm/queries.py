@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.brown_lm import brown_scores
 from tidewater.llm.common import load
 from tidewater.llm.mixing import mix_sources, with_quality
 from tidewater.llm.simhash_vp import simhash_groups
@@ -38,6 +39,11 @@ def _fold(ident: str, folds: int) -> Column:
     return F.crc32(F.col(ident).cast("string")) % folds
 
 
+def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = brown_scores(load(spark, sf_dir, "documents"), _fold("doc_id", 7) != 2, ["doc_id"])
+    return out.withColumn("held_out", _fold("doc_id", 7) == 2).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op9_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     model = fit_toxicity(docs, load(spark, sf_dir, "labels"), _fold("doc_id", 5) != 0)
@@ -52,5 +58,5 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op7_simhash_near_dedup, op9_compression_toxicity, op10_text_density)
+    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
 }

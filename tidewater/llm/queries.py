@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.brown_lm import brown_scores
 from tidewater.llm.common import load
 from tidewater.llm.mixing import mix_sources, with_quality
+from tidewater.llm.sentencepiece_codec import sentencepiece_codec
 from tidewater.llm.simhash_vp import simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.suffix_dedup import suffix_dedup
@@ -31,6 +32,15 @@ def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str, model_file: str = SENTENCEPIECE_MODEL) -> DataFrame:
+    out = sentencepiece_codec(load(spark, sf_dir, "documents"), model_file, ["doc_id"])
+    digest = F.lower(F.lpad(F.hex(F.xxhash64("ids")), 16, "0")).alias("ids_xxhash64")
+    return out.select("doc_id", "n_tokens", digest, F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip", "parity")
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -58,5 +68,5 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
+    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
 }

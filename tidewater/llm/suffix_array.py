@@ -3,7 +3,8 @@
 Induced sorting walks the buckets of first symbols in order; within a bucket all entries that are
 known induce their left neighbours at once, so a bucket takes as many numpy rounds as its longest
 run of equal symbols. The reduced string of a level is written in two symbols per name (a
-smaller alphabet keeps the number of buckets low), and solved by the same function.
+smaller alphabet keeps the number of buckets low), and solved by the same function; from the third level on, a reduced
+string short enough is ordered directly by doubling ranks.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ import numpy as np
 
 _SMALL = 48
 _WIDE = 1024  # alphabets above this are written as two symbols
+_DIRECT = 1 << 20  # symbols of a reduced string that are ordered directly, from this level on:
+_DIRECT_LEVEL = 2
 
 
 def _types(t: np.ndarray) -> np.ndarray:
@@ -102,9 +105,31 @@ def _differ(t: np.ndarray, a: np.ndarray, b: np.ndarray, length: np.ndarray) ->
     return out
 
 
-def suffix_array(t: np.ndarray, alphabet: int) -> np.ndarray:
+def _by_doubling(t: np.ndarray) -> np.ndarray:
+    """The suffix order from ranks of 1, 2, 4, ... symbols; only places whose rank is still shared are sorted again."""
+    n = len(t)
+    order = np.argsort(t, kind="stable").astype(np.int64)
+    rank = np.empty(n, dtype=np.int64)
+    place, keys, length = np.arange(n), t[order].astype(np.int64), 1
+    while True:
+        new = np.concatenate(([True], keys[1:] != keys[:-1]))
+        rank[order[place]] = np.maximum.accumulate(np.where(new, place, 0))
+        alone = new & np.concatenate((new[1:], [True]))
+        place = place[~alone]
+        if not len(place):
+            return order.astype(np.int32)
+        i = order[place]
+        far = np.minimum(i + length, n - 1)
+        keys = rank[i] * (n + 1) + np.where(i + length < n, rank[far] + 1, 0)
+        by = np.argsort(keys, kind="stable")
+        order[place], keys, length = i[by], keys[by], 2 * length
+
+
+def suffix_array(t: np.ndarray, alphabet: int, level: int = 0) -> np.ndarray:
     """Starts of the suffixes of ``t`` (symbols below ``alphabet``) in order; a suffix sorts before what it is a prefix of."""
     n = len(t)
+    if level >= _DIRECT_LEVEL and n <= _DIRECT:
+        return _by_doubling(t)
     if n <= _SMALL:
         seq = t.tolist()
         return np.array(sorted(range(n), key=lambda i: seq[i:]), dtype=np.int32)
@@ -135,10 +160,10 @@ def suffix_array(t: np.ndarray, alphabet: int) -> np.ndarray:
         if kinds > _WIDE and 2 * len(lms) < 0.9 * n:
             pairs = np.empty(2 * len(lms), dtype=np.int32)
             pairs[0::2], pairs[1::2] = reduced // root, reduced % root
-            order = suffix_array(pairs, root + 1)
+            order = suffix_array(pairs, root + 1, level + 1)
             order = order[order % 2 == 0] // 2
         else:
-            order = suffix_array(reduced, kinds)
+            order = suffix_array(reduced, kinds, level + 1)
         by_suffix = lms[order]
     else:
         by_suffix = by_sub

@@ -131,14 +131,14 @@ def find_pieces(symbols: np.ndarray, ends: np.ndarray, length: int, gram: int) -
 
 # ---- the sketch -------------------------------------------------------------------------------
 
-DEPTH, BLOCK = 4, 1 << 16
-MIN_WIDTH, MAX_WIDTH = 1 << 16, 1 << 25  # cells a row: 4 x 32 MB in a task at most, 16 MB as broadcast bits
+DEPTH, BLOCK = 3, 1 << 16
+MIN_WIDTH, MAX_WIDTH = 1 << 16, 1 << 25  # cells a row: 3 x 32 MB in a task at most, 12 MB as broadcast bits
 
 
 def sketch_width(expected: float) -> int:
-    """Cells a row: the expected number of anchors, as a power of two within the bounds. A full sketch loses nothing,
+    """Cells a row: twice the expected number of anchors or more, as a power of two within the bounds. A full sketch loses nothing,
     it only lets more windows through to the exact pass."""
-    return min(MAX_WIDTH, max(MIN_WIDTH, 1 << max(0, int(expected) - 1).bit_length()))
+    return min(MAX_WIDTH, max(MIN_WIDTH, 1 << max(0, int(2 * expected) - 1).bit_length()))
 
 
 def _cells(anchor: np.ndarray, width: int) -> list[np.ndarray]:
@@ -149,7 +149,7 @@ def _cells(anchor: np.ndarray, width: int) -> list[np.ndarray]:
 def build_sketch(texts: DataFrame, anchors_of: Callable[[pa.RecordBatch], np.ndarray], slicer: Callable, width: int) -> np.ndarray:
     """Merged count-min sketch of all rows, as bits: cell counted twice or more. Each partition fills a sketch of its own and
     hands out its non-empty blocks compressed; blocks are dealt by number and added up one by one, so that a task
-    holds its blocks only. The driver receives depth x width bits (16 MB at most)."""
+    holds its blocks only. The driver receives depth x width bits (12 MB at most)."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros((DEPTH, width), dtype=np.uint8)

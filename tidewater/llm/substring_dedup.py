@@ -114,11 +114,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([pa.array(h1), pa.array(h2), pa.array(col("doc")), pa.array(col("at") + within)], ["h1", "h2", "doc", "at"])
 
     pieces = materialize(texts.mapInArrow(candidates, "p1 long, p2 long, anchor long, doc long, at long, n int, w1 binary, w2 binary"), "substring-pieces")
-    first = materialize(pieces.groupBy("p1", "p2").agg(F.min("doc").alias("head"), F.min("anchor").alias("anchor")), "substring-kinds")
+    first = materialize(pieces.groupBy("p1", "p2").agg(F.min("doc").alias("head"), F.max("doc").alias("tail"), F.min("anchor").alias("anchor")), "substring-kinds")
     shared = first.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
-    mixed = first.join(shared, "anchor").drop("anchor")  # a window can only recur in another piece of its anchor
-    first = first.drop("anchor")
-    copies = pieces.select("p1", "p2", "doc", "at", "n").join(first, ["p1", "p2"]).where("doc > head").select("doc", "at", "n")
+    mixed = first.join(shared, "anchor").select("p1", "p2", "head")  # a window can only recur in another piece of its anchor
+    copied = first.where("head < tail").select("p1", "p2", "head")
+    copies = pieces.select("p1", "p2", "doc", "at", "n").join(copied, ["p1", "p2"]).where("doc > head").select("doc", "at", "n")
     heads = pieces.join(mixed, ["p1", "p2"]).where("doc = head").select("doc", "at", "n", "w1", "w2")
     each = materialize(heads.mapInArrow(windows, "h1 long, h2 int, doc long, at long"), "substring-windows")
     owner = each.groupBy("h1", "h2").agg(F.min("doc").alias("head"), F.max("doc").alias("tail")).where("head < tail").drop("tail")

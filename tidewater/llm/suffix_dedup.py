@@ -131,9 +131,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield result()
 
     pieces = materialize(texts.mapInArrow(candidates, "p1 long, p2 long, anchor long, doc long, at long, size int, again boolean"), "suffix-pieces")
-    kinds = pieces.groupBy("p1", "p2").agg(F.min(F.struct("doc", "at")).alias("head"), F.min("anchor").alias("anchor"), F.min("size").alias("size"), F.max("again").alias("again"))
+    kinds = pieces.groupBy("p1", "p2").agg(F.min(F.struct("doc", "at")).alias("head"), F.min("anchor").alias("anchor"), F.min("size").alias("size"), F.max("again").alias("again"), F.count("*").alias("n"))
     kinds = materialize(kinds, "suffix-kinds")
-    copies = pieces.join(kinds.select("p1", "p2", "head"), ["p1", "p2"]).where("doc != head.doc or at != head.at").select("doc", "at", F.col("size").cast("long"))
+    copies = pieces.join(kinds.where("n > 1").select("p1", "p2", "head"), ["p1", "p2"]).where("doc != head.doc or at != head.at").select("doc", "at", F.col("size").cast("long"))
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")
     todo = materialize(kinds.join(shared, "anchor").select("anchor", "head.doc", "head.at", "size"), "suffix-todo")
     amount = todo.agg(F.sum("size")).first()[0] or 0

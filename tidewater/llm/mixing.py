@@ -49,16 +49,16 @@ def word_targets(sizes: DataFrame, cap: float = 3.0, weights: tuple[int, ...] =
 
 
 def mix_sources(docs: DataFrame, keep: list[str], id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
-                quality: Column | None = None, cap: float = 3.0) -> DataFrame:
+                quality: Column | None = None, size: Column | None = None, cap: float = 3.0) -> DataFrame:
     """One row per input row: ``row`` (a struct of the columns in ``keep``), ``size`` (words), ``source_size``, ``target``, ``taken``
     (words the mix takes; a source's sum to its rounded target, the last document of the partial epoch in part) and
     ``copies`` (whole documents: that last one counts if its middle lies inside).
 
-    ``quality`` is a positive weight (null: 1). A null text has size 0 and is never taken in words; a null source is a source
+    ``quality`` is a positive weight (null: 1); ``size`` replaces the count of the text's words, so that no text need come along. A null text has size 0 and is never taken in words; a null source is a source
     of its own, the last by name; null ids share one key. Equal rows are documents of their own, next to each other
     in the order. An empty table gives an empty result; columns not named are ignored, whatever they are called.
     """
-    size = word_count(F.col(text_col))
+    size = word_count(F.col(text_col)) if size is None else size
     key = sampling_key(F.col(id_col), F.coalesce(quality, F.lit(1.0)) if quality is not None else F.lit(1.0))
     rows = docs.select(F.struct(*keep).alias("row"), F.col(source_col).alias("source"), size.alias("size"), key.alias("key"), F.col(id_col).alias("id"))
     rows = rows.withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor((1 - F.exp(-F.col("key"))) * BUCKETS)).cast("int"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.brown_lm import brown_scores
 from tidewater.llm.common import load
-from tidewater.llm.mixing import mix_sources, with_quality
+from tidewater.llm.imatch import imatch_edits
+from tidewater.llm.mixing import mix_sources, with_quality, word_count
 from tidewater.llm.sentencepiece_codec import sentencepiece_codec
 from tidewater.llm.simhash_vp import simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
@@ -22,8 +23,9 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, quality = with_quality(load(spark, sf_dir, "documents").select("doc_id", "source", "text"), load(spark, sf_dir, "labels"))
-    out = mix_sources(docs, ["doc_id"], quality=quality)
+    docs = load(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    docs, quality = with_quality(docs, load(spark, sf_dir, "labels"))
+    out = mix_sources(docs, ["doc_id"], quality=quality, size=F.col("size"))
     return out.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
@@ -41,6 +43,10 @@ def op4_sentencepiece_codec(spark: SparkSession, sf_dir: str, model_file: str =
     return out.select("doc_id", "n_tokens", digest, F.sha2("decoded", 256).alias("decoded_sha256"), "round_trip", "parity")
 
 
+def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch_edits(load(spark, sf_dir, "documents"), ["doc_id"])
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -68,5 +74,5 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
+    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op5_imatch, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
 }

@@ -9,6 +9,7 @@ from tidewater.llm.brown_lm import brown_scores
 from tidewater.llm.common import load
 from tidewater.llm.imatch import imatch_edits
 from tidewater.llm.mixing import mix_sources, with_quality, word_count
+from tidewater.llm.multi_index import embedding_groups
 from tidewater.llm.sentencepiece_codec import sentencepiece_codec
 from tidewater.llm.simhash_vp import simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
@@ -47,6 +48,10 @@ def op5_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch_edits(load(spark, sf_dir, "documents"), ["doc_id"])
 
 
+def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups(load(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2)
 
@@ -74,5 +79,5 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op5_imatch, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
+    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op5_imatch, op6_inverted_multi_index, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
 }

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from tidewater.session import materialize
 
-__all__ = ["LAST", "WORD", "byte_total", "keyed_texts", "load", "materialize", "slices"]
+__all__ = ["NULL_IDS", "WORD", "byte_total", "keyed_texts", "load", "materialize", "slices"]
 
 WORD = r"[^\x20\x09-\x0D]+"  # a word; bytes.split() cuts UTF-8 text at the same six characters
-LAST = (1 << 63) - 1  # stands for a null id in comparisons: after all others
+NULL_IDS = 1 << 62  # keys from here on stand for null ids; ids themselves are below
 SLICE_BYTES = 1 << 21
 
 
@@ -22,12 +22,20 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def keyed_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id (null: LAST) as ``doc`` and the text (null: empty) as ``txt``, whatever other columns there are."""
-    return docs.select(order_key(F.col(id_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
+    """Only the key (``order_key``) as ``doc`` and the text (null: empty) as ``txt``, whatever other columns there are."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(order_key(F.col(id_col), text).alias("doc"), text.alias("txt"))
 
 
-def order_key(c: Column) -> Column:
-    return F.coalesce(c.cast("long"), F.lit(LAST))
+def order_key(ident: Column, content: Column) -> Column:
+    """The id; for a null one a number above all ids that follows from the row's content. So rows without an id come after all
+    others and are documents of their own, but for equal ones."""
+    return F.coalesce(ident.cast("long"), F.lit(NULL_IDS) + F.xxhash64(content).bitwiseAND(F.lit(NULL_IDS - 1)))
+
+
+def shown_id(key: str, kind) -> Column:
+    """The id of a key again, null where it stands for one."""
+    return F.when(F.col(key) < NULL_IDS, F.col(key)).cast(kind)
 
 
 def byte_total(texts: DataFrame) -> int:

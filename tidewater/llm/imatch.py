@@ -160,7 +160,7 @@ def imatch_edits(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_
     and last text, and these few rows are joined by range afterwards."""
     spark = docs.sparkSession
     lexicon = spark.sparkContext.broadcast(lexicon_of(keyed_texts(docs, id_col, text_col)))
-    source = docs.select(F.struct(*keep).alias("row"), order_key(F.col(id_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
+    source = docs.select(F.struct(*keep).alias("row"), order_key(F.col(id_col), F.col(text_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
     source = source.withColumn("tie", F.xxhash64("txt"))
     ranges = source.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc", "tie").sortWithinPartitions("doc", "tie")
 

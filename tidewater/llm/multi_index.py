@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LAST, materialize, order_key
+from tidewater.llm.common import materialize, order_key, shown_id
 from tidewater.llm.components import components
 from tidewater.llm.simhash_vp import _forest
 
@@ -92,12 +92,12 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9, id_col: str = "
 
     Vectors that are null, zero, empty or hold null or non-finite components link with nothing, and neither do vectors of
     other lengths than the most frequent one, except with equal ones. Equal vectors are one class and link with each other; a class is
-    compared once. A null id comes after all others, has component null if nothing smaller is linked, and isn't kept. An empty table
+    compared once. Rows with a null id come after all others, and a component of such rows alone has the id null. An empty table
     gives an empty result; other columns are ignored. Searched are all rows: each visits the cells that its calibrated
     traversal reaches."""
     spark = vectors.sparkSession
     values = F.transform(F.col(vector_col), lambda v: v.cast("double"))
-    rows = vectors.select(order_key(F.col(id_col)).alias("vec"), values.alias("v"))
+    rows = vectors.select(order_key(F.col(id_col), F.col(vector_col)).alias("vec"), values.alias("v"))
     sound = F.col("v").isNotNull() & (F.size("v") > 0) & F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf")))) & F.exists("v", lambda c: c != 0)
     rows = rows.withColumn("v", F.when(F.coalesce(sound, F.lit(False)), F.col("v")))
 
@@ -128,8 +128,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9, id_col: str = "
         named = classes.join(links.groupBy("head").agg(F.sum("n").alias("n")), "head", "left").join(components(pairs), F.col("head") == F.col("node"), "left")
         classes = named.select("unit", "copies", F.coalesce("n", F.lit(0)).alias("linked"), F.coalesce("component", "head").alias("component"))
     out = units.join(classes, "unit", "left").select("vec", F.coalesce(F.col("copies") - 1 + F.col("linked"), F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "vec").alias("component"))
-    shown = lambda c: F.when(F.col(c) != LAST, F.col(c)).cast(kind)
-    return out.select(shown("vec").alias(id_col), "n_links", shown("component").alias("component_id"), ((F.col("vec") == F.col("component")) & (F.col("vec") != LAST)).alias("kept"))
+    return out.select(shown_id("vec", kind).alias(id_col), "n_links", shown_id("component", kind).alias("component_id"), (F.col("vec") == F.col("component")).alias("kept"))
 
 
 def _search(classes: DataFrame, dim: int, count: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:

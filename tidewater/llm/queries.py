@@ -53,7 +53,7 @@ def op6_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2)
+    return simhash_groups(load(spark, sf_dir, "documents"), shingle=3, distance=2).select("doc_id", "fingerprint", "component_id")
 
 
 def _fold(ident: str, folds: int) -> Column:

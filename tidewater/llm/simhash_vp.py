@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import LAST, keyed_texts, materialize, slices
+from tidewater.llm.common import keyed_texts, materialize, shown_id, slices
 from tidewater.llm.components import components
 
 SAMPLE = 1 << 13  # fingerprints (about) on which the sharding tree is fitted; never more than an eighth of them
@@ -134,11 +134,12 @@ def link_shard(x: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row per input row: the id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable over links
-    of at most ``distance`` bits (itself included).
+    of at most ``distance`` bits (itself included); also ``key``, ``component_key`` (``common.order_key`` of the row and of its component's first)
+    and ``text_hash``, for joining results to rows.
 
     A null or wordless text has fingerprint zero and links like any other; fewer words than a shingle give one
-    shingle of them all. A null id comes after all others: such rows get the component of their links, null if alone
-    among null ids. Equal rows are one class. An empty table gives an empty result; other columns are ignored.
+    shingle of them all. Rows with a null id come after all others, as documents of their own, and a component of such rows alone
+    has the id null. Equal rows are one class. An empty table gives an empty result; other columns are ignored.
     """
     spark = docs.sparkSession
     texts = keyed_texts(docs, id_col, text_col)
@@ -146,9 +147,9 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             fp = fingerprints(b.column("txt").to_pylist(), shingle)
-            yield pa.RecordBatch.from_arrays([b.column("doc"), pa.array(fp.view(np.int64))], ["doc", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("text_hash"), pa.array(fp.view(np.int64))], ["doc", "text_hash", "fp"])
 
-    marked = materialize(texts.mapInArrow(mark, "doc long, fp long"), "simhash-marked")
+    marked = materialize(texts.withColumn("text_hash", F.xxhash64("txt")).mapInArrow(mark, "doc long, text_hash long, fp long"), "simhash-marked")
     classes = materialize(marked.groupBy("fp").agg(F.min("doc").alias("head")), "simhash-classes")
     count = classes.count()
     step = max(8, count // SAMPLE)
@@ -180,5 +181,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     links = dealt.mapInArrow(link, "a long, b long")
     named = classes.join(components(links), F.col("head") == F.col("node"), "left").select("fp", F.coalesce("component", "head").alias("component"))
     kind = docs.schema[id_col].dataType
-    shown = lambda c: F.when(F.col(c) != LAST, F.col(c)).cast(kind)
-    return marked.join(named, "fp").select(shown("doc").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), shown("component").alias("component_id"))
+    return marked.join(named, "fp").select(
+        shown_id("doc", kind).alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), shown_id("component", kind).alias("component_id"),
+        F.col("doc").alias("key"), F.col("component").alias("component_key"), "text_hash",
+    )

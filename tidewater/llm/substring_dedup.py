@@ -49,15 +49,15 @@ def _words(batch: pa.RecordBatch, memo: _WordHashes) -> tuple[np.ndarray, np.nda
     return np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words)), ends, texts
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
-    """One row per input row: the id, ``n_words``, ``n_removed`` and ``kept`` (kept words joined by one space).
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50, keep: list[str] | None = None) -> DataFrame:
+    """One row per input row: the columns in ``keep`` (the id), ``n_words``, ``n_removed`` and ``kept`` (kept words joined by one space).
 
     A word goes if a window of ``window`` words that covers it also starts in a document with a smaller id.
-    A null text has no words; a null id comes after all others; texts shorter than a window stay whole. Equal rows (same id,
+    A null text has no words; rows with a null id come after all others, as documents of their own; texts shorter than a window stay whole. Equal rows (same id,
     same text) don't remove each other and get equal results; rows that share an id but not the text are judged one by one.
     An empty table gives an empty result. Other columns are ignored. Nothing is capped: a full sketch only widens pass 2.
     """
-    spark = docs.sparkSession
+    spark, keep = docs.sparkSession, keep or [id_col]
     texts = keyed_texts(docs, id_col, text_col)
     gram = max(1, window // 2)
     width = sketch_width(byte_total(texts) / 6 * 2 / (window - gram + 2))
@@ -146,8 +146,10 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 n_words.append(len(words))
                 n_removed.append(len(words) - len(left))
                 kept.append(b" ".join(left).decode())
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], [id_col, "n_words", "n_removed", "kept"])
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["row", "n_words", "n_removed", "kept"])
 
-    source = docs.select(F.col(id_col).alias("id"), order_key(F.col(id_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
-    joined = source.join(spans, "doc", "left").select("id", "txt", "spans")
-    return joined.mapInArrow(cut, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_words long, n_removed long, kept string")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.struct(*keep).alias("row"), order_key(F.col(id_col), text).alias("doc"), text.alias("txt"))
+    joined = source.join(spans, "doc", "left").select("row", "txt", "spans")
+    kind = joined.schema["row"].dataType.simpleString()
+    return joined.mapInArrow(cut, f"row {kind}, n_words long, n_removed long, kept string").select("row.*", "n_words", "n_removed", "kept")

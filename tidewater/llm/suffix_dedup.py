@@ -63,15 +63,16 @@ def shard_repeats(pieces: list[bytes], docs: np.ndarray, ats: np.ndarray, length
     return docs[piece[begin]], ats[piece[begin]] + begin - (ends - sizes)[piece[begin]], stop - begin + length - 1
 
 
-def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32) -> DataFrame:
-    """One row per input row: the id, ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs) and ``kept`` (binary).
+def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32, keep: list[str] | None = None) -> DataFrame:
+    """One row per input row: the columns in ``keep`` (the id), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept``
+    (binary) and ``kept_text`` (the same without what is left of characters that were cut in two).
 
     A byte goes if a string of ``length`` bytes that covers it also starts earlier: in a document with a smaller id, or in
-    the same one before it. A null text is empty; a null id comes after all others. Equal rows (same id, same text) are one
+    the same one before it. A null text is empty; rows with a null id come after all others, as documents of their own. Equal rows (same id, same text) are one
     document and get equal results; rows that share an id but not the text are read as one document, in the order of the
     texts' hashes, without matches across them. An empty table gives an empty result; other columns are ignored.
     """
-    spark = docs.sparkSession
+    spark, keep = docs.sparkSession, keep or [id_col]
     texts = keyed_texts(docs, id_col, text_col)
     total = byte_total(texts)
 
@@ -146,7 +147,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            out: tuple[list, list, list, list] = ([], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [])
             for text, doc_spans in zip(b.column("txt").to_pylist(), b.column("spans"), strict=True):
                 raw = text.encode()
                 n_removed = n_spans = 0
@@ -161,10 +162,13 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     gone = np.cumsum(edge[:-1]) > 0
                     n_removed, n_spans = int(gone.sum()), int((gone[1:] & ~gone[:-1]).sum() + gone[:1].sum())
                     kept = np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()
-                for column, v in zip(out, (len(raw), n_removed, n_spans, kept), strict=True):
+                for column, v in zip(out, (len(raw), n_removed, n_spans, kept, kept.decode(errors="ignore")), strict=True):
                     column.append(v)
-            yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True))], [id_col, "n_bytes", "n_removed", "n_spans", "kept"])
-
-    source = docs.select(F.col(id_col).alias("id"), order_key(F.col(id_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
-    kind = docs.schema[id_col].dataType.simpleString()
-    return source.join(spans, "doc", "left").select("id", "txt", "spans").mapInArrow(cut, f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
+            yield pa.RecordBatch.from_arrays([b.column("row"), *(pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()), strict=True))], ["row", "n_bytes", "n_removed", "n_spans", "kept", "kept_text"])
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.struct(*keep).alias("row"), order_key(F.col(id_col), text).alias("doc"), text.alias("txt"))
+    kind = source.schema["row"].dataType.simpleString()
+    out = source.join(spans, "doc", "left").select("row", "txt", "spans")
+    out = out.mapInArrow(cut, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary, kept_text string")
+    return out.select("row.*", "n_bytes", "n_removed", "n_spans", "kept", "kept_text")

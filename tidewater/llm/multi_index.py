@@ -132,7 +132,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9, id_col: str = "
 
 
 def _search(classes: DataFrame, dim: int, count: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
-    """(links (a, b) that span the components, rows (head, n) of links per class in parts) among distinct unit vectors."""
+    """(links (a, b) that span the components, rows (head, n) of linked vectors per class in parts) among distinct unit vectors."""
     spark = classes.sparkSession
     by_hash = classes.select("head", "unit", F.xxhash64("unit").alias("h"))
     sample = by_hash.orderBy("h").limit(SAMPLE).select("unit").toPandas()["unit"]
@@ -184,46 +184,51 @@ def _search(classes: DataFrame, dim: int, count: int, threshold: float, recall:
                 cell = np.concatenate((seen.reshape(-1), cells_of(y, books)))
                 mark = np.arange(len(row)) < n * seen.shape[1]
                 heads = s.column("head").to_numpy()[row]
+                copies = s.column("copies").to_numpy()[row]
                 times = np.where(mark, parts[cell], 1)
                 part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                row, cell, mark, heads = (np.repeat(c, times) for c in (row, cell, mark, heads))
+                row, cell, mark, heads, copies = (np.repeat(c, times) for c in (row, cell, mark, heads, copies))
                 part = np.where(mark, part, heads % parts[cell])
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(part), pa.array(mark), pa.array(heads), s.column("unit").take(pa.array(row))], ["cell", "part", "visit", "head", "unit"])
+                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(part), pa.array(mark), pa.array(heads), pa.array(copies), s.column("unit").take(pa.array(row))],
+                                                 ["cell", "part", "visit", "head", "copies", "unit"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, residents, res_heads = None, [], []
+        held, residents = None, []
         for b in batches:
             cells, split, mark = (b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "part", "visit"))
-            heads, units = b.column("head").to_numpy(), _unit(b.column("unit"), dim)
+            heads, copies, units = b.column("head").to_numpy(), b.column("copies").to_numpy(), _unit(b.column("unit"), dim)
             edge = np.flatnonzero((np.diff(cells) != 0) | (np.diff(split) != 0)) + 1
             for part in np.split(np.arange(len(cells)), edge):
                 if not len(part):
                     continue
                 if (cells[part[0]], split[part[0]]) != held:
-                    held, residents, res_heads = (cells[part[0]], split[part[0]]), [], []
+                    held, residents = (cells[part[0]], split[part[0]]), []
                 own, came = part[~mark[part]], part[mark[part]]
-                residents += [units[own[i : i + BLOCK]] for i in range(0, len(own), BLOCK)]
-                res_heads += [heads[own[i : i + BLOCK]] for i in range(0, len(own), BLOCK)]
+                block = lambda of, i: (units[of[i : i + BLOCK]], heads[of[i : i + BLOCK]], copies[of[i : i + BLOCK]])  # noqa: B023,E731
+                residents += [block(own, i) for i in range(0, len(own), BLOCK)]
                 for i in range(0, len(came), BLOCK):
-                    yield _links(units[came[i : i + BLOCK]], heads[came[i : i + BLOCK]], residents, res_heads, threshold)
+                    yield _links(block(came, i), residents, threshold)
 
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), codes)
-    dealt = classes.select("head", "unit").mapInArrow(deal, "cell long, part long, visit boolean, head long, unit binary")
+    dealt = classes.select("head", "copies", "unit").mapInArrow(deal, "cell long, part long, visit boolean, head long, copies long, unit binary")
     dealt = dealt.repartition(shards, "cell", "part").sortWithinPartitions("cell", "part", "visit")
     found_links = materialize(dealt.mapInArrow(compare, "head long, n long, other long"), "vector-links")
     return found_links.where("other is not null").select(F.col("head").alias("a"), F.col("other").alias("b")), found_links.where("n > 0").select("head", "n")
 
 
-def _links(x: np.ndarray, x_heads: np.ndarray, residents: list[np.ndarray], res_heads: list[np.ndarray], threshold: float) -> pa.RecordBatch:
-    """Links of a block of visitors with a cell's residents of larger ids: counts on both sides, and a spanning forest."""
-    heads = np.concatenate([x_heads, *res_heads]) if res_heads else x_heads
+Block = tuple[np.ndarray, np.ndarray, np.ndarray]  # unit vectors, ids and copies of some classes
+
+
+def _links(visitors: Block, residents: list[Block], threshold: float) -> pa.RecordBatch:
+    """Links of a block of visitors with a cell's residents of larger ids: linked vectors on both sides, and a spanning forest."""
+    x, x_heads, x_copies = visitors
+    heads = np.concatenate([x_heads, *(r[1] for r in residents)])
     n, parent = np.zeros(len(heads), dtype=np.int64), np.arange(len(heads))
     base = len(x_heads)
-    for y, y_heads in zip(residents, res_heads, strict=True):
-        near = (x @ y.T >= threshold) & (x_heads[:, None] < y_heads[None, :])
-        n[: len(x_heads)] += near.sum(axis=1)
-        n[base : base + len(y_heads)] += near.sum(axis=0)
-        p, q = np.nonzero(near)
+    for y, y_heads, y_copies in residents:
+        p, q = np.nonzero((x @ y.T >= threshold) & (x_heads[:, None] < y_heads[None, :]))
+        np.add.at(n, p, y_copies[q])
+        np.add.at(n, base + q, x_copies[p])
         _forest(parent, p, q + base)
         base += len(y_heads)
     some = np.flatnonzero((n > 0) | (parent != np.arange(len(parent))))

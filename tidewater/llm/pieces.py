@@ -146,8 +146,8 @@ def _cells(anchor: np.ndarray, width: int) -> list[np.ndarray]:
     return [((a + _U(r) * b) >> _U(20)) & _U(width - 1) for r in range(DEPTH)]
 
 
-def build_sketch(texts: DataFrame, anchors_of: Callable[[pa.RecordBatch], np.ndarray], slicer: Callable, width: int) -> np.ndarray:
-    """Merged count-min sketch of all rows, as bits: cell counted twice or more. Each partition fills a sketch of its own and
+def build_sketch(texts: DataFrame, anchors_of: Callable[[pa.RecordBatch], np.ndarray], slicer: Callable, width: int, least: int = 2) -> np.ndarray:
+    """Merged count-min sketch of all rows, as bits: cell counted ``least`` times (1 or 2) or more. Each partition fills a sketch of its own and
     hands out its non-empty blocks compressed; blocks are dealt by number and added up one by one, so that a task
     holds its blocks only. The driver receives depth x width bits (12 MB at most)."""
 
@@ -175,7 +175,7 @@ def build_sketch(texts: DataFrame, anchors_of: Callable[[pa.RecordBatch], np.nda
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(bits, pa.binary())], ["block", "cells"])
 
     def squeeze_bits(cells: np.ndarray) -> bytes:
-        return np.packbits(cells >= 2).tobytes()
+        return np.packbits(cells >= least).tobytes()
 
     filled = texts.mapInArrow(fill, "block int, cells binary")
     blocks = DEPTH * width // BLOCK
@@ -187,7 +187,7 @@ def build_sketch(texts: DataFrame, anchors_of: Callable[[pa.RecordBatch], np.nda
 
 
 def repeated(bits: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-    """Whether the sketch estimates each anchor at two or more."""
+    """Whether the sketch estimates each anchor at ``least`` or more."""
     out = np.ones(len(anchor), dtype=bool)
     for r, idx in enumerate(_cells(anchor, bits.shape[1] * 8)):
         out &= (bits[r][(idx >> _U(3)).astype(np.int64)] >> (7 - (idx & _U(7))).astype(np.uint8)) & 1 > 0

@@ -3,7 +3,7 @@
 Equal windows (``length`` bytes) have equal anchors (``pieces``), so windows are dealt to shards by anchor and
 equal ones meet, whatever documents they stand in. A count-min sketch over the anchors first sets
 aside every piece of text that cannot repeat; copies of a piece are grouped by content, and only its first
-occurrence goes to a shard. A shard joins its pieces with a separator byte that UTF-8 never holds, builds
+occurrence goes to a shard (a second sketch, of those places, lets a scan cut them out of the texts without a join). A shard joins its pieces with a separator byte that UTF-8 never holds, builds
 the suffix array by induced sorting and its permuted common prefixes (``suffix_array``), and groups neighbours
 that share ``length`` bytes; the first of each group by (id, start) stays, the others are removed.
 """
@@ -33,6 +33,10 @@ def _tag(raw: bytes) -> int:
     return xxhash.xxh3_64_intdigest(raw) >> (64 - TAG_BITS)
 
 
+def _place(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return mix(doc.view(np.uint64) + mix(at.view(np.uint64)))
+
+
 def _bytes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     texts = [t.encode() for t in batch.column("txt").to_pylist()]
     ends = np.cumsum([len(t) for t in texts], dtype=np.int64)
@@ -83,34 +87,36 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     bits = spark.sparkContext.broadcast(build_sketch(texts, anchors_of, slices, sketch_width(total * 2 / (length - gram + 2))))
 
+    def kept_pieces(b: pa.RecordBatch, chosen) -> tuple | None:
+        """Pieces of a slice that ``chosen`` lets through: (found, kept, start, size, document, place in it), and the slice's texts."""
+        symbols, ends, raw = _bytes(b)
+        found = find_pieces(symbols, ends, length, gram)
+        keep = np.flatnonzero(repeated(bits.value, found.anchor)) if found is not None else np.empty(0, dtype=np.int64)
+        if not len(keep):
+            return None
+        start, row = found.start[keep], found.row[keep]
+        tags = np.array([_tag(t) for t in raw], dtype=np.int64) << AT_BITS
+        doc = b.column("doc").to_numpy()[row]
+        at = tags[row] + start - (ends - np.diff(ends, prepend=0))[row]
+        some = chosen(doc, at)
+        return symbols, raw, found, keep[some], start[some], (found.count[keep] + length - 1)[some], doc[some], at[some]
+
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            symbols, ends, raw = _bytes(b)
-            found = find_pieces(symbols, ends, length, gram)
-            keep = np.flatnonzero(repeated(bits.value, found.anchor)) if found is not None else []
-            if not len(keep):
-                continue
-            start, row = found.start[keep], found.row[keep]
-            size = found.count[keep] + length - 1
-            base = ends - np.diff(ends, prepend=0)
-            tags = np.array([_tag(t) for t in raw], dtype=np.int64) << AT_BITS
-            doc = np.array(b.column("doc").to_pylist(), dtype=np.int64)
-            columns = [found.rolling.ranges(start, start + size).view(np.int64), Rolling(symbols, 1).ranges(start, start + size).view(np.int64),
-                       found.anchor[keep].view(np.int64), doc[row], tags[row] + start - base[row], size.astype(np.int32), found.again[keep]]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["p1", "p2", "anchor", "doc", "at", "size", "again"])
+            if (kept := kept_pieces(b, lambda doc, at: np.ones(len(doc), dtype=bool))) is not None:
+                symbols, _, found, keep, start, size, doc, at = kept
+                columns = [found.rolling.ranges(start, start + size).view(np.int64), Rolling(symbols, 1).ranges(start, start + size).view(np.int64),
+                           found.anchor[keep].view(np.int64), doc, at, size.astype(np.int32), found.again[keep]]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["p1", "p2", "anchor", "doc", "at", "size", "again"])
 
     def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The bytes of the pieces in ``places``. A place let through by chance does no harm: its windows are compared like all others."""
         for b in slices(batches):
-            out: tuple[list, list, list, list] = ([], [], [], [])
-            for doc, text, todo in zip(b.column("doc").to_pylist(), b.column("txt").to_pylist(), b.column("todo").to_pylist(), strict=True):
-                raw = text.encode()
-                mine = _tag(raw) if todo else 0
-                for x in todo:
-                    if x["at"] >> AT_BITS == mine:
-                        at = x["at"] & ((1 << AT_BITS) - 1)
-                        for column, v in zip(out, (x["anchor"], doc, x["at"], raw[at : at + x["size"]]), strict=True):
-                            column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["anchor", "doc", "at", "piece"])
+            if (kept := kept_pieces(b, lambda doc, at: repeated(places.value, _place(doc, at)))) is not None:
+                _, raw, found, keep, start, size, doc, at = kept
+                text = b"".join(raw)
+                bodies = [text[i : i + n] for i, n in zip(start.tolist(), size.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(found.anchor[keep].view(np.int64)), pa.array(doc), pa.array(at), pa.array(bodies, pa.binary())], ["anchor", "doc", "at", "piece"])
 
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
@@ -136,11 +142,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kinds = materialize(kinds, "suffix-kinds")
     copies = pieces.join(kinds.where("n > 1").select("p1", "p2", "head"), ["p1", "p2"]).where("doc != head.doc or at != head.at").select("doc", "at", F.col("size").cast("long"))
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")
-    todo = materialize(kinds.join(shared, "anchor").select("anchor", "head.doc", "head.at", "size"), "suffix-todo")
-    amount = todo.agg(F.sum("size")).first()[0] or 0
+    todo = materialize(kinds.join(shared, "anchor").select("head.doc", "head.at", "size"), "suffix-todo")
+    number, amount = todo.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), amount // (2 * SHARD_BYTES))
-    by_doc = todo.groupBy("doc").agg(F.collect_list(F.struct("at", "size", "anchor")).alias("todo"))
-    shard_rows = texts.join(by_doc, "doc").mapInArrow(cut_pieces, "anchor long, doc long, at long, piece binary")
+    marks = lambda b: _place(b.column("doc").to_numpy(), b.column("at").to_numpy())
+    places = spark.sparkContext.broadcast(build_sketch(todo.select("doc", "at"), marks, iter, sketch_width(2 * number), least=1))
+    shard_rows = texts.mapInArrow(cut_pieces, "anchor long, doc long, at long, piece binary")
     shard_rows = shard_rows.repartition(shards, "anchor").sortWithinPartitions("anchor", "doc", "at")
     later = shard_rows.mapInArrow(sort_shards, "doc long, at long, size long")
     spans = copies.unionByName(later).groupBy("doc").agg(F.collect_list(F.struct("at", "size")).alias("spans"))

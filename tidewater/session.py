@@ -98,5 +98,5 @@ def materialize(df, label: str = "stage"):
     files instead of recomputing from the source."""
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.mode("error").parquet(path)
+    df.write.mode("error").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)

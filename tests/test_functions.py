@@ -24,6 +24,11 @@ def test_deterministic_ids_distinct_and_stable(spark):
     assert a.groupBy("m").count().orderBy("m").collect()[0]["count"] == 5
 
 
+def test_ids_of_shifted_separators_differ(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("1:a", None), ("1:a", "-"), (None, "1:a")], "m string, v string")
+    assert ids.with_deterministic_id(df, ["m", "v"]).select("Id").distinct().count() == 5
+
+
 def test_window_and_session(spark):
     from tidewater.operators import aggregates as agg
     df = spark.createDataFrame([

@@ -51,3 +51,41 @@ def test_static_mode_same_bronze(spark, tmp_path):
     ra = sorted(map(tuple, spark.read.parquet(a["all_sensors"]).select(cols).collect()))
     rb = sorted(map(tuple, spark.read.parquet(b["all_sensors"]).select(cols).collect()))
     assert ra == rb
+
+
+def test_start_over_rebuilds(spark, tmp_path):
+    import dataclasses
+    landing = str(tmp_path / "landing")
+    raw = _raw(spark)
+    raw.write.options(header="true", timestampFormat=TS_FORMAT).csv(landing)
+    p = RunParams(mode="stream", source=landing, target_root=str(tmp_path / "lake"))
+    jobs.raw_to_bronze(spark, p)
+    for _ in range(2):
+        out = jobs.raw_to_bronze(spark, dataclasses.replace(p, start_over=True))
+    assert spark.read.parquet(out["all_sensors"]).count() == raw.count()
+    jobs.bronze_to_silver(spark, p)
+    silver = jobs.silver_table(spark, p).read().filter(F.col("SensorMeasurement") == S.AIR_TEMP)
+    plan = silver._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(SensorMeasurement" in plan
+
+
+def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from tidewater import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="share"):
+        session.ensure_checkpoint_dir(Session())
+    assert session.ensure_checkpoint_dir(spark)

@@ -97,13 +97,46 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert spark.read.parquet(p).count() == 3
 
 
-def test_scd2_positions_equal_window(spark, tmp_path):
+def test_scd2_positions_equal_lead(spark, tmp_path):
     import random
+
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
     rnd = random.Random(5)
     rows = [(rnd.choice([1, 1, 1, 1, 2, 3]), i, f"v{i}", rnd.choice(["U", "U", "D"])) for i in range(600)]
     df = spark.createDataFrame(rows, SCHEMA)
-    a = mg.scd2_history(df, ["key"], "seq", apply_as_deletes="op = 'D'", strategy="window")
-    b = mg.scd2_history(df, ["key"], "seq", apply_as_deletes="op = 'D'", strategy="positions",
-                        num_partitions=7, work_dir=str(tmp_path / "pos"))
-    cols = ["key", "seq", "value", "__START_AT", "__END_AT", "__IS_CURRENT"]
-    assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
+    a = df.withColumn("__END_AT", F.lead("seq").over(Window.partitionBy("key").orderBy("seq"))).filter("op <> 'D'")
+    b = mg.scd2_history(df, ["key"], "seq", apply_as_deletes="op = 'D'", num_partitions=7, work_dir=str(tmp_path / "pos"))
+    cols = ["key", "seq", "value", "__END_AT"]
+    assert sorted(map(tuple, a.select(cols).collect()), key=str) == sorted(map(tuple, b.select(cols).collect()), key=str)
+
+
+def test_unreadable_file_raises_and_keeps_the_table(spark, tmp_path):
+    t = mg.BucketedTable(spark, str(tmp_path / "t"), ["Id"], n_buckets=1, splits=1)
+    t.upsert(spark.createDataFrame([(i, "v") for i in range(5)], "Id int, v string"))
+    part = next((tmp_path / "t" / "_bucket=0").glob("part-*"))
+    part.with_name("part-broken.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        t.upsert(spark.createDataFrame([(9, "w")], "Id int, v string"))
+    part.with_name("part-broken.parquet").unlink()
+    assert t.read().count() == 5
+
+
+def test_stored_upsert_needs_a_choice_between_duplicates(spark, tmp_path):
+    t = mg.BucketedTable(spark, str(tmp_path / "t"), ["Id"])
+    twice = spark.createDataFrame([(1, 1, "a"), (1, 2, "b")], "Id int, seq int, v string")
+    with pytest.raises(ValueError, match="one key"):
+        t.upsert(twice)
+    t.upsert(twice, sequence_by="seq")
+    t.upsert(spark.createDataFrame([(1, 1, "late")], "Id int, seq int, v string"), sequence_by="seq")
+    assert [tuple(r) for r in t.read().select("Id", "seq", "v").collect()] == [(1, 2, "b")]
+
+
+def test_stored_truncate_empties_every_bucket(spark, tmp_path):
+    t = mg.BucketedTable(spark, str(tmp_path / "t"), ["key"], n_buckets=4)
+    kw = dict(sequence_by="seq", apply_as_truncates="op = 'T'", except_column_list=["op"])
+    t.apply_changes(spark.createDataFrame([(i, 1, "a", "U") for i in range(20)], SCHEMA), **kw)
+    t.apply_changes(spark.createDataFrame([(0, 5, None, "T")], SCHEMA), **kw)
+    assert t.read().count() == 0
+    t.apply_changes(spark.createDataFrame([(3, 4, "old", "U"), (4, 6, "new", "U")], SCHEMA), **kw)
+    assert [(r.key, r.value) for r in t.read().collect()] == [(4, "new")]

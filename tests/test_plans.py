@@ -3,8 +3,11 @@ single-partition step, no query uses a Cartesian product or nested-loop join."""
 import contextlib
 import io
 
+from pyspark.sql import functions as F
+
 from tidewater import fixtures as fx
 from tidewater import schemas as S
+from tidewater.operators.moving_average import moving_average_window
 from tidewater.plans import gold
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +29,7 @@ def _partitioned_silver(spark, tmp_path):
 
 def test_sensor_filter_prunes_partitions_and_columns(spark, tmp_path):
     silver = _partitioned_silver(spark, tmp_path)
-    df = gold.ma_table(silver, S.WATER_QUALITY, gold.WATER_FRAMES, strategy="window").select(
+    df = moving_average_window(silver.filter(F.col("SensorMeasurement") == S.WATER_QUALITY), frames=gold.WATER_FRAMES).select(
         "MeasurementDateTime", "WaterTempShortMovingAverage")
     p = plan_of(df)
     assert "PartitionFilters: [isnotnull(SensorMeasurement" in p and "h2o_quality" in p
@@ -35,7 +38,7 @@ def test_sensor_filter_prunes_partitions_and_columns(spark, tmp_path):
 
 def test_halo_window_is_partitioned_by_bucket(spark, tmp_path):
     silver = _partitioned_silver(spark, tmp_path)
-    df = gold.ma_table(silver, None, gold.AIR_FRAMES, partition_by=("SensorMeasurement",), strategy="halo",
+    df = gold.ma_table(silver, None, gold.AIR_FRAMES, partition_by=("SensorMeasurement",),
                        bucket_rows=512, work_dir=str(tmp_path / "w"))
     p = plan_of(df)
     assert "hashpartitioning(SensorMeasurement" in p and "_b#" in p

@@ -4,8 +4,8 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import quality as q
 
-RULES = {"mesurement_date_valid": "CAST(MeasurementDateTime AS TIMESTAMP) IS NOT NULL",
-         "sensor_value_valid": "SensorValue > 1", "location_present": "SensorLocation IS NOT NULL"}
+RULES = {"time_is_valid": "TRY_CAST(MeasurementDateTime AS TIMESTAMP) IS NOT NULL",
+         "value_above_one": "SensorValue > 1", "location_present": "SensorLocation IS NOT NULL"}
 
 
 @pytest.fixture()
@@ -21,13 +21,13 @@ def test_drop_keeps_complete_rows(rows):
 
 def test_quarantine_lists_failed_rules(rows):
     out = {r["Id"]: r["failed_rules"] for r in q.quarantine(rows, RULES).collect()}
-    assert out == {1: ["mesurement_date_valid"], 2: ["sensor_value_valid"], 3: ["sensor_value_valid"],
+    assert out == {1: ["time_is_valid"], 2: ["value_above_one"], 3: ["value_above_one"],
                    5: ["location_present"]}
 
 
 def test_counts_and_observation(rows):
     c = q.expectation_counts(rows, RULES).first()
-    assert (c["rows"], c["dropped"], c["failed_sensor_value_valid"]) == (5, 4, 2)
+    assert (c["rows"], c["dropped"], c["failed_value_above_one"]) == (5, 4, 2)
     df, obs = q.expect(rows, RULES)
     assert df.count() == 5 and obs.get["failed_location_present"] == 1
 

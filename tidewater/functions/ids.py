@@ -12,15 +12,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ID_SEPARATOR = "|"
-
 
 def content_hash(cols: Sequence[str | Column], ordinal: Column | None = None) -> Column:
-    parts = [F.coalesce(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), F.lit("\u0000"))
-             for c in cols]
+    """SHA-256 of the columns' texts, each with its length in front (NULL: a dash), so that no two rows share an
+    encoding whatever characters the values hold."""
+    def part(c: Column) -> Column:
+        s = c.cast("string")
+        return F.coalesce(F.concat(F.length(s).cast("string"), F.lit(":"), s), F.lit("-"))
+    parts = [part(F.col(c) if isinstance(c, str) else c) for c in cols]
     if ordinal is not None:
-        parts.append(ordinal.cast("string"))
-    return F.sha2(F.concat_ws(ID_SEPARATOR, *parts), 256)
+        parts.append(part(ordinal))
+    return F.sha2(F.concat(*parts), 256)
 
 
 def with_deterministic_id(df: DataFrame, cols: Sequence[str] | None = None, id_col: str = "Id",
@@ -37,16 +39,11 @@ def with_deterministic_id(df: DataFrame, cols: Sequence[str] | None = None, id_c
     if rest:
         raise ValueError(f"columns {rest} are not part of the id; pass them in cols or drop them")
     g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    # contents seen at most ``chunk`` times expand where they are; more frequent ones are
-    # first cut into chunks of ordinals, which are spread over tasks, then expanded
-    few = g.filter(F.col("_n") <= chunk).withColumn("_ord", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    many = g.filter(F.col("_n") > chunk)
-    chunks = many.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))))
+    chunks = g.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / chunk))))
     chunks = chunks.repartition("_chunk", *cols)
     lo = F.col("_chunk") * chunk
     hi = F.least(F.col("_n"), lo + chunk) - 1
-    spread = chunks.withColumn("_ord", F.explode(F.sequence(lo, hi))).drop("_chunk")
-    rows = few.unionByName(spread)
+    rows = chunks.withColumn("_ord", F.explode(F.sequence(lo, hi))).drop("_chunk")
     return rows.withColumn(id_col, content_hash(cols, F.col("_ord"))).drop("_n", "_ord")
 
 
@@ -54,7 +51,3 @@ def uuid_column() -> Column:
     """Random uuid (dashed) as the built-in ``uuid()``; not reproducible - use for
     display only, never as a merge key."""
     return F.expr("uuid()")
-
-
-def uuid_hex_column() -> Column:
-    return F.regexp_replace(F.expr("uuid()"), "-", "")

@@ -29,10 +29,22 @@ def _seq_list(sequence_by: str | Sequence[str]) -> list[str]:
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str],
            sequence_by: str | Sequence[str] | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
     """``MERGE ... WHEN MATCHED UPDATE SET * WHEN NOT MATCHED INSERT *`` (SCD 1).
-    Several updates of one key are reduced to the latest first (MERGE would refuse them)."""
-    src = latest_per_key(updates, keys, sequence_by, tiebreak) if sequence_by else updates
-    kept = target.join(src.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(src.select(*target.columns))
+    With ``sequence_by`` the highest sequence of a key wins, among the updates and against the
+    stored row (the update on a tie), as one aggregate with map-side combining; without it every
+    update replaces the stored row, and keys must be unique in ``updates``."""
+    if sequence_by:
+        seq = _seq_list(sequence_by)
+        both = target.withColumn("_new", F.lit(0)).unionByName(updates.select(*target.columns).withColumn("_new", F.lit(1)))
+        return latest_per_key(both, keys, [*seq, "_new"], tiebreak).select(*target.columns)
+    kept = target.join(updates.select(*keys), list(keys), "left_anti")
+    return kept.unionByName(updates.select(*target.columns))
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs twice (what MERGE does with an ambiguous source)."""
+    twice = df.groupBy(*keys).count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"several rows for one key and no sequence_by to choose by: {[r.asDict() for r in twice]}")
 
 
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,11 +54,6 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return target.unionByName(new.select(*target.columns))
 
 
-def new_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows ``insert_only`` would append (what an append-only sink writes)."""
-    return source.join(target.select(*keys), list(keys), "left_anti")
-
-
 def above_high_water(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
     """Source rows newer than the newest row already in the target
     (``WHERE c > (SELECT max(c) FROM target)``, a scalar subquery evaluated once; an
@@ -121,7 +128,7 @@ def apply_changes(target: DataFrame | None, changes: DataFrame, keys: Sequence[s
 
     if apply_as_truncates is not None:
         # latest truncate over the stored marker and this batch (scalar subquery)
-        prev = target.filter(is_marker).select(order.alias("_t"))
+        prev = target.filter(is_marker & F.col(seq[0]).isNotNull()).select(order.alias("_t"))
         cur = ch.filter(F.col("_op") == "T").select(order.alias("_t"))
         tmax_df = prev.unionByName(cur).agg(F.max("_t").alias("_tmax"))
         tmax = tmax_df.scalar()
@@ -193,35 +200,18 @@ def visible(table: DataFrame) -> DataFrame:
 
 
 def scd2_history(changes: DataFrame, keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str] = (),
-                 apply_as_deletes: str | Column | None = None, strategy: str = "auto",
-                 threshold_rows: int = 20_000_000, **kw) -> DataFrame:
+                 apply_as_deletes: str | Column | None = None, **kw) -> DataFrame:
     """SCD 2 history: every upsert becomes a version valid from its sequence until
     the next change of the key (``__END_AT`` NULL for the current one); a delete closes
     the open version without opening a new one.
 
-    ``window``: ``lead`` over each key (a key's changes are sorted in one task);
-    ``positions``: global positions in (keys, sequence, tiebreak) order and an equi-join on
-    position + 1 - no task holds more than its range partition, however hot a key;
-    ``auto``: positions above ``threshold_rows`` changes."""
-    from pyspark.sql import Window
-
+    The next change is found by global positions in (keys, sequence, tiebreak) order and an
+    equi-join on position + 1: no task holds more than its range partition, however hot a key."""
     from .ordered import next_in_group, with_global_positions
     d = _as_cond(apply_as_deletes)
     ch = changes.withColumn("_is_del", F.coalesce(d, F.lit(False)) if d is not None else F.lit(False))
-    if strategy == "auto":
-        n_rows = changes.count()
-        strategy = "positions" if n_rows > threshold_rows else "window"
-        if strategy == "positions" and kw.get("num_partitions") is None:
-            from .ordered import range_partitions
-            kw["num_partitions"] = range_partitions(changes, n_rows)
-    if strategy == "window":
-        w = Window.partitionBy(*keys).orderBy(F.col(sequence_by), *[F.col(c) for c in tiebreak])
-        hist = ch.withColumn("__END_AT", F.lead(F.col(sequence_by)).over(w))
-    elif strategy == "positions":
-        pos = with_global_positions(ch, [*keys, sequence_by, *tiebreak], **kw)
-        hist = next_in_group(pos, keys, [sequence_by]).withColumnRenamed(f"_next_{sequence_by}", "__END_AT").drop("_pos")
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
+    pos = with_global_positions(ch, [*keys, sequence_by, *tiebreak], **kw)
+    hist = next_in_group(pos, keys, [sequence_by]).withColumnRenamed(f"_next_{sequence_by}", "__END_AT").drop("_pos")
     return (hist.filter(~F.col("_is_del")).withColumn("__START_AT", F.col(sequence_by))
                 .withColumn("__IS_CURRENT", F.col("__END_AT").isNull()).drop("_is_del"))
 
@@ -230,23 +220,41 @@ def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-class BucketedTable:
-    """A Parquet table partitioned by ``_bucket = pmod(xxhash64(keys), n)``.
+def path_exists(spark, path: str) -> bool:
+    """Whether a path is there, asked of its own file system; every other failure is raised."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+BUCKET_BYTES = 512 * 1024 * 1024
 
-    ``merge`` / ``apply`` read only the buckets present in the batch (partition pruning),
-    combine, and overwrite exactly those buckets (dynamic partition overwrite).  Deletes
-    keep tombstones, so a bucket never has to be emptied.  One writer per table.
+
+class BucketedTable:
+    """A Parquet table partitioned by ``partition_by`` and ``_bucket = pmod(xxhash64(keys), n)``.
+
+    A merge reads only the partitions and buckets present in the batch (partition pruning),
+    combines, and overwrites exactly those (dynamic partition overwrite). The batch is written once
+    before it is merged. The number of buckets belongs to the table: choose it from the bytes it is
+    expected to hold (``for_size``); within a bucket several tasks write (``splits``).
+    ``partition_by`` columns must be part of the keys, so that a key stays in its partition.
+    One writer per table.
     """
 
-    def __init__(self, spark, path: str, keys: Sequence[str], n_buckets: int = 64):
+    def __init__(self, spark, path: str, keys: Sequence[str], n_buckets: int = 64,
+                 partition_by: Sequence[str] = (), splits: int = 4):
+        if not set(partition_by) <= set(keys):
+            raise ValueError("partition columns must be among the keys")
         self.spark, self.path, self.keys, self.n = spark, path, list(keys), n_buckets
+        self.partition_by, self.splits = list(partition_by), splits
+
+    @classmethod
+    def for_size(cls, spark, path: str, keys: Sequence[str], expected_bytes: int, **kw) -> BucketedTable:
+        """Buckets of about ``BUCKET_BYTES`` each."""
+        return cls(spark, path, keys, n_buckets=max(4, -(-expected_bytes // BUCKET_BYTES)), **kw)
 
     def exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001 - missing path
-            return False
+        return path_exists(self.spark, self.path)
 
     def read(self, with_tombstones: bool = False) -> DataFrame:
         df = self.spark.read.parquet(self.path)
@@ -254,32 +262,54 @@ class BucketedTable:
         return df.drop(BUCKET)
 
     def _write(self, df: DataFrame) -> None:
-        (df.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(BUCKET).parquet(self.path))
+        out = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(self.keys, self.n))
+        part = F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.splits))
+        (out.repartition(*self.partition_by, BUCKET, part)
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*self.partition_by, BUCKET).parquet(self.path))
 
     def _touched(self, batch: DataFrame):
-        tagged = batch.withColumn(BUCKET, bucket_of(self.keys, self.n))
-        buckets = [r[0] for r in tagged.select(BUCKET).distinct().collect()]  # at most n ints
+        """The batch, written once, and the stored rows of the partitions it touches (None: no table yet)."""
+        from ..session import materialize
+        batch = materialize(batch, "merge-batch")
         if not self.exists():
-            return tagged, None
-        current = self.spark.read.parquet(self.path).filter(F.col(BUCKET).isin(buckets))
-        return tagged, current.drop(BUCKET)
+            return batch, None
+        places = batch.select(*self.partition_by, bucket_of(self.keys, self.n).alias(BUCKET)).distinct()
+        found = [r.asDict() for r in places.collect()]   # at most partitions x buckets
+        cond = F.lit(False)
+        if found:
+            cond = F.col(BUCKET).isin(sorted({r[BUCKET] for r in found}))
+            for c in self.partition_by:
+                cond = cond & F.col(c).isin(sorted({r[c] for r in found}))
+        return batch, self.spark.read.parquet(self.path).filter(cond).drop(BUCKET)
 
     def upsert(self, batch: DataFrame, sequence_by=None, tiebreak=()) -> None:
-        tagged, current = self._touched(batch)
-        src = tagged.drop(BUCKET)
-        merged = src if current is None else upsert(current, src, self.keys, sequence_by, tiebreak)
-        self._write(merged.withColumn(BUCKET, bucket_of(self.keys, self.n)))
+        src, current = self._touched(batch)
+        if not sequence_by:
+            require_unique(src, self.keys)
+        if current is None:
+            merged = latest_per_key(src, self.keys, sequence_by, tiebreak) if sequence_by else src
+        else:
+            merged = upsert(current.select(*src.columns), src, self.keys, sequence_by, tiebreak)
+        self._write(merged)
 
     def insert_only(self, batch: DataFrame) -> None:
-        tagged, current = self._touched(batch)
-        src = tagged.drop(BUCKET)
-        merged = src if current is None else insert_only(current, src, self.keys)
-        self._write(merged.withColumn(BUCKET, bucket_of(self.keys, self.n)))
+        src, current = self._touched(batch)
+        self._write(src if current is None else insert_only(current.select(*src.columns), src, self.keys))
 
     def apply_changes(self, batch: DataFrame, **kw) -> None:
-        tagged, current = self._touched(batch)
-        if kw.get("apply_as_truncates") is not None and current is not None:
+        src, current = self._touched(batch)
+        truncates = kw.get("apply_as_truncates") is not None
+        if truncates and current is not None:
             current = self.spark.read.parquet(self.path).drop(BUCKET)   # a truncate touches every bucket
-        out = apply_changes(current, tagged.drop(BUCKET), self.keys, keep_tombstones=True, **kw)
-        self._write(out.withColumn(BUCKET, bucket_of(self.keys, self.n)))
+        out = apply_changes(current, src, self.keys, keep_tombstones=True, **kw)
+        out = out.withColumn(BUCKET, bucket_of(self.keys, self.n))
+        if truncates:
+            if self.partition_by:
+                raise ValueError("truncates need a table without partition columns")
+            # a bucket whose rows all went must be overwritten too: one tombstone without key and sequence each
+            empty = self.spark.range(self.n).select(*[
+                F.lit(True).alias(c) if c == DELETED else F.col("id").cast("int").alias(c) if c == BUCKET
+                else F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns])
+            out = out.unionByName(empty)
+        self._write(out)

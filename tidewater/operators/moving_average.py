@@ -27,7 +27,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import range_partitions, with_global_positions
+from .ordered import with_global_positions
 
 DEFAULT_FRAMES = {"ShortMovingAverage": 30, "LongMovingAverage": 365}
 
@@ -95,22 +95,9 @@ def moving_average_halo(df: DataFrame, value: str = "SensorValue",
 def moving_average(df: DataFrame, value: str = "SensorValue",
                    order_by: Sequence[str] = ("MeasurementDateTime", "Id"),
                    partition_by: Sequence[str] = (),
-                   frames: Mapping[str, int] = DEFAULT_FRAMES,
-                   strategy: str = "auto", threshold_rows: int = 20_000_000,
-                   bucket_rows: int = 1 << 20, **kw) -> DataFrame:
-    """Moving averages; ``strategy`` is ``window``, ``halo`` or ``auto`` (halo when the
-    input has more than ``threshold_rows`` rows, i.e. more than one task should sort)."""
-    n_rows = None
-    if strategy == "auto":
-        n_rows = df.count()
-        strategy = "halo" if n_rows > threshold_rows else "window"
-    if strategy == "window":
-        return moving_average_window(df, value, order_by, partition_by, frames)
-    if strategy == "halo":
-        if kw.get("num_partitions") is None and n_rows is not None:
-            kw["num_partitions"] = range_partitions(df, n_rows)
-        return moving_average_halo(df, value, order_by, partition_by, frames, bucket_rows=bucket_rows, **kw)
-    raise ValueError(f"unknown strategy {strategy!r}")
+                   frames: Mapping[str, int] = DEFAULT_FRAMES, **kw) -> DataFrame:
+    """Moving averages in the distributed form, at any size; ``moving_average_window`` is the plain form."""
+    return moving_average_halo(df, value, order_by, partition_by, frames, **kw)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], sequence_by: Sequence[str] | str,

@@ -252,7 +252,7 @@ def cross_validate(series: DataFrame, spark, n_trials: int = MAX_EVALS, folds: i
     # the prepared hourly rows feed the statistics, every fold's hold-out and the spans
     prep = materialize(prepare(series, "ts_id", horizon, folds), "ridge-prepared")
     tdf = trials_frame(spark, n_trials)
-    coefs = fit_all(prep, n_trials, folds).filter(F.col("error").isNull())
+    coefs = materialize(fit_all(prep, n_trials, folds).filter(F.col("error").isNull()), "ridge-coefs")  # scored, and the final models
     # hold-out rows of fold f: segment folds-f (rows after cutoff_f) within horizon of cutoff_f
     holdout = None
     for f in range(folds):
@@ -260,10 +260,8 @@ def cross_validate(series: DataFrame, spark, n_trials: int = MAX_EVALS, folds: i
         part = prep.filter((F.col("t") > cut) & (F.col("t") <= cut + F.lit(horizon))).withColumn("fold", F.lit(f))
         holdout = part if holdout is None else holdout.unionByName(part)
     scored = score(holdout, coefs, tdf)
-    m = metrics(scored.withColumn("key", F.concat_ws("#", "ts_id", F.col("trial").cast("string"))), key="key")
-    m = (m.withColumn("ts_id", F.split("key", "#").getItem(0))
-          .withColumn("trial", F.split("key", "#").getItem(1).cast("int")).drop("key"))
-    return m, coefs, prep
+    m = metrics(scored.withColumn("key", F.struct("ts_id", "trial")), key="key")
+    return m.select("key.ts_id", "key.trial", *METRICS), coefs, prep
 
 
 def best_models(spark, series: DataFrame, n_trials: int = MAX_EVALS, folds: int = NUM_FOLDS,

@@ -15,6 +15,7 @@ one-shot incremental stream or as a static batch with the same code (R2B/B2S/S2G
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,7 @@ from ..functions.ids import with_deterministic_id
 from ..operators import clean
 from ..operators import merge as mg
 from ..sources import files, sinks
+from ..sources.sinks import move_aside
 from ..streaming.runner import run_stream
 from . import gold
 
@@ -42,6 +44,7 @@ def raw_to_bronze(spark: SparkSession, params: RunParams, routes: Mapping[str, s
                   reference_precision: bool = False) -> dict[str, str]:
     schema = S.raw_sensor_schema(reference_precision)
     base = f"{params.target_root}/bronze"
+    _start_over(spark, params, "raw_to_bronze", "bronze")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.fanout(bronze_batch(batch), base, routes, batch_id=batch_id)
@@ -57,14 +60,28 @@ def raw_to_bronze(spark: SparkSession, params: RunParams, routes: Mapping[str, s
 
 
 def _checkpoint(params: RunParams, name: str) -> str:
-    # start over = a fresh checkpoint folder (the sinks are idempotent per batch id)
-    suffix = "-restart" if params.start_over else ""
-    return f"{params.target_root}/_checkpoints/{name}{suffix}"
+    return f"{params.target_root}/_checkpoints/{name}"
 
 
-def bronze_to_silver(spark: SparkSession, params: RunParams, n_buckets: int = 64) -> str:
+def _start_over(spark: SparkSession, params: RunParams, name: str, output: str) -> None:
+    """Set a job's outputs and checkpoint aside, together, so that it starts from nothing (K14). The old
+    folders stay under ``_replaced/<unique>`` until somebody deletes them."""
+    if params.start_over:
+        aside = f"{params.target_root}/_replaced/{uuid.uuid4().hex}"
+        for path in (f"{params.target_root}/{output}", _checkpoint(params, name)):
+            move_aside(spark, path, f"{aside}/{path.rsplit('/', 1)[1]}")
+
+
+def silver_table(spark: SparkSession, params: RunParams, n_buckets: int = 4) -> mg.BucketedTable:
+    """Silver, partitioned by sensor so that gold's sensor filters prune; ``n_buckets`` per sensor belongs to the table."""
+    return mg.BucketedTable(spark, f"{params.target_root}/silver/all_sensors", ["Id", "SensorMeasurement"], n_buckets,
+                            partition_by=["SensorMeasurement"])
+
+
+def bronze_to_silver(spark: SparkSession, params: RunParams, n_buckets: int = 4) -> str:
     bronze_path = f"{params.target_root}/bronze/all_sensors"
-    silver = mg.BucketedTable(spark, f"{params.target_root}/silver/all_sensors", ["Id"], n_buckets)
+    _start_over(spark, params, "bronze_to_silver", "silver")
+    silver = silver_table(spark, params, n_buckets)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop(sinks.BATCH_COL, "InputFileName")
@@ -81,7 +98,7 @@ def bronze_to_silver(spark: SparkSession, params: RunParams, n_buckets: int = 64
 
 def silver_to_gold(spark: SparkSession, params: RunParams) -> dict[str, str]:
     root = params.target_root
-    silver = mg.BucketedTable(spark, f"{root}/silver/all_sensors", ["Id"]).read()
+    silver = silver_table(spark, params).read()
     out = {}
 
     def write(df: DataFrame, name: str) -> None:

@@ -23,7 +23,7 @@ from ..operators import forecast as fc
 from ..operators import merge as mg
 from ..operators import quality as qual
 from ..operators.moving_average import latest_per_key, moving_average
-from ..session import ensure_session_conf, materialize
+from ..session import ensure_session_conf, materialize, scratch_dir
 from . import gold
 from . import sql as Q
 
@@ -86,9 +86,9 @@ def ma_all_series(spark, sf_dir):
 
 @register("ma_halo", Q.with_sensors(Q.ma_select(gold.AIR_FRAMES, partition="PARTITION BY SensorMeasurement")))
 def ma_halo(spark, sf_dir):
-    """The distributed (range partition + halo bucket) form, forced, on every sensor."""
+    """The distributed (range partition + halo bucket) form with many small buckets, on every sensor."""
     return moving_average(_silver(spark, sf_dir), frames=gold.AIR_FRAMES, partition_by=("SensorMeasurement",),
-                          strategy="halo", bucket_rows=4096)
+                          bucket_rows=4096)
 
 
 # --------------------------------------------------------------------------- forecast
@@ -137,13 +137,13 @@ def _gold_daily(spark, sf_dir, hourly, keep_fanout=True, with_forecast=True):
     return gold.gold_daily(silver, verified, view, keep_join_fanout=keep_fanout)
 
 
-@register("gold_daily", Q.gold_daily_sql())
+@register("gold_daily", Q.gold_daily_sql(gold.VERIFIED_COLUMNS))
 def gold_daily(spark, sf_dir):
     """The benchmark's daily gold aggregate, exact SQL meaning."""
     return _gold_daily(spark, sf_dir, hourly=False)
 
 
-@register("gold_daily_hourly", Q.gold_daily_sql(hourly=True))
+@register("gold_daily_hourly", Q.gold_daily_sql(gold.VERIFIED_COLUMNS, hourly=True))
 def gold_daily_hourly(spark, sf_dir):
     """gold_daily on hour-truncated times: ties and join fan-out (21k joined rows at sf0.01)
     computed without materialising the joined pairs."""
@@ -267,9 +267,9 @@ _ID_COLS = ("SensorMeasurement", "SensorLocation", "MHour")
 
 
 @register("deterministic_id", Q.with_sensors(
-    "SELECT SensorMeasurement, SensorLocation, MHour, sha256(concat_ws('|', SensorMeasurement, SensorLocation, "
-    "CAST(MHour AS VARCHAR), CAST(row_number() OVER (PARTITION BY SensorMeasurement, SensorLocation, MHour) - 1 AS VARCHAR))) AS Id "
-    "FROM (SELECT SensorMeasurement, SensorLocation, date_trunc('hour', MeasurementDateTime) AS MHour FROM sensors)"))
+    "SELECT SensorMeasurement, SensorLocation, MHour, sha256(" + " || ".join(
+        f"coalesce(len(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in (*_ID_COLS, "k")) + ") AS Id "
+    "FROM (SELECT *, row_number() OVER (PARTITION BY SensorMeasurement, SensorLocation, MHour) - 1 AS k FROM (SELECT SensorMeasurement, SensorLocation, date_trunc('hour', MeasurementDateTime) AS MHour FROM sensors))"))
 def deterministic_id(spark, sf_dir):
     """content hash + ordinal among exact duplicates (readings per sensor-hour)."""
     s = _silver(spark, sf_dir).select("SensorMeasurement", "SensorLocation",
@@ -426,9 +426,9 @@ SCD2_SQL = ORACLES["scd2_history"]
 
 @register("scd2_history_positions", SCD2_SQL)
 def scd2_history_positions(spark, sf_dir):
-    """J11, distributed form: successor found by an equi-join on global position + 1."""
+    """J11 with a key's changes cut into several range partitions."""
     feed = _cdc_feed(spark, sf_dir)
-    h = mg.scd2_history(feed, CDC_KEYS, "ts", ["event_id"], apply_as_deletes=_DEL_COND, strategy="positions")
+    h = mg.scd2_history(feed, CDC_KEYS, "ts", ["event_id"], apply_as_deletes=_DEL_COND, num_partitions=7)
     return h.select("user_id", "event_type", "event_id", "value", "__START_AT", "__END_AT", "__IS_CURRENT")
 
 
@@ -438,8 +438,8 @@ EXPECT_CTE = ("ex AS (SELECT Id, CASE WHEN SensorMeasurement = 'h2o_feet' AND Se
               "CASE WHEN user_id >= 10 THEN SensorLocation END AS SensorLocation, SensorMeasurement FROM sensors)")
 RULES = {"MeasurementDateTime": "MeasurementDateTime IS NOT NULL", "SensorValue": "SensorValue IS NOT NULL",
          "SensorLocation": "SensorLocation IS NOT NULL"}
-SQL_RULES = {"mesurement_date_valid": "CAST(MeasurementDateTime AS TIMESTAMP) IS NOT NULL",
-             "sensor_value_valid": "SensorValue > 1"}
+SQL_RULES = {"time_is_valid": "TRY_CAST(MeasurementDateTime AS TIMESTAMP) IS NOT NULL",
+             "value_above_one": "SensorValue > 1"}
 
 
 def _expect_input(spark, sf_dir):
@@ -555,31 +555,81 @@ def forecast_best_model(spark, sf_dir):
 def forecast_ridge_predict(spark, sf_dir):
     """24 future hours per sensor from the stored model_json."""
     from ..operators import ridge
-    return ridge.predict_future(_ridge_models(spark, sf_dir))
+    return ridge.predict_future(materialize(_ridge_models(spark, sf_dir), "ridge-models"))   # read twice: steps and their start
+
+
 from . import table_queries  # noqa: E402,F401  (registers table, layout, audit and pipeline queries)
 
 
-@register("gold_daily_verified", Q.gold_daily_verified_sql(hourly=True))
+@register("gold_daily_verified", Q.gold_daily_verified_sql(gold.VERIFIED_COLUMNS))
 def gold_daily_verified(spark, sf_dir):
     """A4 without join fan-out: true readings per day and their mean, with the same
     verified-id counts (hour-truncated times, where the fan-out would occur)."""
     return _gold_daily(spark, sf_dir, hourly=True, keep_fanout=False, with_forecast=False)
 
 
-MA_VIEW_SQL = """CREATE OR REPLACE TEMPORARY VIEW air_temp_ma_live AS
-SELECT *,
-  round(CAST(SUM(SensorValue) OVER w31 AS DOUBLE) / COUNT(SensorValue) OVER w31, 6) AS TempShortMovingAverage,
-  round(CAST(SUM(SensorValue) OVER w366 AS DOUBLE) / COUNT(SensorValue) OVER w366, 6) AS TempLongMovingAverage
-FROM silver_allsensors
-WHERE SensorMeasurement = '{lit}'
-WINDOW w31 AS (ORDER BY MeasurementDateTime, Id ROWS BETWEEN 30 PRECEDING AND CURRENT ROW),
-       w366 AS (ORDER BY MeasurementDateTime, Id ROWS BETWEEN 365 PRECEDING AND CURRENT ROW)"""
-
-
 @register("ma_short_long", Q.with_sensors(Q.ma_select(gold.AIR_FRAMES, where=f"SensorMeasurement = '{S.AIR_TEMP}'")))
 def ma_short_long(spark, sf_dir):
-    """L3/W1/W2 through the SQL API: a view over the silver table (the single-task plain
-    window; the DataFrame path ``ma_air_temp`` picks the distributed form at scale)."""
-    _silver(spark, sf_dir).createOrReplaceTempView("silver_allsensors")
-    spark.sql(MA_VIEW_SQL.format(lit=S.AIR_TEMP))
-    return spark.table("air_temp_ma_live")
+    """L3/W1/W2 through the SQL API: a view over the distributed moving averages, read by SQL."""
+    gold.ma_table(_silver(spark, sf_dir), S.AIR_TEMP, gold.AIR_FRAMES).createOrReplaceTempView("air_temp_smoothed")
+    return spark.sql("SELECT * FROM air_temp_smoothed")
+
+
+# --------------------------------------------------------------------------- stored tables
+_STORED_KEYS = ["user_id", "event_type"]
+
+
+def _stored(spark, name: str, **kw) -> mg.BucketedTable:
+    return mg.BucketedTable(spark, f"{scratch_dir(spark, name)}/table", _STORED_KEYS, n_buckets=4, **kw)
+
+
+def _events(spark, sf_dir):
+    return fx.table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id", "value")
+
+
+_LATEST = ("SELECT user_id, event_type, ts, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type "
+           "ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")
+
+
+@register("stored_first_load_duplicates", _LATEST)
+def stored_first_load_duplicates(spark, sf_dir):
+    """J3 on a stored table: the first load holds many rows per key, of which the latest stays."""
+    table = _stored(spark, "first-load", partition_by=["event_type"])
+    table.upsert(_events(spark, sf_dir), sequence_by="ts", tiebreak=["event_id"])
+    return table.read().select("user_id", "event_type", "ts", "event_id", "value")
+
+
+@register("stored_late_update", _LATEST)
+def stored_late_update(spark, sf_dir):
+    """J3 on a stored table: the older half arrives after the newer one and changes nothing that is newer."""
+    ev = _events(spark, sf_dir)
+    middle = ev.agg(F.timestamp_seconds(F.avg(F.unix_seconds(F.col("ts").cast("timestamp")))).cast("timestamp_ntz")).first()[0]
+    table = _stored(spark, "late-update")
+    for part in (ev.filter(F.col("ts") >= F.lit(middle)), ev.filter(F.col("ts") < F.lit(middle)), ev.filter(F.col("ts") < F.lit(middle))):
+        table.upsert(part, sequence_by="ts", tiebreak=["event_id"])
+    return table.read().select("user_id", "event_type", "ts", "event_id", "value")
+
+
+@register("stored_truncate", "WITH t AS (SELECT max(ts) AS cut FROM events WHERE event_type = 'error'), late AS "
+          "(SELECT * FROM events, t WHERE ts > cut AND event_type <> 'error') "
+          + _LATEST.replace("FROM events", "FROM late"))
+def stored_truncate(spark, sf_dir):
+    """J9 on a stored table: the last truncate (an error event) empties what is older, in every bucket."""
+    table = _stored(spark, "truncate")
+    ev = _events(spark, sf_dir)
+    kw = dict(sequence_by=["ts", "event_id"], apply_as_truncates="event_type = 'error'")
+    table.apply_changes(ev.filter("event_type <> 'error'"), **kw)
+    table.apply_changes(ev.filter("event_type = 'error'"), **kw)
+    out = table.read()
+    cut = ev.filter("event_type = 'error'").agg(F.max("ts")).scalar()
+    return out.filter(F.col("ts") > cut).select("user_id", "event_type", "ts", "event_id", "value")
+
+
+@register("id_no_collision", "SELECT count(*) AS num_rows, count(*) AS num_ids FROM (SELECT DISTINCT event_type, user_id, event_id FROM events)")
+def id_no_collision(spark, sf_dir):
+    """contents that differ only in where a separator stands get different ids."""
+    ev = fx.table(spark, sf_dir, "events").select("event_type", F.col("user_id").cast("string").alias("u"), F.col("event_id").cast("string").alias("e")).distinct()
+    a = ev.select(F.concat_ws("|", "event_type", "u").alias("a"), F.col("e").alias("b"))
+    b = ev.select(F.col("event_type").alias("a"), F.concat_ws("|", "u", "e").alias("b"))
+    both = ids.with_deterministic_id(a.unionByName(b), ["a", "b"])
+    return both.agg((F.count("*") / 2).cast("long").alias("num_rows"), (F.count_distinct("Id") / 2).cast("long").alias("num_ids"))

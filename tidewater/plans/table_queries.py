@@ -3,10 +3,12 @@ pipeline.  Intermediate tables live in fresh folders under the shared checkpoint
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import functions as F
 
+from .. import fixtures as fx
 from .. import schemas as S
 from ..operators import aggregates as agg
 from ..operators import clean
@@ -16,6 +18,7 @@ from ..sources import files, sinks
 from ..sources.audit import AuditLog
 from ..streaming.runner import run_stream
 from ..streaming.staging import DEFAULT_BOUNDS, chunks, stage
+from . import gold
 from . import registry as R
 from . import sql as Q
 from .pipeline import Pipeline
@@ -59,7 +62,7 @@ def partition_prune(spark, sf_dir):
 def schema_evolution_union(spark, sf_dir):
     """K6: later writes add a column; the folder read with merged schema (NULL before)."""
     root = scratch_dir(spark, "evolve")
-    s = __import__("tidewater.fixtures", fromlist=["sensors"]).sensors(spark, sf_dir, with_payload=True)
+    s = fx.sensors(spark, sf_dir, with_payload=True)
     cols = ["Id", TS, "SensorValue", "SensorUnitDescription", "SensorMeasurement", "SensorLocation"]
     for i, part in enumerate(chunks(s, TS)):
         (part.select(*cols) if i == 0 else part.select(*cols, "payload")).write.mode("append").parquet(f"{root}/t")
@@ -113,6 +116,33 @@ def ctas_replace(spark, sf_dir):
     return spark.table(name)
 
 
+@R.register("ctas_replace_partitioned", Q.with_sensors(
+    f"SELECT {Q.SILVER_COLS}, CAST(hour(MeasurementDateTime) AS INTEGER) AS hour_of_day FROM sensors WHERE SensorValue > 10"))
+def ctas_replace_partitioned(spark, sf_dir):
+    """L2/K7: a partitioned table replaced by one with another column and fewer rows, read from itself."""
+    root = scratch_dir(spark, "ctas-part")
+    name = f"{_db(spark, root, 'tw')}.readings"
+    sinks.replace_table(spark, R._silver(spark, sf_dir), name, root, partition_by=["SensorMeasurement"])
+    changed = spark.table(name).filter(F.col("SensorValue") > 10).withColumn("hour_of_day", F.hour(TS))
+    sinks.replace_table(spark, changed, name, root, partition_by=["SensorMeasurement"])
+    return spark.table(name)
+
+
+@R.register("start_over_rebuild", Q.with_sensors("SELECT COUNT(*) AS num_rows, COUNT(DISTINCT Id) AS num_ids FROM sensors"))
+def start_over_rebuild(spark, sf_dir):
+    """The raw job run, then twice from the start: bronze holds every row once."""
+    from ..config import RunParams
+    from . import jobs
+    root = scratch_dir(spark, "start-over")
+    params = RunParams(mode="stream", source=f"{root}/landing", target_root=f"{root}/lake")
+    _landing(spark, sf_dir).write.options(header="true", timestampFormat=files.TS_FORMAT).csv(params.source)
+    jobs.raw_to_bronze(spark, params)
+    for _ in range(2):
+        out = jobs.raw_to_bronze(spark, dataclasses.replace(params, start_over=True))
+    bronze = spark.read.parquet(out["all_sensors"])
+    return bronze.agg(F.count("*").alias("num_rows"), F.count_distinct("Id").alias("num_ids"))
+
+
 @R.register("migrate_tables", Q.with_sensors(
     "SELECT 'silver' AS table_name, COUNT(*) AS num_rows FROM sensors UNION ALL "
     f"SELECT 'air', COUNT(*) FROM sensors WHERE SensorMeasurement = '{S.AIR_TEMP}'"))
@@ -163,8 +193,8 @@ def batch_audit(spark, sf_dir):
     def write(batch, batch_id):
         log.write(batch, "all_sensors", "STREAMING UPDATE", batch_id,
                   lambda d: sinks.append_batch(d, f"{base}/all_sensors", batch_id))
-        written = spark.read.parquet(f"{base}/all_sensors").filter(F.col(sinks.BATCH_COL) == batch_id)
-        for name, part in clean.routes(written.drop(sinks.BATCH_COL)).items():
+        written = sinks.read_batch(spark, f"{base}/all_sensors", batch_id)
+        for name, part in clean.routes(written).items():
             log.write(part, name, "STREAMING UPDATE", batch_id,
                       lambda d, n=name: sinks.append_batch(d, f"{base}/{n}", batch_id))
     for _ in stage(silver, inp, TS):
@@ -172,71 +202,64 @@ def batch_audit(spark, sf_dir):
     return log.history().select("table_name", "batch_id", "num_rows")
 
 
+PIPELINE_ROUTES = {k: v for k, v in S.DEFAULT_ROUTES.items() if v != S.WATER_DEPTH_FEET}
+
+
 def _pipeline_sql() -> str:
-    return Q.with_sensors(R.AGG_SQL.replace("FROM sensors", f"FROM sensors WHERE SensorMeasurement <> '{S.WATER_DEPTH_FEET}' "
-                                                           "AND SensorValue >= 5"))
+    """Totals of all cleaned rows and of each route's current rows, by table."""
+    clean_rows = f"SensorMeasurement <> '{S.WATER_DEPTH_FEET}' AND SensorValue >= 5"
+    parts = [("totals", clean_rows)] + [(f"{r}_totals", f"{clean_rows} AND SensorMeasurement = '{m}'") for r, m in PIPELINE_ROUTES.items()]
+    return Q.with_sensors("\nUNION ALL ".join(
+        f"SELECT '{name}' AS table_name, * FROM ({R.AGG_SQL.replace('FROM sensors', f'FROM sensors WHERE {cond}')})" for name, cond in parts))
 
 
 @R.register("pipeline_run", _pipeline_sql())
 def pipeline_run(spark, sf_dir):
-    """The declarative IoT pipeline - raw CSV -> bronze (expectations, lineage) ->
-    one bronze table per configured route -> SCD 1 silver per route (keys, sequence) ->
-    gold all-time, windowed and per-sensor aggregates.  Returns the all-sensor gold table."""
+    """A pipeline driven by the route config. CSV files are cleaned by rules into ``cleaned``; each route gets a stream
+    cut from it, a table of current rows kept by key and time, and totals of those; ``totals`` and ``windows`` cover
+    all rows. Returns the totals of every table that has some."""
     root = scratch_dir(spark, "pipeline")
-    raw_dir = f"{root}/landing"
-    R._raw(spark, sf_dir).write.option("header", "true").option("timestampFormat", files.TS_FORMAT).csv(raw_dir)
-    p = Pipeline(spark, f"{root}/tables", conf={"data_source_path": raw_dir})
-    routes = {k: v for k, v in S.DEFAULT_ROUTES.items() if k != "water_depth"}
-
-    @p.table(name="Bronze_IoT_AllSensors", comment="bronze table for all sensor data",
-             table_properties={"quality": "bronze"},
-             expect_all_or_drop={"MeasurementDateTime": "MeasurementDateTime IS NOT NULL",
-                                 "SensorValue": "SensorValue IS NOT NULL"})
-    def read_raw():
-        src = files.stream_csv(spark, p.conf["data_source_path"], S.raw_sensor_schema(), header=True)
-        return clean.with_lineage(clean.clean_raw(src))
-
-    def generate(route_table: str, lit: str):
-        @p.table(name=route_table, comment=f"bronze table {route_table} by sensor")
-        def _t():
-            return clean.route(p.read_stream("Bronze_IoT_AllSensors"), lit)
-
-    for name, lit in routes.items():
-        generate(f"Bronze_{name}", lit)
-        p.apply_changes(target=f"Silver_{name}", source=f"Bronze_{name}", keys=["Id"], sequence_by=TS)
-
-    @p.table(name="Gold_AllSensorAggregates", expect_all_or_drop={"SensorLocation": "SensorLocation IS NOT NULL",
-                                                                  "SensorMeasurement": "SensorMeasurement IS NOT NULL"})
-    def gold_all():
-        return agg.sensor_totals(p.read("Bronze_IoT_AllSensors"))
-
-    @p.table(name="Gold_AllSensorWindowedAggregates")
-    def gold_windowed():
-        return agg.window_stats(p.read("Bronze_IoT_AllSensors"), "10 minutes", "5 minutes")
-
-    def generate_gold(name: str):
-        @p.table(name=f"Gold_{name}Aggregates", comment=f"gold table by sensor for {name}")
-        def _g():
-            return agg.sensor_totals(p.read(f"Silver_{name}"))
-
-    for name in routes:
-        generate_gold(name)
+    R._raw(spark, sf_dir).write.option("header", "true").option("timestampFormat", files.TS_FORMAT).csv(f"{root}/landing")
+    p = Pipeline(spark, f"{root}/tables", conf={"landing": f"{root}/landing"})
+    not_null = lambda *cols: {f"has_{c}": f"{c} IS NOT NULL" for c in cols}
+
+    def define(name, build, **options):
+        p.table(name=name, **options)(build)
+
+    def cleaned():
+        return clean.with_lineage(clean.clean_raw(files.stream_csv(spark, p.conf["landing"], S.raw_sensor_schema(), header=True)))
+
+    define("cleaned", cleaned, expect_all_or_drop=not_null(TS, "SensorValue"))
+    for route, sensor in PIPELINE_ROUTES.items():
+        define(route, lambda sensor=sensor: clean.route(p.read_stream("cleaned"), sensor))
+        p.apply_changes(target=f"{route}_current", source=route, keys=["Id"], sequence_by=TS)
+        define(f"{route}_totals", lambda route=route: agg.sensor_totals(p.read(f"{route}_current")))
+    define("totals", lambda: agg.sensor_totals(p.read("cleaned")), expect_all_or_drop=not_null("SensorLocation", "SensorMeasurement"))
+    define("windows", lambda: agg.window_stats(p.read("cleaned"), "10 minutes", "5 minutes"))
     p.run()
-    return spark.read.parquet(p.path("Gold_AllSensorAggregates"))
+    out = None
+    for name in ["totals", *(f"{r}_totals" for r in PIPELINE_ROUTES)]:
+        part = spark.read.parquet(p.path(name)).select(F.lit(name).alias("table_name"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _landing(spark, sf_dir):
+    """Rows of the raw export's columns, as they land."""
+    return R._silver(spark, sf_dir).select(
+        F.lit(None).cast("string").alias("Skip"), F.lit("_result").alias("SkipResult"), F.lit("0").alias("SkipTable"),
+        F.date_trunc("day", TS).alias("a"), F.date_trunc("day", TS).alias("b"), TS, "SensorValue", "SensorUnitDescription",
+        "SensorMeasurement", "SensorLocation", F.lit("").alias("Id"))
 
 
-@R.register("pipeline_jobs", Q.gold_daily_sql())
+@R.register("pipeline_jobs", Q.gold_daily_sql(gold.VERIFIED_COLUMNS))
 def pipeline_jobs(spark, sf_dir):
     """R2B/B2S/S2G end to end: raw CSV drops -> bronze fan-out with deterministic ids ->
     silver merge -> gold tables; returns the daily gold aggregate."""
     from ..config import RunParams
     from . import jobs
     root = scratch_dir(spark, "jobs")
-    s = R._silver(spark, sf_dir)
-    raw = s.select(F.lit(None).cast("string").alias("Skip"), F.lit("_result").alias("SkipResult"),
-                   F.lit("0").alias("SkipTable"), F.date_trunc("day", TS).alias("a"), F.date_trunc("day", TS).alias("b"),
-                   TS, "SensorValue", "SensorUnitDescription", "SensorMeasurement", "SensorLocation",
-                   F.lit("").alias("Id"))
+    raw = _landing(spark, sf_dir)
     params = RunParams(mode="stream", source=f"{root}/landing", target_root=f"{root}/lake")
     for _ in stage(raw, params.source, TS, fmt="csv", options={"header": "true", "timestampFormat": files.TS_FORMAT}):
         jobs.raw_to_bronze(spark, params)

@@ -61,8 +61,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached in local tests without a configured shared folder.
-        configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="tidewater-ckpt-")   # local tests: one machine, one folder
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -45,6 +45,11 @@ def append_batch(df: DataFrame, path: str, batch_id: int, partition_by: Sequence
        .partitionBy(BATCH_COL, *partition_by).parquet(path))
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The rows ``append_batch`` wrote for one batch: its own folder, without listing the table."""
+    return spark.read.parquet(f"{path}/{BATCH_COL}={int(batch_id)}")
+
+
 def fanout(batch: DataFrame, base_path: str, routes: Mapping[str, str] = S.DEFAULT_ROUTES,
            all_name: str = "all_sensors", batch_id: int | None = None, mode: str = "append",
            column: str = "SensorMeasurement") -> dict[str, str]:
@@ -59,8 +64,7 @@ def fanout(batch: DataFrame, base_path: str, routes: Mapping[str, str] = S.DEFAU
     paths = {all_name: f"{base_path}/{all_name}", **{n: f"{base_path}/{n}" for n in routes}}
     if batch_id is not None:
         append_batch(batch, paths[all_name], batch_id)
-        written = (batch.sparkSession.read.parquet(paths[all_name])
-                   .filter(F.col(BATCH_COL) == F.lit(int(batch_id))).drop(BATCH_COL))
+        written = read_batch(batch.sparkSession, paths[all_name], batch_id)
         for name, part in clean.routes(written, routes, column).items():
             append_batch(part, paths[name], batch_id)
         return paths
@@ -81,14 +85,6 @@ def fanout_writer(base_path: str, routes: Mapping[str, str] = S.DEFAULT_ROUTES,
     return run
 
 
-def union_evolving(frames: Sequence[DataFrame]) -> DataFrame:
-    """K6: union of frames whose schemas grew over time (missing columns become NULL)."""
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
-
-
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
     """K6: Parquet folder written with several schema versions, read with merged schema."""
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -117,21 +113,30 @@ def drop_tables_like(spark: SparkSession, db: str, pattern: str) -> list[str]:
     return names
 
 
+def move_aside(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder within its file system, if it is there (start over keeps what it replaces)."""
+    jvm = spark._jvm
+    source, target = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(source):
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"could not move {path} to {to}")
+
+
 def replace_table(spark: SparkSession, df: DataFrame, name: str, location_root: str,
                   partition_by: Sequence[str] | None = None) -> str:
     """L2: ``CREATE OR REPLACE TABLE ... AS SELECT`` for Parquet: write the result to a
-    new location, then create the table or switch its location (readers see the old or the
-    new files, never a half-written table; the query may read the table it replaces)."""
+    new location, then create the catalog entry anew for it, with the new columns and partitions
+    (files are never half-written, and the query may read the table it replaces; the
+    old version's files stay)."""
     location = f"{location_root.rstrip('/')}/{name.replace('.', '/')}/v-{uuid.uuid4().hex[:12]}"
     w = df.write.format("parquet").mode("error")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(location)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
-        spark.catalog.refreshTable(name)
-    else:
-        spark.catalog.createTable(name, path=location, source="parquet")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")   # external: only the entry goes
+    spark.catalog.createTable(name, path=location, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
     return location

@@ -46,6 +46,8 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     filter - no nested loop over all rows of a key - in batch and in streaming (where the
     range condition also bounds the join state together with both watermarks).
     ``right`` columns must not clash with ``left`` ones except for ``keys``."""
+    if how != "inner":
+        raise ValueError("interval_join is an inner join: a left row stands in several buckets, so an outer form would add null rows")
     w = bucket_seconds or max(1, upper_seconds - lower_seconds)
     if w < upper_seconds - lower_seconds:
         raise ValueError("bucket must be at least as wide as the time range")
@@ -57,7 +59,7 @@ def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     cond = [l2[k] == r2[k] for k in keys] + [l2["_jb"] == r2["_jb"]]
     cond.append(r2[right_time] >= l2[left_time] + F.make_dt_interval(secs=F.lit(lower_seconds)))
     cond.append(r2[right_time] <= l2[left_time] + F.make_dt_interval(secs=F.lit(upper_seconds)))
-    j = l2.join(r2, cond, how)
+    j = l2.join(r2, cond)
     return j.select(*[l2[c] for c in left.columns], *[r2[c] for c in right.columns if c not in keys])
 
 
@@ -80,7 +82,8 @@ def window_join(left: DataFrame, right: DataFrame, size: str, keys: Sequence[str
 
 def upsert_batches(table: mg.BucketedTable, sequence_by: str | None = None, tiebreak: Sequence[str] = ()):
     """``foreachBatch`` function merging each micro-batch into a bucketed table
-    (duplicates inside the batch are reduced to the latest row per key first)."""
+    (with ``sequence_by`` the latest row of a key wins, in the batch and against the table; without
+    it a batch with two rows for a key is refused)."""
     def run(batch: DataFrame, batch_id: int) -> None:
         table.upsert(batch, sequence_by=sequence_by, tiebreak=tiebreak)
     return run

@@ -56,9 +56,6 @@ def test_drop_like_and_truncate_after_merge(spark, tmp_path):
 def test_demultiplex_log(spark, tmp_path):
     rows = spark.createDataFrame([("1", "h2o_pH", 7.0), ("2", "average_temperature", 20.0), ("3", "h2o_pH", 6.5)],
                                  "Id string, SensorMeasurement string, SensorValue double")
-    log = str(tmp_path / "log")
-    env.write_log(env.encode(rows, "Id"), path=log, topic="sensors")
-    batch_log = spark.read.schema(env.LOG_SCHEMA).parquet(log)
-    parts = env.demultiplex(batch_log, {"ph": "h2o_pH", "air": "average_temperature"}, rows.schema)
+    parts = env.demultiplex(env.encode(rows, "Id"), {"ph": "h2o_pH", "air": "average_temperature"}, rows.schema)
     assert sorted(r.Id for r in parts["ph"].collect()) == ["1", "3"]
     assert [r.SensorValue for r in parts["air"].collect()] == [20.0]

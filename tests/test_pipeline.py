@@ -55,3 +55,28 @@ def test_change_target_from_stream(spark, tmp_path):
     p.run()
     got = {r.Id: r.v for r in spark.read.parquet(p.path("silver")).collect()}
     assert got == {1: "b", 2: "x"}
+
+
+def test_stream_expectations_are_counted(spark, tmp_path):
+    p = Pipeline(spark, str(tmp_path / "t"))
+    path = str(tmp_path / "in")
+    spark.createDataFrame([(1, 5.0), (2, None), (3, 1.0)], "Id int, v double").repartition(3).write.parquet(path)
+
+    @p.table(name="bronze", expect_all={"has_v": "v IS NOT NULL", "big": "v > 2"})
+    def bronze():
+        return spark.readStream.schema("Id int, v double").option("maxFilesPerTrigger", 1).parquet(path)
+
+    p.run()
+    assert spark.read.parquet(p.path("bronze")).count() == 3
+    assert p.metrics["bronze"].get == {"rows": 3, "failed_has_v": 1, "failed_big": 2}
+
+
+def test_zorder_of_long_common_prefixes_and_other_scripts(spark, tmp_path):
+    from tidewater.operators import layout
+    rows = [(i, f"h2o_temperature_{'abcdefgh'[i % 8]}", "漢字" * (i % 5 + 1)) for i in range(400)]
+    df = spark.createDataFrame(rows, "Id int, a string, b string")
+    keyed = layout.zorder_key(df, ["a", "b"], bits=3).collect()
+    assert len({(r.a, r.b) for r in keyed}) == len({r._z for r in keyed}) == 40
+    df.write.parquet(str(tmp_path / "t"))
+    out = layout.zorder_compact(spark, str(tmp_path / "t"), ["a", "b"], bloom={"Id": 400})
+    assert sorted(r.Id for r in spark.read.parquet(out).collect()) == list(range(400))

@@ -33,11 +33,6 @@ def sensor_totals(df: DataFrame, keys: Sequence[str] = SENSOR_KEYS) -> DataFrame
     return df.groupBy(*keys).agg(*sensor_stats())
 
 
-def totals_by_route(df: DataFrame, config: Mapping[str, str] = S.DEFAULT_ROUTES) -> dict[str, DataFrame]:
-    """One statistics table per configured route."""
-    return {name: sensor_totals(part) for name, part in clean.routes(df, config).items()}
-
-
 def window_stats(df: DataFrame, size: str = "10 minutes", slide: str | None = "5 minutes",
                  time_col: str = "MeasurementDateTime", keys: Sequence[str] = SENSOR_KEYS) -> DataFrame:
     """Statistics per (keys, time window); sliding when ``slide`` is given,

@@ -11,10 +11,12 @@ then, so a failed job leaves the table as it was.
 
 from __future__ import annotations
 
+import bisect
 import math
 import uuid
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,28 +36,43 @@ def bloom_filter_options(columns: Mapping[str, int], fpp: float = 0.1) -> dict[s
     return opts
 
 
+RANK_SAMPLE = 20_000  # strings (by hash order) whose quantiles cut a string column
+
+
 def _as_number(df: DataFrame, c: str) -> Column:
     t = df.schema[c].dataType
     if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
     if isinstance(t, T.DateType):
         return F.unix_date(F.col(c)).cast("double")
-    if isinstance(t, T.StringType):
-        # order-preserving number from the first 6 bytes
-        return F.conv(F.hex(F.rpad(F.substring(F.col(c), 1, 6), 6, "\u0000")), 16, 10).cast("double")
     return F.col(c).cast("double")
 
 
+def _string_rank(df: DataFrame, c: str, n: int) -> Column:
+    """Bucket of a string among the quantiles of a bounded sample, compared as whole strings (code-point order)."""
+    rows = df.select(c).where(F.col(c).isNotNull()).orderBy(F.xxhash64(c), c).limit(RANK_SAMPLE).toPandas()[c]
+    values = sorted(rows)
+    cuts = sorted({values[len(values) * i // n] for i in range(1, n)}) if values else []
+
+    @F.pandas_udf("double")
+    def rank(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: float(bisect.bisect_right(cuts, v)), na_action="ignore").astype("float64")
+    return F.coalesce(rank(F.col(c)), F.lit(0.0))
+
+
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = ZORDER_BITS,
                relative_error: float = 0.001) -> DataFrame:
     """Add ``_z``: Morton interleaving of per-column quantile-bucket indices."""
     n = 1 << bits
-    nums = df.withColumns({f"_zn_{c}": F.coalesce(_as_number(df, c), F.lit(float("-inf"))) for c in columns})
-    qs = nums.approxQuantile([f"_zn_{c}" for c in columns], [i / n for i in range(1, n)], relative_error)
-    out = nums
-    for c, q in zip(columns, qs):
-        splits = [float("-inf")] + sorted(set(v for v in q if math.isfinite(v))) + [float("inf")]
-        out = Bucketizer(splits=splits, inputCol=f"_zn_{c}", outputCol=f"_zb_{c}", handleInvalid="keep").transform(out)
+    texts = [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
+    numbers = [c for c in columns if c not in texts]
+    out = df.withColumns({f"_zb_{c}": _string_rank(df, c, n) for c in texts})
+    if numbers:
+        out = out.withColumns({f"_zn_{c}": F.coalesce(_as_number(df, c), F.lit(float("-inf"))) for c in numbers})
+        qs = out.approxQuantile([f"_zn_{c}" for c in numbers], [i / n for i in range(1, n)], relative_error)
+        for c, q in zip(numbers, qs):
+            splits = [float("-inf")] + sorted(set(v for v in q if math.isfinite(v))) + [float("inf")]
+            out = Bucketizer(splits=splits, inputCol=f"_zn_{c}", outputCol=f"_zb_{c}", handleInvalid="keep").transform(out)
     d = len(columns)
     z = F.lit(0).cast("long")
     for b in range(bits):
@@ -81,7 +98,9 @@ def zorder_compact(spark: SparkSession, path: str, columns: Sequence[str], new_p
     df = spark.read.parquet(path)
     n_files = max(1, math.ceil(folder_bytes(spark, path) / target_file_bytes))
     keyed = zorder_key(df, columns)
-    out = keyed.repartitionByRange(n_files, *partition_by, "_z").sortWithinPartitions(*partition_by, "_z").drop("_z")
+    # a tail that tells rows of one cell apart, so that a full cell can be cut into several files
+    keyed = keyed.withColumn("_tail", F.xxhash64(*df.columns))
+    out = keyed.repartitionByRange(n_files, *partition_by, "_z", "_tail").sortWithinPartitions(*partition_by, "_z").drop("_z", "_tail")
     new_path = new_path or f"{path.rstrip('/')}-z{uuid.uuid4().hex[:8]}"
     w = out.write.mode("error").options(**bloom_filter_options(bloom or {}))
     if partition_by:

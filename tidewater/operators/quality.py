@@ -48,15 +48,29 @@ def expect_or_fail(df: DataFrame, rules: Rules) -> DataFrame:
     return df.select("*", check.alias("_expect_check")).filter(F.col("_expect_check").isNull()).drop("_expect_check")
 
 
-def expect(df: DataFrame, rules: Rules, name: str = "expectations") -> tuple[DataFrame, Observation]:
+def expect(df: DataFrame, rules: Rules, name: str = "expectations") -> tuple[DataFrame, Observation | None]:
     """Keep all rows; the returned Observation holds ``rows`` and ``failed_<rule>`` counts
-    once an action (or micro-batch) has run."""
-    obs = Observation(name)
+    once an action has run. A stream reports them in its progress under ``name`` (``StreamCounts``)."""
     metrics = [F.count(F.lit(1)).alias("rows")]
     metrics += [F.sum(F.when(~_pred(p), 1).otherwise(0)).alias(f"failed_{r}") for r, p in rules.items()]
+    if df.isStreaming:
+        return df.observe(name, *metrics), None
+    obs = Observation(name)
     return df.observe(obs, *metrics), obs
 
 
+class StreamCounts:
+    """Counts that a finished streaming query observed, summed over its batches (``get``, like an Observation)."""
+
+    def __init__(self, query, name: str):
+        self.get: dict[str, int] = {}
+        for progress in query.recentProgress:
+            seen = progress["observedMetrics"] if isinstance(progress, dict) else progress.observedMetrics
+            row = seen.get(name)
+            for k, v in ((row if isinstance(row, dict) else row.asDict()) if row is not None else {}).items():
+                self.get[k] = self.get.get(k, 0) + int(v or 0)
+
+
 def expectation_counts(df: DataFrame, rules: Rules) -> DataFrame:
     """One-row DataFrame: rows, failed_<rule> per rule, dropped (rows failing any rule)."""
     aggs = [F.count(F.lit(1)).alias("rows")]

@@ -57,7 +57,7 @@ class Pipeline:
     # ---------------------------------------------------------------- definition
     def table(self, name: str | None = None, comment: str = "", table_properties: Mapping[str, str] | None = None,
               expect_all_or_drop: Mapping[str, str] | None = None, expect_all_or_fail: Mapping[str, str] | None = None,
-              expect_all: Mapping[str, str] | None = None, partition_cols: Sequence[str] = (), schema=None):
+              expect_all: Mapping[str, str] | None = None, partition_cols: Sequence[str] = ()):
         def deco(fn):
             n = name or fn.__name__
             if n in self.specs:
@@ -112,12 +112,13 @@ class Pipeline:
                 df = q.expect_or_drop(df, spec.expect_all_or_drop)
             if spec.expect_all_or_fail:
                 df = q.expect_or_fail(df, spec.expect_all_or_fail)
-            if spec.expect_all and not df.isStreaming:
-                df, obs = q.expect(df, spec.expect_all, name)
-                self.metrics[name] = obs
+            if spec.expect_all:
+                df, self.metrics[name] = q.expect(df, spec.expect_all, name)
             if df.isStreaming:
-                run_stream(df, f"{self.root}/_checkpoints/{name}", path=self.path(name),
-                           partition_by=spec.partition_cols or None)
+                query = run_stream(df, f"{self.root}/_checkpoints/{name}", path=self.path(name),
+                                   partition_by=spec.partition_cols or None)
+                if spec.expect_all:
+                    self.metrics[name] = q.StreamCounts(query, name)
             else:
                 w = df.write.mode("overwrite")
                 if spec.partition_cols:

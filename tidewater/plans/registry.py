@@ -172,7 +172,7 @@ _ROUTES_VALUES = ", ".join(f"('{n}', '{m}')" for n, m in S.DEFAULT_ROUTES.items(
                     "GROUP BY 1, 2, 3")))
 def agg_by_route(spark, sf_dir):
     """Statistics per configured route in one pass (rows tagged with their route,
-    one grouping); ``aggregates.totals_by_route`` gives the separate per-route tables."""
+    one grouping)."""
     tagged = clean.route_tagged(_silver(spark, sf_dir))
     return agg.sensor_totals(tagged, keys=("route", "SensorLocation", "SensorMeasurement"))
 
@@ -334,8 +334,6 @@ def incremental_high_water(spark, sf_dir):
 CDC_FEED_SQL = ("feed AS (SELECT user_id, event_type, ts, event_id, CASE WHEN value < 5 THEN NULL ELSE value END AS value, "
                 "props, (event_type = 'error' AND value < 50) AS is_delete, "
                 "(event_type = 'signup' AND value >= 300) AS is_truncate FROM events)")
-CDC_DELETE = "event_type = 'error' AND value < 50"
-CDC_TRUNCATE = "event_type = 'signup' AND value >= 300"
 CDC_KEYS = ["user_id", "event_type"]
 
 
@@ -633,3 +631,40 @@ def id_no_collision(spark, sf_dir):
     b = ev.select(F.col("event_type").alias("a"), F.concat_ws("|", "u", "e").alias("b"))
     both = ids.with_deterministic_id(a.unionByName(b), ["a", "b"])
     return both.agg((F.count("*") / 2).cast("long").alias("num_rows"), (F.count_distinct("Id") / 2).cast("long").alias("num_ids"))
+
+
+@register("bronze_rename", Q.with_sensors(
+    "SELECT date_trunc('day', MeasurementDateTime) AS MeasurementWindowStartTime, date_trunc('day', MeasurementDateTime) AS "
+    "MeasurementWindowEndTime, MeasurementDateTime, CAST(SensorValue AS DOUBLE) AS SensorValue, SensorUnitDescription, "
+    "SensorMeasurement, SensorLocation, Id FROM sensors UNION ALL SELECT date_trunc('day', MeasurementDateTime), "
+    "date_trunc('day', MeasurementDateTime), NULL, CAST(SensorValue AS DOUBLE), SensorUnitDescription, SensorMeasurement, "
+    f"SensorLocation, -1 - Id FROM sensors WHERE SensorMeasurement = '{S.AIR_TEMP}'"))
+def bronze_rename(spark, sf_dir):
+    """Renamed window columns and a tolerant time cast; malformed times become NULL."""
+    day = F.date_trunc("day", "MeasurementDateTime").cast("timestamp_ntz")
+    s = _silver(spark, sf_dir).withColumns({"WindowAverageStartDateTime": day, "WindowAverageStopDateTime": day})
+    text = s.withColumn("MeasurementDateTime", F.col("MeasurementDateTime").cast("string"))
+    bad = fx.route(text, S.AIR_TEMP).withColumns({"MeasurementDateTime": F.lit("MeasurementDateTime"), "Id": F.lit(-1) - F.col("Id")})
+    out = clean.bronze_rename(text.unionByName(bad))
+    return out.withColumn("MeasurementDateTime", F.col("MeasurementDateTime").cast("timestamp_ntz"))
+
+
+@register("semi_join", Q.with_sensors(
+    f"SELECT {Q.SILVER_COLS} FROM sensors s WHERE EXISTS (SELECT 1 FROM sensors a WHERE a.SensorMeasurement = '{S.AIR_TEMP}' "
+    "AND a.SensorLocation = s.SensorLocation AND a.SensorValue > 10)"))
+def semi_join(spark, sf_dir):
+    """Readings at places where the air was warm at some time, each once."""
+    s = _silver(spark, sf_dir)
+    warm = fx.route(s, S.AIR_TEMP).filter(F.col("SensorValue") > 10)
+    return s.join(warm.select("SensorLocation"), "SensorLocation", "left_semi").select(*s.columns)
+
+
+@register("idempotent_batches", Q.with_sensors(f"SELECT {Q.SILVER_COLS}, CAST(SensorMeasurement = '{S.AIR_TEMP}' AS BIGINT) AS _batch_id FROM sensors"))
+def idempotent_batches(spark, sf_dir):
+    """K9: two batches appended, the first of them three times."""
+    from ..sources import sinks
+    path = f"{scratch_dir(spark, 'idempotent')}/t"
+    s = _silver(spark, sf_dir)
+    for batch_id in (0, 1, 0, 0):
+        sinks.append_batch(s.filter((F.col("SensorMeasurement") == S.AIR_TEMP) == F.lit(bool(batch_id))), path, batch_id)
+    return spark.read.parquet(path)

@@ -209,15 +209,15 @@ def stream_interval_join(spark, sf_dir):
 # --------------------------------------------------------------------------- envelope
 @R.register("envelope_roundtrip", Q.with_sensors(f"SELECT {Q.SILVER_COLS} FROM sensors"))
 def envelope_roundtrip(spark, sf_dir):
-    """Records encoded as (key, JSON value) into a message log, read
-    back as a stream, unpacked from the envelope into bronze rows."""
+    """Records encoded as (key, JSON value) and stored, read back as a stream,
+    unpacked from the envelope into bronze rows."""
     root = scratch_dir(spark, "envelope")
     silver = R._silver(spark, sf_dir).withColumn(TS, F.col(TS).cast("timestamp"))
     log, out, ckpt = f"{root}/log", f"{root}/bronze", f"{root}/_checkpoint"
     payload_schema = silver.schema
     for part in chunks(silver, TS):
-        env.write_log(env.encode(part, "Id"), path=log, topic="sensors")
-        stream = env.read_log_stream(spark, path=log, topics="sensors")
+        env.encode(part, "Id").write.mode("append").parquet(log)
+        stream = files.stream_table(spark, path=log, schema=spark.read.parquet(log).schema)
         bronze = env.decode(env.to_envelope(stream), payload_schema)
         run_stream(bronze, ckpt, path=out, state_partitions=_sp(spark))
     return spark.read.parquet(out).withColumn(TS, F.col(TS).cast("timestamp_ntz"))

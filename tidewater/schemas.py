@@ -26,11 +26,6 @@ DEFAULT_ROUTES: dict[str, str] = {
     "water_depth": WATER_DEPTH_FEET,
 }
 
-# route name -> change-data settings (merge keys, sequence column)
-DEFAULT_CDC: dict[str, dict] = {
-    name: {"keys": ["Id"], "sequence_by": "MeasurementDateTime"} for name in DEFAULT_ROUTES
-}
-
 # Columns of the raw export that carry no information after cleaning.
 RAW_DROP_COLUMNS = ["Skip", "SkipResult", "SkipTable",
                     "WindowAverageStartDateTime", "WindowAverageStopDateTime"]
@@ -66,37 +61,6 @@ def raw_sensor_schema(reference_precision: bool = False, window_as_string: bool
     ])
 
 
-def raw_sensor_event_schema(reference_precision: bool = False) -> T.StructType:
-    """Raw export plus the time the record was produced into the message log."""
-    return T.StructType(raw_sensor_schema(reference_precision).fields
-                        + [T.StructField("EventDateTime", T.TimestampType())])
-
-
-def message_payload_schema(reference_precision: bool = False) -> T.StructType:
-    """JSON payload carried in a message-log value."""
-    return T.StructType([
-        T.StructField("MeasurementDateTime", T.TimestampType()),
-        T.StructField("SensorValue", value_type(reference_precision)),
-        T.StructField("SensorUnitDescription", T.StringType()),
-        T.StructField("SensorMeasurement", T.StringType()),
-        T.StructField("SensorLocation", T.StringType()),
-        T.StructField("Id", T.StringType()),
-        T.StructField("EventDateTime", T.TimestampType()),
-    ])
-
-
-def bronze_schema(reference_precision: bool = False) -> T.StructType:
-    return T.StructType([
-        T.StructField("MeasurementDateTime", T.TimestampType()),
-        T.StructField("SensorValue", value_type(reference_precision)),
-        T.StructField("SensorUnitDescription", T.StringType()),
-        T.StructField("SensorMeasurement", T.StringType()),
-        T.StructField("SensorLocation", T.StringType()),
-        T.StructField("Id", T.StringType(), False),
-        T.StructField("InputFileName", T.StringType(), False),
-    ])
-
-
 def silver_schema(reference_precision: bool = False, float_value: bool = False) -> T.StructType:
     vt = T.FloatType() if float_value else value_type(reference_precision)
     return T.StructType([
@@ -107,14 +71,3 @@ def silver_schema(reference_precision: bool = False, float_value: bool = False)
         T.StructField("SensorLocation", T.StringType()),
         T.StructField("Id", T.StringType(), False),
     ])
-
-
-def forecast_result_schema() -> T.StructType:
-    f = T.FloatType()
-    return T.StructType([
-        T.StructField("SensorMeasurement", T.StringType()),
-        T.StructField("model_json", T.StringType()),
-        T.StructField("prophet_params", T.StringType()),
-        T.StructField("start_time", T.TimestampType()),
-        T.StructField("end_time", T.TimestampType()),
-    ] + [T.StructField(m, f) for m in ("mse", "rmse", "mae", "mape", "mdape", "smape", "coverage")])

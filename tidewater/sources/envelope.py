@@ -1,9 +1,8 @@
 """Message-log envelope.
 
-Records travel as ``key`` (the record id) and ``value`` (the JSON of the payload struct).
-With a message-queue connector on the classpath the log is read/written with
-``format('kafka')``; without one, a folder of Parquet files with the same columns (key,
-value, topic, partition, offset, timestamp) stands in, read as a file stream.
+Records travel as ``key`` (the record id) and ``value`` (the JSON of the payload struct). A log is written and read with
+``format('kafka')`` where the connector is on the classpath; encoding and decoding work on any table or stream
+with these two columns.
 """
 
 from __future__ import annotations
@@ -18,15 +17,6 @@ from pyspark.sql import types as T
 JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
-LOG_SCHEMA = T.StructType([
-    T.StructField("key", T.BinaryType()),
-    T.StructField("value", T.BinaryType()),
-    T.StructField("topic", T.StringType()),
-    T.StructField("partition", T.IntegerType()),
-    T.StructField("offset", T.LongType()),
-    T.StructField("timestamp", T.TimestampType()),
-])
-
 
 def encode(df: DataFrame, key_col: str = "Id", value_cols: Sequence[str] | None = None) -> DataFrame:
     """(key string, value JSON string) from a record's columns."""
@@ -34,44 +24,17 @@ def encode(df: DataFrame, key_col: str = "Id", value_cols: Sequence[str] | None
     return df.select(F.col(key_col).cast("string").alias("key"), F.to_json(F.struct(*cols), JSON_OPTIONS).alias("value"))
 
 
-def to_file_log(encoded: DataFrame, path: str, topic: str, partitions: int = 8) -> None:
-    """Append encoded records to a file log (the stand-in for a topic).  Records are
-    spread over ``partitions`` log partitions by key hash; the offset is the row's
-    position in its partition's file (monotonic per partition)."""
-    part = F.pmod(F.xxhash64("key"), F.lit(partitions)).cast("int")
-    (encoded.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
-                    F.lit(topic).alias("topic"), part.alias("partition"),
-                    F.monotonically_increasing_id().alias("offset"),
-                    F.current_timestamp().alias("timestamp"))
-            .repartition(partitions, "partition")
-            .write.mode("append").parquet(path))
-
-
-def write_log(encoded: DataFrame, fmt: str = "files", path: str | None = None, topic: str = "sensors",
-              options: Mapping[str, str] | None = None) -> None:
-    """K8: batch write to a log: ``fmt='kafka'`` (needs the connector; options such as
-    ``kafka.bootstrap.servers`` and TLS settings pass through) or the file log."""
-    if fmt == "kafka":
-        encoded.write.format("kafka").options(**(options or {})).option("topic", topic).save()
-    else:
-        to_file_log(encoded, path, topic)
-
-
-def read_log_stream(spark: SparkSession, fmt: str = "files", path: str | None = None, topics: str = "sensors",
-                    starting_offsets: str = "earliest", max_files_per_trigger: int | None = None,
-                    min_partitions: int | None = None, options: Mapping[str, str] | None = None) -> DataFrame:
-    """Streaming read of a log with the log columns."""
-    if fmt == "kafka":
-        r = (spark.readStream.format("kafka").option("subscribe", topics)
-             .option("startingOffsets", starting_offsets).options(**(options or {})))
-        if min_partitions:
-            r = r.option("minPartitions", str(min_partitions))
-        return r.load()
-    r = spark.readStream.schema(LOG_SCHEMA).format("parquet")
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.load(path).filter(F.col("topic").isin([t.strip() for t in topics.split(",")]))
-    return df.repartition(min_partitions) if min_partitions else df
+def write_log(encoded: DataFrame, topic: str, options: Mapping[str, str]) -> None:
+    """K8: batch write to a topic; options such as ``kafka.bootstrap.servers`` and TLS settings pass through."""
+    encoded.write.format("kafka").options(**options).option("topic", topic).save()
+
+
+def read_log_stream(spark: SparkSession, topics: str, options: Mapping[str, str], starting_offsets: str = "earliest",
+                    min_partitions: int | None = None) -> DataFrame:
+    """Streaming read of topics (``maxOffsetsPerTrigger`` among the options limits the rate)."""
+    r = (spark.readStream.format("kafka").option("subscribe", topics)
+         .option("startingOffsets", starting_offsets).options(**options))
+    return (r.option("minPartitions", str(min_partitions)) if min_partitions else r).load()
 
 
 def to_envelope(log: DataFrame) -> DataFrame:

@@ -17,7 +17,13 @@ NULL_IDS = 1 << 62  # keys from here on stand for null ids; ids themselves are b
 SLICE_BYTES = 1 << 21
 
 
+BATCH_ROWS = 2000
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A table; from now on Arrow batches of the session hold BATCH_ROWS rows at most, as texts can be long (Spark
+    keeps a batch outside its heap, twice while it grows)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -51,7 +51,7 @@ def test_metrics_match_numpy(spark):
 
 
 def test_future_frame_continues_from_latest_end(spark, series):
-    params, season = fc.fit(series)
+    params = fc.fit(series)
     fut = fc.future_frame(params)
     latest = series.agg(F.max("ds")).first()[0]
     r = fut.agg(F.min("ds"), F.max("ds"), F.count(F.lit(1))).first()

@@ -2,9 +2,8 @@
 
 Model (additive, cf. Taylor & Letham 2018): ``y = a + b*t + s[hour(ds)] + e`` with t in
 hours since the series start, a seasonal mean per hour of day, and a normal band from the
-residual spread.  Everything is a two-phase aggregate (``regr_slope``, ``avg``,
-``stddev_samp``) or a join with one row per series, so no series is gathered into one
-task however long it is; the fitted parameters stay a DataFrame (nothing goes through the
+residual spread.  Everything follows from sums per (series, hour of day), two-phase
+aggregates, so no series is gathered into one task however long it is; the fitted parameters stay a DataFrame (nothing goes through the
 driver).  ``tidewater.operators.ridge`` holds the searched, penalised variant.
 """
 
@@ -45,36 +44,48 @@ def series_span(series: DataFrame, key: str = "ts_id") -> DataFrame:
                                    F.count(F.lit(1)).alias("n_obs"))
 
 
-def fit(series: DataFrame, key: str = "ts_id") -> tuple[DataFrame, DataFrame]:
-    """Fit trend + hour-of-day seasonality.  Returns (params, season):
-    params: key, start_time, end_time, n_obs, intercept, slope, sigma
-    season: key, hour, season"""
-    span = series_span(series, key)
-    s = series.join(span.select(key, "start_time"), key).withColumn("t", _hours(F.col("ds"), F.col("start_time")))
-    # A single point (or one time) has no slope: flat trend at the mean.
-    trend = s.groupBy(key).agg(F.coalesce(F.regr_intercept("y", "t"), F.avg("y")).alias("intercept"),
-                               F.coalesce(F.regr_slope("y", "t"), F.lit(0.0)).alias("slope"))
-    r = (s.join(trend, key)
-          .withColumn("r", F.col("y") - (F.col("intercept") + F.col("slope") * F.col("t")))
-          .withColumn("hour", F.hour(F.col("ds"))))
-    season = r.groupBy(key, "hour").agg(F.avg("r").alias("season"))
-    sigma = (r.join(season, [key, "hour"])
-               .groupBy(key).agg(F.coalesce(F.stddev_samp(F.col("r") - F.col("season")), F.lit(0.0)).alias("sigma")))
-    params = span.join(trend, key).join(sigma, key)
-    return params, season
-
-
-def predict(frame: DataFrame, params: DataFrame, season: DataFrame, key: str = "ts_id",
-            z: float = Z_95) -> DataFrame:
-    """yhat and band for every (key, ds) row of ``frame``."""
-    p = frame.join(params.select(key, "start_time", "intercept", "slope", "sigma"), key)
-    p = p.withColumn("hour", F.hour(F.col("ds"))).join(season, [key, "hour"], "left")
+def fit(series: DataFrame, key: str = "ts_id") -> DataFrame:
+    """Fit trend + hour-of-day seasonality from sums of one pass over the series: key, start_time, end_time, n_obs,
+    intercept, slope, sigma, season (map hour -> mean residual).
+
+    Per (series, hour of day) the sums of y, t, ty, tt and yy are two-phase aggregates; everything else is arithmetic on
+    them. t counts hours from the first time of all series, which keeps the sums of squares small."""
+    origin = series.agg(F.min("ds")).scalar()
+    t = F.when(F.col("y").isNotNull(), _hours(F.col("ds"), origin))
+    sums = series.groupBy(key, F.hour("ds").alias("hour")).agg(
+        F.min("ds").alias("lo"), F.max("ds").alias("hi"), F.min(_hours(F.col("ds"), origin)).alias("t0"), F.count(F.lit(1)).alias("rows"),
+        F.count("y").alias("n"), F.sum("y").alias("y"), F.sum(t).alias("t"), F.sum(t * F.col("y")).alias("ty"),
+        F.sum(t * t).alias("tt"), F.sum(F.col("y") * F.col("y")).alias("yy"))
+    total = sums.groupBy(key).agg(
+        F.min("lo").alias("start_time"), F.max("hi").alias("end_time"), F.min("t0").alias("t0"), F.sum("rows").alias("n_obs"),
+        *[F.sum(c).alias(c) for c in ("n", "y", "t", "ty", "tt", "yy")], F.collect_list(F.struct("hour", "n", "y", "t")).alias("hours"))
+    n, y, t0 = F.col("n"), F.col("y"), F.col("t0")
+    # from here on t counts from the start of the series
+    total = total.withColumns({"tt": F.col("tt") - 2 * t0 * F.col("t") + n * t0 * t0, "ty": F.col("ty") - t0 * y, "t": F.col("t") - n * t0})
+    t = F.col("t")
+    # a single point has no slope: flat trend at the mean
+    total = total.withColumn("slope", F.when(n > 1, F.try_divide(F.col("ty") - t * y / n, F.col("tt") - t * t / n)).otherwise(F.lit(0.0)))
+    total = total.withColumn("slope", F.coalesce("slope", F.lit(0.0))).withColumn("intercept", (y - F.col("slope") * t) / n)
+    a, b = F.col("intercept"), F.col("slope")
+    season = F.transform(F.filter("hours", lambda h: h["n"] > 0), lambda h: F.struct(
+        h["hour"].alias("hour"), h["n"].alias("n"), ((h["y"] - b * (h["t"] - h["n"] * t0)) / h["n"] - a).alias("season")))
+    total = total.withColumn("_season", season)
+    residual = F.col("yy") + n * a * a + b * b * F.col("tt") - 2 * a * y - 2 * b * F.col("ty") + 2 * a * b * t
+    seasonal = F.aggregate("_season", F.lit(0.0), lambda x, h: x + h["n"] * h["season"] * h["season"])
+    sigma = F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), (residual - seasonal) / (n - 1)))).otherwise(F.lit(0.0))
+    entries = F.transform("_season", lambda h: F.struct(h["hour"], h["season"]))
+    return total.select(key, "start_time", "end_time", "n_obs", "intercept", "slope", sigma.alias("sigma"), F.map_from_entries(entries).alias("season"))
+
+
+def predict(frame: DataFrame, params: DataFrame, key: str = "ts_id", z: float = Z_95) -> DataFrame:
+    """yhat and band for every (key, ds) row of ``frame``: one join with the fitted rows."""
+    p = frame.join(params.select(key, "start_time", "intercept", "slope", "sigma", "season"), key)
     t = _hours(F.col("ds"), F.col("start_time"))
-    yhat = F.col("intercept") + F.col("slope") * t + F.coalesce(F.col("season"), F.lit(0.0))
-    return (p.withColumn("yhat", yhat)
+    season = F.coalesce(F.element_at("season", F.hour("ds")), F.lit(0.0))
+    return (p.withColumn("yhat", F.col("intercept") + F.col("slope") * t + season)
              .withColumn("yhat_lower", F.col("yhat") - F.lit(z) * F.col("sigma"))
              .withColumn("yhat_upper", F.col("yhat") + F.lit(z) * F.col("sigma"))
-             .drop("start_time", "intercept", "slope", "sigma", "hour", "season"))
+             .drop("start_time", "intercept", "slope", "sigma", "season"))
 
 
 def future_frame(params: DataFrame, key: str = "ts_id", horizon: int = HORIZON,
@@ -121,15 +132,14 @@ def evaluate(series: DataFrame, key: str = "ts_id", horizon: int = HORIZON) -> D
     """Fit on all but the last ``horizon`` hours of each series and score the rest.
     The hourly series is materialised once (every step below reads it)."""
     train, test = holdout_split(materialize(series, "hourly-series"), key, horizon)
-    params, season = fit(train, key)
-    return metrics(predict(test, params, season, key), key)
+    return metrics(predict(test, materialize(fit(train, key), "forecast-fit"), key), key)
 
 
 def forecast(series: DataFrame, key: str = "ts_id", horizon: int = HORIZON) -> DataFrame:
-    """Fit on the whole history and forecast ``horizon`` hours ahead.  The hourly series is
-    materialised once (every step below reads it)."""
-    params, season = fit(materialize(series, "hourly-series"), key)
-    return predict(future_frame(params, key, horizon), params, season, key)
+    """Fit on the whole history and forecast ``horizon`` hours ahead. The hourly series and the fitted rows (one
+    per series) are written once."""
+    params = materialize(fit(materialize(series, "hourly-series"), key), "forecast-fit")
+    return predict(future_frame(params, key, horizon), params, key)
 
 
 def mean_metrics(metric_rows: DataFrame) -> DataFrame:

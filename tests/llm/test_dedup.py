@@ -43,6 +43,20 @@ def test_simhash_query_equals_brute_force(spark, sf_dir):
     assert got == want
 
 
+def test_crowded_anchors_are_split_without_change(spark, monkeypatch):
+    import tidewater.llm.suffix_dedup as sd
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, line = noise(150), noise(60)
+    rows = [(i, noise(80) + (passage if i % 2 else line) + noise(70 + i)) for i in range(40)] + [(90, passage[:120]), (91, noise(30) + passage[20:] + line)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {k: w for (k, _), w in zip(rows, brute.suffix_dedup(rows, 100))}
+    for crowd in (sd.CROWD, 5, 1):
+        monkeypatch.setattr(sd, "CROWD", crowd)
+        got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffix_dedup(df).collect()}
+        assert got == want
+
+
 def test_periodic_and_overlapping_texts(spark):
     rng = random.Random(3)
     rows = [(1, "a" * 1000), (2, "ab" * 400), (3, None), (4, ""), (5, "x" * 99), (6, "x" * 100), (7, "y" + "x" * 100),

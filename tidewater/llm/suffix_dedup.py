@@ -6,6 +6,9 @@ aside every piece of text that cannot repeat; copies of a piece are grouped by c
 occurrence goes to a shard (a second sketch, of those places, lets a scan cut them out of the texts without a join). A shard joins its pieces with a separator byte that UTF-8 never holds, builds
 the suffix array by induced sorting and its permuted common prefixes (``suffix_array``), and groups neighbours
 that share ``length`` bytes; the first of each group by (id, start) stays, the others are removed.
+
+An anchor inside a passage that very many documents share has as many pieces as there are contexts. Such an anchor doesn't go to
+a shard: the windows of its pieces are grouped by a 128-bit hash, with partial sums before the shuffle.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from tidewater.llm.suffix_array import permuted_common_prefixes, suffix_array
 TAG_BITS = 24  # as in substring_dedup: of a text's hash, before the byte number
 AT_BITS = 63 - TAG_BITS
 SHARD_BYTES = 5 << 19  # a suffix array is built over about this much text at a time
+CROWD = 100_000  # pieces of one anchor that a shard takes (about 14 MB); windows of fuller anchors are grouped one by one
 SEPARATOR = b"\xff"
 _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -118,6 +122,21 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 bodies = [text[i : i + n] for i, n in zip(start.tolist(), size.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(found.anchor[keep].view(np.int64)), pa.array(doc), pa.array(at), pa.array(bodies, pa.binary())], ["anchor", "doc", "at", "piece"])
 
+    def list_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Hashes of the windows of the pieces in ``crowded_places``."""
+        for b in slices(batches):
+            if (kept := kept_pieces(b, lambda doc, at: repeated(crowded_places.value, _place(doc, at)))) is not None:
+                symbols, _, found, _, start, size, doc, at = kept
+                n = size - length + 1
+                within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                window = np.repeat(start, n) + within
+                hashes = [r.ranges(window, window + length).view(np.int64) for r in (found.rolling, Rolling(symbols, 1))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*hashes, np.repeat(doc, n), np.repeat(at, n) + within)], ["h1", "h2", "doc", "at"])
+
+    def mark_places(rows: DataFrame, count: int):
+        key = lambda b: _place(b.column("doc").to_numpy(), b.column("at").to_numpy())
+        return spark.sparkContext.broadcast(build_sketch(rows.select("doc", "at"), key, iter, sketch_width(2 * count), least=1))
+
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int, int, int, bytes]] = []
         size = 0
@@ -141,15 +160,21 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kinds = pieces.groupBy("p1", "p2").agg(F.min(F.struct("doc", "at")).alias("head"), F.min("anchor").alias("anchor"), F.min("size").alias("size"), F.max("again").alias("again"), F.count("*").alias("n"))
     kinds = materialize(kinds, "suffix-kinds")
     copies = pieces.join(kinds.where("n > 1").select("p1", "p2", "head"), ["p1", "p2"]).where("doc != head.doc or at != head.at").select("doc", "at", F.col("size").cast("long"))
-    shared = kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor")
-    todo = materialize(kinds.join(shared, "anchor").select("head.doc", "head.at", "size"), "suffix-todo")
-    number, amount = todo.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    shared = kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor", "n")
+    todo = materialize(kinds.drop("n").join(shared, "anchor").select("head.doc", "head.at", "size", (F.col("n") > CROWD).alias("crowded")), "suffix-todo")
+    number, amount = todo.where("not crowded").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), amount // (2 * SHARD_BYTES))
-    marks = lambda b: _place(b.column("doc").to_numpy(), b.column("at").to_numpy())
-    places = spark.sparkContext.broadcast(build_sketch(todo.select("doc", "at"), marks, iter, sketch_width(2 * number), least=1))
+    places = mark_places(todo.where("not crowded"), number)
     shard_rows = texts.mapInArrow(cut_pieces, "anchor long, doc long, at long, piece binary")
     shard_rows = shard_rows.repartition(shards, "anchor").sortWithinPartitions("anchor", "doc", "at")
     later = shard_rows.mapInArrow(sort_shards, "doc long, at long, size long")
+    crowded = todo.where("crowded").count()
+    if crowded:
+        crowded_places = mark_places(todo.where("crowded"), crowded)
+        each = materialize(texts.mapInArrow(list_windows, "h1 long, h2 long, doc long, at long"), "suffix-windows")
+        owner = each.groupBy("h1", "h2").agg(F.min(F.struct("doc", "at")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+        repeats = each.join(owner, ["h1", "h2"]).where("doc != head.doc or at != head.at")
+        later = later.unionByName(repeats.select("doc", "at", F.lit(length).cast("long").alias("size")))
     spans = copies.unionByName(later).groupBy("doc").agg(F.collect_list(F.struct("at", "size")).alias("spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -667,4 +667,17 @@ def idempotent_batches(spark, sf_dir):
     s = _silver(spark, sf_dir)
     for batch_id in (0, 1, 0, 0):
         sinks.append_batch(s.filter((F.col("SensorMeasurement") == S.AIR_TEMP) == F.lit(bool(batch_id))), path, batch_id)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).withColumn("_batch_id", F.col("_batch_id").cast("long"))
+
+
+@register("forecast_future_frame", Q.with_sensors("SELECT ts_id, ds FROM future", extra_ctes=Q.forecast_future_sql().rstrip()))
+def forecast_future_frame(spark, sf_dir):
+    """The next 24 hours of every series, from the latest end of all."""
+    series = materialize(fc.hourly_series(_silver(spark, sf_dir)), "hourly-series")
+    return fc.future_frame(fc.series_span(series)).withColumn("ds", F.col("ds").cast("timestamp_ntz"))
+
+
+@register("ordered_result", Q.with_sensors(f"SELECT {Q.SILVER_COLS} FROM sensors ORDER BY MeasurementDateTime DESC, Id"))
+def ordered_result(spark, sf_dir):
+    """A full result in order (a range shuffle, no single task)."""
+    return _silver(spark, sf_dir).orderBy(F.col("MeasurementDateTime").desc(), "Id")

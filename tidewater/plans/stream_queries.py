@@ -13,7 +13,7 @@ from ..operators import aggregates as agg
 from ..operators import clean
 from ..operators import merge as mg
 from ..session import scratch_dir
-from ..sources import envelope as env
+from ..sources import files, envelope as env
 from ..sources import sinks
 from ..sources.copy_into import copy_into, read_loaded
 from ..sources.files import TS_FORMAT, stream_csv

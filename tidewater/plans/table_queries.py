@@ -252,6 +252,40 @@ def _landing(spark, sf_dir):
         "SensorMeasurement", "SensorLocation", F.lit("").alias("Id"))
 
 
+_STREAM_RULES = {"has_value": "SensorValue IS NOT NULL", "above_five": "SensorValue > 5", "warm": "SensorMeasurement = 'average_temperature'"}
+
+
+@R.register("expect_metrics_stream", Q.with_sensors("SELECT COUNT(*) AS rows, " + ", ".join(
+    f"CAST(SUM(CASE WHEN NOT COALESCE({c}, FALSE) THEN 1 ELSE 0 END) AS BIGINT) AS failed_{n}" for n, c in _STREAM_RULES.items()) + " FROM sensors"))
+def expect_metrics_stream(spark, sf_dir):
+    """Q3 on a stream: all rows kept, failures counted over the micro-batches of three file drops."""
+    root = scratch_dir(spark, "expect-stream")
+    silver = R._silver(spark, sf_dir)
+    for _ in stage(silver, f"{root}/in", TS):
+        pass
+    p = Pipeline(spark, f"{root}/tables")
+    p.table(name="kept", expect_all=_STREAM_RULES)(
+        lambda: spark.readStream.schema(silver.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in"))
+    p.run()
+    seen = p.metrics["kept"].get
+    kept = spark.read.parquet(p.path("kept"))
+    return kept.agg(F.count("*").alias("rows"), *[F.lit(seen[f"failed_{n}"]).cast("long").alias(f"failed_{n}") for n in _STREAM_RULES])
+
+
+@R.register("stream_equals_batch", Q.with_sensors(
+    f"SELECT {Q.SILVER_COLS}, TRUE AS from_batch, TRUE AS from_stream FROM sensors WHERE SensorMeasurement = '{S.AIR_TEMP}'"))
+def stream_equals_batch(spark, sf_dir):
+    """One transform over the same files, as a batch and as a stream; rows joined by id."""
+    root = scratch_dir(spark, "both-ways")
+    silver = R._silver(spark, sf_dir)
+    for _ in stage(silver, f"{root}/in", TS):
+        pass
+    run_stream(clean.route(files.stream_table(spark, path=f"{root}/in", schema=silver.schema), S.AIR_TEMP), f"{root}/_checkpoint", path=f"{root}/out")
+    batch = clean.route(spark.read.parquet(f"{root}/in"), S.AIR_TEMP).withColumn("from_batch", F.lit(True))
+    stream = spark.read.parquet(f"{root}/out").withColumn("from_stream", F.lit(True))
+    return batch.join(stream, silver.columns, "full_outer").select(*silver.columns, "from_batch", "from_stream")
+
+
 @R.register("pipeline_jobs", Q.gold_daily_sql(gold.VERIFIED_COLUMNS))
 def pipeline_jobs(spark, sf_dir):
     """R2B/B2S/S2G end to end: raw CSV drops -> bronze fan-out with deterministic ids ->

@@ -23,7 +23,7 @@ from tidewater.llm.common import keyed_texts, materialize, order_key, slices
 from tidewater.llm.pieces import mix
 
 LOW, HIGH = 2e-4, 0.05  # the band: document frequency between these shares (idf between 3.0 and 8.5)
-HASHES, LEVELS = 24, 4
+HASHES, LEVELS = 16, 3
 MAX_HELD = 400_000
 _STRIP = b".,;:!?\"'()[]"
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))

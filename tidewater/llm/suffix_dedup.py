@@ -27,7 +27,8 @@ from tidewater.llm.suffix_array import permuted_common_prefixes, suffix_array
 
 TAG_BITS = 24  # as in substring_dedup: of a text's hash, before the byte number
 AT_BITS = 63 - TAG_BITS
-SHARD_BYTES = 5 << 19  # a suffix array is built over about this much text at a time
+SHARD_BYTES = 3 << 19  # a suffix array is built over about this much text at a time (some 100 bytes of memory for each)
+SLICE = 1 << 19  # text hashed at a time: a task holds about 15 numbers of 8 bytes for each byte
 CROWD = 100_000  # pieces of one anchor that a shard takes (about 14 MB); windows of fuller anchors are grouped one by one
 SEPARATOR = b"\xff"
 _SYMBOL = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -89,7 +90,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         found = find_pieces(symbols, ends, length, gram)
         return np.empty(0, dtype=np.uint64) if found is None else found.site_anchor
 
-    bits = spark.sparkContext.broadcast(build_sketch(texts, anchors_of, slices, sketch_width(total * 2 / (length - gram + 2))))
+    bits = spark.sparkContext.broadcast(build_sketch(texts, anchors_of, lambda batches: slices(batches, limit=SLICE), sketch_width(total * 2 / (length - gram + 2))))
 
     def kept_pieces(b: pa.RecordBatch, chosen) -> tuple | None:
         """Pieces of a slice that ``chosen`` lets through: (found, kept, start, size, document, place in it), and the slice's texts."""
@@ -106,7 +107,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return symbols, raw, found, keep[some], start[some], (found.count[keep] + length - 1)[some], doc[some], at[some]
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             if (kept := kept_pieces(b, lambda doc, at: np.ones(len(doc), dtype=bool))) is not None:
                 symbols, _, found, keep, start, size, doc, at = kept
                 columns = [found.rolling.ranges(start, start + size).view(np.int64), Rolling(symbols, 1).ranges(start, start + size).view(np.int64),
@@ -115,7 +116,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the pieces in ``places``. A place let through by chance does no harm: its windows are compared like all others."""
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             if (kept := kept_pieces(b, lambda doc, at: repeated(places.value, _place(doc, at)))) is not None:
                 _, raw, found, keep, start, size, doc, at = kept
                 text = b"".join(raw)
@@ -124,7 +125,7 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def list_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Hashes of the windows of the pieces in ``crowded_places``."""
-        for b in slices(batches):
+        for b in slices(batches, limit=SLICE):
             if (kept := kept_pieces(b, lambda doc, at: repeated(crowded_places.value, _place(doc, at)))) is not None:
                 symbols, _, found, _, start, size, doc, at = kept
                 n = size - length + 1

@@ -170,6 +170,39 @@ def test_multi_index_recall_and_exactness(vectors, monkeypatch):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def _sparse_copies(n, dim, planted, seed=5):
+    """Random vectors of which few have a near copy, at cosines of 0.91 to 0.99, and the pairs."""
+    rng = np.random.default_rng(seed)
+    u = rng.normal(size=(n, dim))
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    for k in range(planted):
+        r = rng.normal(size=dim)
+        r -= (r @ u[k]) * u[k]
+        c = rng.uniform(0.91, 0.99)
+        u[n - 1 - k] = c * u[k] + (1 - c * c) ** 0.5 * r / np.linalg.norm(r)
+    return u
+
+
+def test_multi_index_finds_links_that_no_probe_has(spark, monkeypatch):
+    import tidewater.llm.multi_index as mi
+    monkeypatch.setattr(mi, "CROWD", 500)  # several shards
+    u = _sparse_copies(4000, 32, 40)
+    linked = np.triu(u @ u.T >= 0.9, 1)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(u)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_groups(df).collect()}
+    n = linked.sum(axis=0) + linked.sum(axis=1)
+    assert linked.sum() >= 40 and all(got[i][0] == n[i] for i in range(len(u)))
+    assert [got[i][1] for i in range(len(u))] == list(brute.grouped(len(u), [(int(a), int(b)) for a, b in zip(*np.nonzero(linked))]))
+
+
+def test_calibration_takes_probes_alike():
+    import tidewater.llm.multi_index as mi
+    rows = [(0, 0, 1_000_000), *((p, 9, 1) for p in range(1, 100))]  # one hot probe whose links are near doesn't decide for the others
+    assert mi.calibrate(rows, 0.9) == 10
+    assert mi.calibrate(rows[:5], 0.9) is None and mi.calibrate([], 0.9) is None
+    assert mi.calibrate([(p, mi.MAX_VISITS, 1) for p in range(100)], 0.9) is None
+
+
 def test_multi_index_odd_vectors(spark):
     a, b = [1.0] * 8 + [2.0] * 8, [3.0] * 16
     rows = [(1, a), (2, [2 * v for v in a]), (3, None), (4, [0.0] * 16), (5, [float("nan")] * 16), (6, [float("inf")] + [1.0] * 15), (7, [None] + [1.0] * 15),

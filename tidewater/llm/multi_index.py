@@ -3,7 +3,8 @@
 Unit vectors are cut into halves, and each half has a codebook of its own (k-means on a bounded sample); the cells of
 the product grid are pairs of centroids. Every distinct vector stands in the cell of its two nearest centroids. A query visits
 cells in multi-sequence order (by the sum of its distances to the two centroids) and stops after as many cells as brought the target recall
-for a bounded set of queries that were compared with all vectors. A pair is looked up from its smaller member, each candidate is verified
+for a bounded set of queries that were compared with all others; where that isn't known or isn't enough, a query goes wherever its distances
+to the centroids don't prove that no link is left. A pair is looked up from its smaller member, each candidate is verified
 by its cosine in double precision, and a cell's task hands out counts and a spanning forest, never pairs. The number of cells follows
 the number of vectors up to a bound, and crowded cells are split.
 """
@@ -23,12 +24,14 @@ from tidewater.llm.components import components
 from tidewater.llm.simhash_vp import _forest
 
 SAMPLE = 8192  # vectors the codebooks are fitted on
-PROBES, PROBE_BLOCK = 256, 4096  # queries that calibrate the traversal; rows compared with them at a time
+PROBES, PROBE_BLOCK = (256, 1024, 8192), 4096  # queries that calibrate the traversal, more as long as few have links; rows compared with them at a time
+LINKED = 64  # queries with links that a calibration needs
 PER_CELL = 8  # vectors per cell on average that the grid is sized for
 MAX_CODES = 256  # centroids a half, so 65,536 cells
 MAX_VISITS = 128
 RECALL = 0.999
 BLOCK = 1024  # vectors of a cell compared at a time
+DEALT = 1 << 14  # rows of a batch that goes to the cells
 CROWD = 4096  # vectors of a cell that a task holds; the vectors of fuller cells are dealt to several, and visitors go to each
 
 
@@ -86,6 +89,34 @@ def visits(x: np.ndarray, books: tuple[np.ndarray, np.ndarray], count: int) -> n
     return out
 
 
+def _rank(sa: np.ndarray, sb: np.ndarray, s: np.ndarray) -> np.ndarray:
+    """How many cells come before one at distance ``s`` (ties included), from the sorted distances to both lists of centroids."""
+    return np.searchsorted(sb, s[:, None] - sa[None, :] + 1e-12, side="right").sum(axis=1) - 1
+
+
+def _apart(x: np.ndarray, book: np.ndarray) -> np.ndarray:
+    """Least squared distance of each row to any point that is nearest to each centroid: how far away the plane midway between that
+    centroid and the row's own is."""
+    d = _distances(x, book)
+    own = d.argmin(axis=1)
+    between = np.sqrt(_distances(book, book))[own]
+    far = between > 1e-6
+    return np.where(far, np.maximum(d - d.min(axis=1)[:, None], 0.0) / (2 * np.where(far, between, 1.0)), 0.0) ** 2
+
+
+def calibrate(found: list[tuple[int, int, int]], recall: float) -> int | None:
+    """Visits that bring the mean recall of the probes with links (rows: probe, rank of a cell, links in it; at least LINKED probes). None if no
+    count up to MAX_VISITS is known to."""
+    if not found or len({f[0] for f in found}) < LINKED:
+        return None
+    probe, rank, n = np.array(found, dtype=np.int64).T
+    _, probe = np.unique(probe, return_inverse=True)
+    share = n / np.bincount(probe, weights=n)[probe]
+    reach = np.cumsum(np.bincount(rank, weights=share, minlength=MAX_VISITS + 1)) / (probe.max() + 1)
+    enough = np.flatnonzero(reach[:MAX_VISITS] >= recall - 1e-12)
+    return int(enough[0]) + 1 if len(enough) else None
+
+
 def embedding_groups(vectors: DataFrame, threshold: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = RECALL) -> DataFrame:
     """One row per input row: the id, ``n_links`` (other rows with a cosine of at least ``threshold``, as found), ``component_id`` (smallest
     id reachable over links) and ``kept`` (the row is its component's first).
@@ -94,7 +125,7 @@ def embedding_groups(vectors: DataFrame, threshold: float = 0.9, id_col: str = "
     other lengths than the most frequent one, except with equal ones. Equal vectors are one class and link with each other; a class is
     compared once. Rows with a null id come after all others, and a component of such rows alone has the id null. An empty table
     gives an empty result; other columns are ignored. Searched are all rows: each visits the cells that its calibrated
-    traversal reaches."""
+    traversal reaches, or all that can hold a link."""
     spark = vectors.sparkSession
     values = F.transform(F.col(vector_col), lambda v: v.cast("double"))
     rows = vectors.select(order_key(F.col(id_col), F.col(vector_col)).alias("vec"), values.alias("v"))
@@ -135,43 +166,64 @@ def _search(classes: DataFrame, dim: int, count: int, threshold: float, recall:
     """(links (a, b) that span the components, rows (head, n) of linked vectors per class in parts) among distinct unit vectors."""
     spark = classes.sparkSession
     by_hash = classes.select("head", "unit", F.xxhash64("unit").alias("h"))
-    sample = by_hash.orderBy("h").limit(SAMPLE).select("unit").toPandas()["unit"]
-    x = np.array([np.frombuffer(u, dtype="<f8") for u in sample])
+    sample = by_hash.orderBy("h").limit(SAMPLE).select("head", "unit").toPandas()
+    x, x_heads = np.array([np.frombuffer(u, dtype="<f8") for u in sample["unit"]]), sample["head"].to_numpy(dtype=np.int64)
     codes = int(min(MAX_CODES, max(1, round((count / PER_CELL) ** 0.5))))
     half = dim // 2
     books = (_kmeans(x[:, :half], codes), _kmeans(x[:, half:], codes))
-    probes = x[:: max(1, len(x) // PROBES)][:PROBES]
+    width = len(books[1])
+    shuffled = np.random.default_rng(0).permutation(len(x))
+    held, probed, found = None, 0, []
 
     def ranks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many cells each probe has to visit until it meets each of its links: counted over all vectors."""
-        order = np.argsort(visits(probes, books, MAX_VISITS), axis=1)
-        sorted_cells = np.take_along_axis(visits(probes, books, MAX_VISITS), order, 1)
-        seen = np.zeros(MAX_VISITS + 1, dtype=np.int64)
+        """How many cells each probe has to visit until it meets each of its links with other vectors: counted over all."""
+        probes, probe_heads = held.value
+        da, db = _distances(probes[:, :half], books[0]), _distances(probes[:, half:], books[1])
+        sa, sb = np.sort(da, axis=1), np.sort(db, axis=1)
         for b in batches:
+            heads = b.column("head").to_numpy()
             for start in range(0, b.num_rows, PROBE_BLOCK):
                 y = _unit(b.column("unit").slice(start, PROBE_BLOCK), dim)
-                p, q = np.nonzero(probes @ y.T >= threshold)
+                p, q = np.nonzero((probes @ y.T >= threshold) & (probe_heads[:, None] != heads[None, start : start + PROBE_BLOCK]))
                 cell = cells_of(y, books)[q]
                 for i in np.unique(p):
-                    mine = cell[p == i]
-                    at = np.minimum(np.searchsorted(sorted_cells[i], mine), sorted_cells.shape[1] - 1)
-                    np.add.at(seen, np.where(sorted_cells[i][at] == mine, order[i][at], MAX_VISITS), 1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(MAX_VISITS + 1)), pa.array(seen)], ["visit", "n"])
-
-    found = np.zeros(MAX_VISITS + 1)
-    for r in classes.select("unit").mapInArrow(ranks, "visit long, n long").groupBy("visit").agg(F.sum("n").alias("n")).collect():
-        found[r.visit] = r.n
-    reach = np.cumsum(found[:MAX_VISITS]) / max(found.sum(), 1)
-    steps = int(min(MAX_VISITS, np.searchsorted(reach, recall) + 1))
+                    mine, n = np.unique(cell[p == i], return_counts=True)
+                    at = np.minimum(_rank(sa[i], sb[i], da[i][mine // width] + db[i][mine % width]), MAX_VISITS)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(mine), i)), pa.array(at), pa.array(n)], ["probe", "visit", "n"])
+
+    for upto in PROBES:
+        some = shuffled[probed:upto]
+        if not len(some) or len({f[0] for f in found}) >= LINKED:
+            break
+        held = spark.sparkContext.broadcast((x[some], x_heads[some]))
+        seen = classes.select("head", "unit").mapInArrow(ranks, "probe long, visit long, n long").groupBy("probe", "visit").agg(F.sum("n").alias("n"))
+        found += [(probed + r.probe, r.visit, r.n) for r in seen.collect()]  # MAX_VISITS + 1 rows a probe at most
+        probed = min(upto, len(x))
+    steps = calibrate(found, recall)
 
     def stand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(cells_of(_unit(b.column("unit"), dim), books))], ["cell"])
 
-    full = classes.select("unit").mapInArrow(stand, "cell long").groupBy("cell").count().where(F.col("count") > CROWD)
-    parts = np.ones(codes * codes, dtype=np.int64)  # by cell; one number for each of the MAX_CODES squared cells at most
-    for r in full.collect():
-        parts[r["cell"]] = -(-r["count"] // CROWD)
+    sizes = np.zeros(len(books[0]) * width, dtype=np.int64)  # by cell; one number for each of the MAX_CODES squared cells at most
+    for r in classes.select("unit").mapInArrow(stand, "cell long").groupBy("cell").count().collect():
+        sizes[r["cell"]] = r["count"]
+    shard = np.arange(len(sizes))
+    if steps is None:  # a query that goes to many cells goes once to all that stand together
+        shard = (np.cumsum(sizes) - sizes) // CROWD
+        sizes = np.bincount(shard, weights=sizes).astype(np.int64)
+    parts = np.maximum(1, -(-sizes // CROWD))
+    used = np.flatnonzero(sizes > 0)
+    room = 2 - 2 * threshold + 1e-9  # squared distance of linked vectors at most
+
+    def to_visit(y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, shard) of all visits."""
+        if steps is not None:
+            near = visits(y, books, steps)
+            return np.repeat(np.arange(len(y)), near.shape[1]), near.reshape(-1)
+        a, b = _apart(y[:, :half], books[0]), _apart(y[:, half:], books[1])
+        near = [np.intersect1d(shard[np.flatnonzero((a[r][:, None] + b[r][None, :] <= room).reshape(-1))], used) for r in range(len(y))]
+        return np.repeat(np.arange(len(y)), [len(c) for c in near]), np.concatenate(near) if near else np.empty(0, dtype=np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Residents go to one part of their cell by their id, visitors to every part; ``visit`` tells them apart."""
@@ -179,18 +231,17 @@ def _search(classes: DataFrame, dim: int, count: int, threshold: float, recall:
             for start in range(0, b.num_rows, 512):
                 s = b.slice(start, 512)
                 y = _unit(s.column("unit"), dim)
-                seen, n = visits(y, books, steps), len(y)
-                row = np.concatenate((np.repeat(np.arange(n), seen.shape[1]), np.arange(n)))
-                cell = np.concatenate((seen.reshape(-1), cells_of(y, books)))
-                mark = np.arange(len(row)) < n * seen.shape[1]
-                heads = s.column("head").to_numpy()[row]
-                copies = s.column("copies").to_numpy()[row]
+                (row, cell), n = to_visit(y), len(y)
+                mark = np.arange(len(row) + n) < len(row)
+                row, cell = np.concatenate((row, np.arange(n))), np.concatenate((cell, shard[cells_of(y, books)]))
                 times = np.where(mark, parts[cell], 1)
                 part = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-                row, cell, mark, heads, copies = (np.repeat(c, times) for c in (row, cell, mark, heads, copies))
+                row, cell, mark = (np.repeat(c, times) for c in (row, cell, mark))
+                heads, copies = s.column("head").to_numpy()[row], s.column("copies").to_numpy()[row]
                 part = np.where(mark, part, heads % parts[cell])
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(part), pa.array(mark), pa.array(heads), pa.array(copies), s.column("unit").take(pa.array(row))],
-                                                 ["cell", "part", "visit", "head", "copies", "unit"])
+                for i in range(0, len(row), DEALT):
+                    columns = [pa.array(c[i : i + DEALT]) for c in (cell, part, mark, heads, copies)]
+                    yield pa.RecordBatch.from_arrays([*columns, s.column("unit").take(pa.array(row[i : i + DEALT]))], ["cell", "part", "visit", "head", "copies", "unit"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, residents = None, []

@@ -241,6 +241,18 @@ def test_main_text_of_a_page():
     assert main_text(PAGE) == "The title First bold & plain text, long enough to matter. Second one with a link and a break. item one item two cell cell two"
 
 
+def _paragraphs(first, count):
+    return "".join(f"<p>Paragraph {i} tells one more part of a long story in plain words, without a link.</p>" for i in range(first, first + count))
+
+
+@pytest.mark.parametrize("shell", ["<body>{}</body>", "<body><div class=page><div id=content>{}</div></div></body>", "<body><article>{}</article></body>"])
+def test_article_in_sibling_containers(shell):
+    links = "<div>" + "".join(f"<p><a href=/{i}>Elsewhere {i}</a></p>" for i in range(5)) + "</div>"
+    inside = f"<div class=lead>{_paragraphs(0, 1)}</div><div>{_paragraphs(1, 12)}</div>{'' if 'article' in shell else links}<section><div>{_paragraphs(13, 10)}</div></section>"
+    want = " ".join(f"Paragraph {i} tells one more part of a long story in plain words, without a link." for i in range(23))
+    assert main_text(shell.format(inside)) == want
+
+
 @pytest.mark.parametrize("page, text", [("", ""), ("no tags &lt;at all&gt;", "no tags <at all>"), ("<p>one<p>two", "one two"), ("<!-- <p>x", ""), ("<script>a</scrip", ""),
                                         ("<nav>only a menu</nav>", ""), ("<p title='a>b'>quoted</p>", "quoted"), ("<p>1 < 2", "1 < 2"), ("<div>" * 3000 + "deep", "deep"),
                                         ("</p></div><p>x</b></p>", "x"), ("<a href='unclosed>x</a><p>y</p>", "y")])

@@ -3,7 +3,7 @@
 A page becomes a tree of its block elements (inline markup belongs to the text of its block); what can't hold main text by
 its tag or its declared role is left out. Every node gets the link-adjusted characters per tag of its subtree; the density
 sum of a node adds up its children's densities. The subtree with the largest sum is the main text, and the smallest density on the
-path from it to the body is the threshold that other parts beside that path need to be taken as well.
+path from it to the body is the threshold: from the body down, every other subtree that reaches it is taken as well (and a first heading).
 """
 
 from __future__ import annotations
@@ -62,6 +62,8 @@ def _around(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), (a or b or c).lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "role" and value in ROLES):
             return True
+        if name == "id" and value in ("header", "site-header") and not inside:
+            return True  # what the header element stands for
         if name in ("class", "id") and not AROUND.isdisjoint(re.split(r"[^a-z]+", value)):
             return True
     return False
@@ -240,12 +242,16 @@ def main_text(page: str) -> str:
         if node.tag == "article" or (node.tag == "main" and not any(x.tag == "article" for x in path)):
             best = node
             break
+    above = {id(x) for x in path[next(i for i, x in enumerate(path) if x is best) + 1 :]}
+    passed = set(above)  # nodes that aren't taken themselves, but perhaps parts of them
     out: list[str] = []
-    above = path[next(i for i, x in enumerate(path) if x is best) + 1 :]
-    beside = [n for n, p in blocks if any(p is x for x in above) and (n.tag == "h1" or (n.tag == "h2" and n.density >= threshold))]
-    for n, _ in blocks:
-        if n is best or n in beside:
+    for n, p in blocks:
+        if p is not None and id(p) not in passed:
+            continue  # part of a subtree that was taken
+        if n is best or (id(n) not in above and n.chars and (n.density >= threshold or (n.tag == "h1" and id(p) in above))):
             _collect(n, out, None)
+        else:
+            passed.add(id(n))
     return " ".join(out)
 
 

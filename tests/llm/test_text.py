@@ -135,6 +135,22 @@ def test_imatch_uses_the_lexicon_only():
     assert likeness(a, a) == 1.0
 
 
+def test_imatch_keeps_its_resolution():
+    terms = [f"t{i}" for i in range(300)]
+    own, changed = (fingerprint(" ".join(t), np.empty(0, dtype=np.uint64), _TermKeys()) for t in (terms, terms[:285]))
+    assert [len(h) for h in own[4:].split("/")] == [24 * 4] * 4 and 0 < likeness(own, changed) <= 1
+
+
+def test_imatch_ranges_meet_their_successors(spark):
+    rows = [(i // 3, f"text number {i} of many, with words {i % 7} and {i % 11}") for i in range(900)] + [(5, "twice"), (5, "twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "text", "xxhash64(text) AS tie").repartition(5)
+    order = sorted((r.doc_id, r.tie, r.text) for r in docs.collect())
+    edits = [(d, hashlib.sha256((t[:len(t) - len(t) // 4] + order[(i + 1) % len(order)][2][:len(t) // 4]).encode()).hexdigest()) for i, (d, _, t) in enumerate(order)]
+    for few in (docs, docs.limit(1)):
+        got = sorted((r.doc_id, r.edited_sha256) for r in imatch_edits(few, ["doc_id"]).collect())
+        assert got == sorted(edits) if few is docs else len(got) == 1
+
+
 def test_imatch_odd_rows(odd_docs, no_docs):
     assert imatch_edits(no_docs, ["doc_id"]).count() == 0
     out = imatch_edits(odd_docs, ["doc_id", "row"]).collect()

@@ -10,21 +10,23 @@ short and long texts lose about the same number of subsets by an edit of the sam
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import keyed_texts, materialize, order_key, slices
+from tidewater.llm.common import keyed_texts, order_key, slices
 from tidewater.llm.pieces import mix
 
 LOW, HIGH = 2e-4, 0.05  # the band: document frequency between these shares (idf between 3.0 and 8.5)
-HASHES, LEVELS = 16, 3
+HASHES, LEVELS = 24, 4
 MAX_HELD = 400_000
+RANGES, DRAWN = 8, 16  # ranges of ids for each shuffle partition; keys drawn for each range
 _STRIP = b".,;:!?\"'()[]"
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _SALT = mix(np.arange(1, HASHES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -138,14 +140,23 @@ def _compare(text: str, own: str, following: str, next_print: str, lexicon: np.n
     return len(text), hashlib.sha256(edited.encode()).hexdigest(), own, changed, likeness(own, changed), likeness(own, next_print)
 
 
-def _batch(row: list, kind: pa.DataType, results: list[tuple], extra: list[tuple] = ()) -> pa.RecordBatch:
+def _batch(row: list, kind: pa.DataType, results: list[tuple]) -> pa.RecordBatch:
     types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     columns = [pa.array([r[i] for r in results], t) for i, t in enumerate(types)]
-    names = [f.split()[0] for f in _RESULT.split(", ")]
-    if extra:
-        columns += [pa.array([e[i] for e in extra], t) for i, t in enumerate((pa.int32(), pa.bool_(), pa.string()))]
-        names += ["part", "leads", "txt"]
-    return pa.RecordBatch.from_arrays([pa.array(row, kind), *columns], ["row", *names])
+    return pa.RecordBatch.from_arrays([pa.array(row, kind), *columns], ["row", *(f.split()[0] for f in _RESULT.split(", "))])
+
+
+def _range_starts(keys: DataFrame, ranges: int) -> list[tuple[int, int]]:
+    """First keys (doc, tie) of about ``ranges`` ranges of equal size: the smallest key of all and keys drawn by their hash, all of them met in
+    the table."""
+    step = max(1, keys.count() // (ranges * DRAWN))
+    drawn = keys.where(F.pmod(F.xxhash64("doc", "tie"), F.lit(step)) == 0).distinct()
+    least = keys.agg(F.min("doc").alias("doc"))  # the smallest tie of the smallest id is looked up afterwards
+    first = keys.join(F.broadcast(least), "doc").agg(F.min("doc"), F.min("tie")).first()
+    if first[0] is None:
+        return []
+    order = sorted((r.doc, r.tie) for r in drawn.collect())  # about ranges x DRAWN keys
+    return sorted({tuple(first), *order[:: max(1, -(-len(order) // ranges))]})
 
 
 def imatch_edits(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,44 +167,36 @@ def imatch_edits(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_
     another; null ids come last. A null text is empty; the edit of a text under four characters changes nothing. The lexicon comes from all
     texts. An empty table gives an empty result; other columns are ignored.
 
-    Texts are dealt once, into ranges of ids. A task meets every row's successor but that of its last row: each range hands out its first
-    and last text, and these few rows are joined by range afterwards."""
+    Texts are dealt once, into ranges of ids. A range ends with a copy of the next range's first row (the last range's: of the very first), so every
+    row meets its successor and nothing is written in between."""
     spark = docs.sparkSession
     lexicon = spark.sparkContext.broadcast(lexicon_of(keyed_texts(docs, id_col, text_col)))
     source = docs.select(F.struct(*keep).alias("row"), order_key(F.col(id_col), F.col(text_col)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("txt"))
     source = source.withColumn("tie", F.xxhash64("txt"))
-    ranges = source.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc", "tie").sortWithinPartitions("doc", "tie")
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    starts = _range_starts(source.select("doc", "tie"), shards * RANGES)
+
+    @F.pandas_udf("int")
+    def range_of(doc: pd.Series, tie: pd.Series) -> pd.Series:
+        return pd.Series([bisect_right(starts, k) - 1 for k in zip(doc.tolist(), tie.tolist(), strict=True)], dtype="int32")
+
+    firsts = spark.createDataFrame([(d, t, (i or len(starts)) - 1) for i, (d, t) in enumerate(starts)], "doc long, tie long, part int")
+    ends = source.join(F.broadcast(firsts), ["doc", "tie"]).select("row", "txt", "doc", "tie", "part", F.lit(True).alias("end")).dropDuplicates(["part"])
+    dealt = source.select("row", "txt", "doc", "tie", range_of("doc", "tie").alias("part"), F.lit(False).alias("end")).unionByName(ends)
+    dealt = dealt.repartition(shards, "part").sortWithinPartitions("part", "end", "doc", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, memo, before = TaskContext.get().partitionId(), _TermKeys(), None
-        nothing, kind = (None,) * 6, None
+        memo, before = _TermKeys(), None
         for b in slices(batches):
-            rows, results, extra, kind = [], [], [], b.schema.field("row").type
-            for row, text in zip(b.column("row").to_pylist(), b.column("txt").to_pylist(), strict=True):
+            rows, results, kind = [], [], b.schema.field("row").type
+            for row, text, end in zip(b.column("row").to_pylist(), b.column("txt").to_pylist(), b.column("end").to_pylist(), strict=True):
                 own = fingerprint(text, lexicon.value, memo)
-                rows.append(row if before is None else before[0])
-                results.append(nothing if before is None else _compare(*before[1:], text, own, lexicon.value, memo))
-                extra.append((part, True, text) if before is None else (None, None, None))
-                before = (row, text, own)
-            yield _batch(rows, kind, results, extra)
-        if before is not None:
-            yield _batch([before[0]], kind, [nothing], [(part, False, before[1])])
+                if before is not None:
+                    rows.append(before[0])
+                    results.append(_compare(*before[1:], text, own, lexicon.value, memo))
+                before = None if end else (row, text, own)
+            yield _batch(rows, kind, results)
 
     kind = source.schema["row"].dataType.simpleString()
-    found = materialize(ranges.select("row", "txt").mapInArrow(run, f"row {kind}, {_RESULT}, part int, leads boolean, txt string"), "imatch")
-    firsts = found.where("leads").select(F.col("part").alias("next"), F.col("txt").alias("following"))
-    by_part = Window.orderBy("next")  # one row a range
-    order = firsts.select("next", F.lag("next").over(by_part).alias("prior"), F.max("next").over(Window.partitionBy()).alias("highest"))
-    order = order.select("next", F.coalesce("prior", "highest").alias("part"))
-    lasts = found.where("not leads").select("part", "row", "txt").join(order, "part").join(firsts, "next").select("row", "txt", "following")
-
-    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = _TermKeys()
-        for b in slices(batches):
-            prints = [[fingerprint(t, lexicon.value, memo) for t in b.column(c).to_pylist()] for c in ("txt", "following")]
-            pairs = zip(b.column("txt").to_pylist(), prints[0], b.column("following").to_pylist(), prints[1], strict=True)
-            yield _batch(b.column("row").to_pylist(), b.schema.field("row").type, [_compare(*p, lexicon.value, memo) for p in pairs])
-
-    results = [f.split()[0] for f in _RESULT.split(", ")]
-    edges = lasts.mapInArrow(close, f"row {kind}, {_RESULT}")
-    return found.where("part is null").select("row", *results).unionByName(edges).select("row.*", *results)
+    found = dealt.select("row", "txt", "end").mapInArrow(run, f"row {kind}, {_RESULT}")
+    return found.select("row.*", *(f.split()[0] for f in _RESULT.split(", ")))

@@ -13,7 +13,7 @@ from tidewater.llm.queries import QUERIES
 from tidewater.llm.simhash_vp import fit_tree, leaves_of, link_shard, simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.suffix_array import permuted_common_prefixes, suffix_array
-from tidewater.llm.suffix_dedup import shard_repeats, suffix_dedup
+from tidewater.llm.suffix_dedup import chosen_pieces, shard_repeats, suffix_dedup
 
 
 def _texts(spark, sf_dir):
@@ -57,6 +57,31 @@ def test_crowded_anchors_are_split_without_change(spark, monkeypatch):
         assert got == want
 
 
+def test_only_chosen_places_reach_a_shard(spark, sf_dir, monkeypatch):
+    import pyarrow as pa
+
+    import tidewater.llm.suffix_dedup as sd
+    rows = [(1, 1, 5, None), (1, 1, 5, b"a"), (1, 1, 5, b"a"), (1, 2, 5, b"a"), (1, 3, 5, None), (2, 1, 5, b"b"), (2, 3, 5, None), (2, 3, 5, b"c")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["anchor", "doc", "at", "piece"]) for part in (rows[:1], rows[1:5], rows[5:])]
+    assert list(chosen_pieces(batches)) == [(1, 1, 5, b"a"), (2, 3, 5, b"c")]
+    real, filled = sd.build_sketch, []
+
+    def full_sketch(*args, least=2):
+        out = real(*args, least=least)
+        if least == 1:
+            filled.append(out.fill(255))  # every place gets through
+        return out
+
+    monkeypatch.setattr(sd, "build_sketch", full_sketch)
+    texts = _texts(spark, sf_dir)
+    want = sorted((key, n, r, s, kept) for (key, _), (n, r, s, kept) in zip(texts, brute.suffix_dedup(texts, 100)))
+    for crowd in (sd.CROWD, 2):
+        monkeypatch.setattr(sd, "CROWD", crowd)
+        got = suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+        assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got.collect()) == want
+    assert len(filled) >= 3
+
+
 def test_periodic_and_overlapping_texts(spark):
     rng = random.Random(3)
     rows = [(1, "a" * 1000), (2, "ab" * 400), (3, None), (4, ""), (5, "x" * 99), (6, "x" * 100), (7, "y" + "x" * 100),

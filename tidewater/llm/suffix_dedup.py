@@ -3,7 +3,8 @@
 Equal windows (``length`` bytes) have equal anchors (``pieces``), so windows are dealt to shards by anchor and
 equal ones meet, whatever documents they stand in. A count-min sketch over the anchors first sets
 aside every piece of text that cannot repeat; copies of a piece are grouped by content, and only its first
-occurrence goes to a shard (a second sketch, of those places, lets a scan cut them out of the texts without a join). A shard joins its pieces with a separator byte that UTF-8 never holds, builds
+occurrence goes to a shard (a second sketch, of those places, lets a scan cut them out of the texts without a join of the texts; what it lets
+through by chance is dropped where it meets the table of the places). A shard joins its pieces with a separator byte that UTF-8 never holds, builds
 the suffix array by induced sorting and its permuted common prefixes (``suffix_array``), and groups neighbours
 that share ``length`` bytes; the first of each group by (id, start) stays, the others are removed.
 
@@ -72,6 +73,19 @@ def shard_repeats(pieces: list[bytes], docs: np.ndarray, ats: np.ndarray, length
     return docs[piece[begin]], ats[piece[begin]] + begin - (ends - sizes)[piece[begin]], stop - begin + length - 1
 
 
+def chosen_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, int, bytes]]:
+    """The rows (anchor, doc, at, piece) that stand behind a row of the same place without a piece, once each (equal rows of a table bring a piece
+    twice). Rows come sorted by place, the ones without a piece first; one place is held at a time."""
+    place = None
+    for b in batches:
+        for h in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if h[3] is None:
+                place = h[:3]
+            elif h[:3] == place:
+                place = None
+                yield h
+
+
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, gram: int = 32, keep: list[str] | None = None) -> DataFrame:
     """One row per input row: the columns in ``keep`` (the id), ``n_bytes``, ``n_removed``, ``n_spans`` (maximal removed runs), ``kept``
     (binary) and ``kept_text`` (the same without what is left of characters that were cut in two).
@@ -103,30 +117,31 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         tags = np.array([_tag(t) for t in raw], dtype=np.int64) << AT_BITS
         doc = b.column("doc").to_numpy()[row]
         at = tags[row] + start - (ends - np.diff(ends, prepend=0))[row]
-        some = chosen(doc, at)
+        some = chosen(found.anchor[keep], doc, at)
         return symbols, raw, found, keep[some], start[some], (found.count[keep] + length - 1)[some], doc[some], at[some]
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, limit=SLICE):
-            if (kept := kept_pieces(b, lambda doc, at: np.ones(len(doc), dtype=bool))) is not None:
+            if (kept := kept_pieces(b, lambda anchor, doc, at: np.ones(len(doc), dtype=bool))) is not None:
                 symbols, _, found, keep, start, size, doc, at = kept
                 columns = [found.rolling.ranges(start, start + size).view(np.int64), Rolling(symbols, 1).ranges(start, start + size).view(np.int64),
                            found.anchor[keep].view(np.int64), doc, at, size.astype(np.int32), found.again[keep]]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["p1", "p2", "anchor", "doc", "at", "size", "again"])
 
     def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The bytes of the pieces in ``places``. A place let through by chance does no harm: its windows are compared like all others."""
+        """The bytes of the pieces in ``places``, and of some let through by chance, but none of a crowded anchor."""
         for b in slices(batches, limit=SLICE):
-            if (kept := kept_pieces(b, lambda doc, at: repeated(places.value, _place(doc, at)))) is not None:
+            if (kept := kept_pieces(b, lambda anchor, doc, at: repeated(places.value, _place(doc, at)) & ~np.isin(anchor.view(np.int64), full.value))) is not None:
                 _, raw, found, keep, start, size, doc, at = kept
                 text = b"".join(raw)
                 bodies = [text[i : i + n] for i, n in zip(start.tolist(), size.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(found.anchor[keep].view(np.int64)), pa.array(doc), pa.array(at), pa.array(bodies, pa.binary())], ["anchor", "doc", "at", "piece"])
 
     def list_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Hashes of the windows of the pieces in ``crowded_places``."""
+        """Hashes of the windows of the pieces in ``crowded_places``. A place of these anchors let through by chance does no harm: its windows are
+        compared like all others."""
         for b in slices(batches, limit=SLICE):
-            if (kept := kept_pieces(b, lambda doc, at: repeated(crowded_places.value, _place(doc, at)))) is not None:
+            if (kept := kept_pieces(b, lambda anchor, doc, at: repeated(crowded_places.value, _place(doc, at)) & np.isin(anchor.view(np.int64), full.value))) is not None:
                 symbols, _, found, _, start, size, doc, at = kept
                 n = size - length + 1
                 within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
@@ -146,14 +161,12 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = shard_repeats([h[3] for h in held], np.array([h[1] for h in held]), np.array([h[2] for h in held]), length)
             return pa.RecordBatch.from_arrays([pa.array(f.astype(np.int64)) for f in found], ["doc", "at", "size"])
 
-        for b in batches:
-            for h in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if size >= SHARD_BYTES and h[0] != held[-1][0]:
-                    yield result()
-                    held, size = [], 0
-                if not held or held[-1][:3] != h[:3]:  # equal rows of a table bring a piece twice
-                    held.append(h)
-                    size += len(h[3]) + 1
+        for h in chosen_pieces(batches):
+            if size >= SHARD_BYTES and h[0] != held[-1][0]:
+                yield result()
+                held, size = [], 0
+            held.append(h)
+            size += len(h[3]) + 1
         if held:
             yield result()
 
@@ -162,12 +175,15 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kinds = materialize(kinds, "suffix-kinds")
     copies = pieces.join(kinds.where("n > 1").select("p1", "p2", "head"), ["p1", "p2"]).where("doc != head.doc or at != head.at").select("doc", "at", F.col("size").cast("long"))
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("n"), F.max("again").alias("again")).where("n > 1 or again").select("anchor", "n")
-    todo = materialize(kinds.drop("n").join(shared, "anchor").select("head.doc", "head.at", "size", (F.col("n") > CROWD).alias("crowded")), "suffix-todo")
+    todo = materialize(kinds.drop("n").join(shared, "anchor").select("anchor", "head.doc", "head.at", "size", (F.col("n") > CROWD).alias("crowded")), "suffix-todo")
     number, amount = todo.where("not crowded").agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), amount // (2 * SHARD_BYTES))
     places = mark_places(todo.where("not crowded"), number)
-    shard_rows = texts.mapInArrow(cut_pieces, "anchor long, doc long, at long, piece binary")
-    shard_rows = shard_rows.repartition(shards, "anchor").sortWithinPartitions("anchor", "doc", "at")
+    full = shared.where(F.col("n") > CROWD).select("anchor").toPandas()["anchor"].to_numpy(dtype=np.int64)  # one in CROWD of all pieces at most
+    full = spark.sparkContext.broadcast(full)
+    wanted = todo.where("not crowded").select("anchor", "doc", "at", F.lit(None).cast("binary").alias("piece"))
+    shard_rows = texts.mapInArrow(cut_pieces, "anchor long, doc long, at long, piece binary").unionByName(wanted)
+    shard_rows = shard_rows.repartition(shards, "anchor").sortWithinPartitions("anchor", "doc", "at", F.col("piece").isNotNull())
     later = shard_rows.mapInArrow(sort_shards, "doc long, at long, size long")
     crowded = todo.where("crowded").count()
     if crowded:

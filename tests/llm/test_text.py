@@ -231,6 +231,20 @@ def test_toxicity_on_held_out_texts(spark):
     assert np.mean([(s >= 0.5) == t for s, t in held]) > 0.95 and all(0 <= s <= 1 for s in got.values())
 
 
+def test_dictionaries_take_all_of_the_sample():
+    import random
+
+    from tidewater.llm.zstd_toxicity import _ordinary_content, _toxic_content
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9))
+    plain, bad = [word() for _ in range(300)], [word() for _ in range(900)]
+    ordinary = [" ".join(rng.choices(plain, k=30)) for _ in range(300)]
+    toxic = [" ".join(rng.choices(plain, k=20) + bad[i % 20 :: 20]) for i in range(300)]
+    assert set(bad) <= set(_toxic_content(toxic, ordinary).decode().split())
+    late = [" ".join(rng.choices(plain[:150], k=600) + ["latecomer"] * 3 + rng.choices(plain[150:], k=600)) for _ in range(40)]
+    assert any(w.encode() in _ordinary_content(late) for w in plain[150:])
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     docs, labels = _toxic_table(spark, 120)
     model = fit_toxicity(docs, labels, F.lit(True))

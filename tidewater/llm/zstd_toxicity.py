@@ -1,8 +1,8 @@
 """Toxicity by compression distance: each window of words is compressed with two zstandard dictionaries.
 
-The ordinary dictionary is trained on ordinary text. The toxic one holds the same content followed by content trained on toxic
-text (the words that carry byte sequences significantly more frequent in toxic documents), so a window becomes
-shorter with it only where it resembles toxic text. Per document the differences of all windows are
+The ordinary dictionary is trained on ordinary text. The toxic one isn't trained by zstandard (that tells the classes apart badly, README):
+it holds the same content followed by all words of the toxic sample that carry byte sequences significantly more frequent in
+toxic documents, so a window becomes shorter with it only where it resembles toxic text. Per document the differences of all windows are
 summed up in a few figures, and a logistic curve calibrated on other labelled documents turns them into a score.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import slices
 
 WINDOW, STRIDE = 6, 3  # words
-DICTIONARY, TOXIC_WORDS = 60_000, 400  # bytes of ordinary content; words of toxic content at most
+DICTIONARY = 60_000  # bytes of ordinary content; the toxic words are as many as the sample shows
 GRAM, MARKED, SHARE = 5, 15.0, 20.0  # byte grams; least G-squared; least ratio of document shares
 SAMPLE, SAMPLE_TEXT = 2000, 1 << 15  # the bound on what the model is fitted on: texts per class, bytes of each
 _UPPER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -109,12 +109,12 @@ def _toxic_content(toxic: list[str], ordinary: list[str]) -> bytes:
         b = b" " + w + b" "
         if any(b[i : i + GRAM] in marks for i in range(len(b) - GRAM + 1)):
             chosen.append(w)
-    return b" " + b" ".join(reversed(chosen[:TOXIC_WORDS])) + b" " if chosen else b""
+    return b" " + b" ".join(reversed(chosen)) + b" " if chosen else b""
 
 
 def _ordinary_content(texts: list[str]) -> bytes:
     joined = [b" ".join(_words(t)) for t in texts]
-    parts = [j[i : i + 120] for j in joined for i in range(0, min(len(j), 4000), 120)]
+    parts = [j[i : i + 120] for j in joined for i in range(0, len(j), 120)]
     try:
         return zstandard.train_dictionary(DICTIONARY + 1000, parts).as_bytes()[-DICTIONARY:]
     except zstandard.ZstdError:  # too little text to train on: the text itself

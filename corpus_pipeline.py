@@ -30,7 +30,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group: the one with the smallest id (rows without an id come last), and one of rows equal to it."""
     groups = simhash_groups(docs, shingle=3, distance=2).where("key = component_key")
-    firsts = groups.groupBy(F.col("key").alias("__key")).agg(F.min("text_hash").alias("__hash"))
+    firsts = groups.groupBy("component_fp").agg(F.min("key").alias("__key"), F.min("text_hash").alias("__hash")).drop("component_fp")
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.select(F.struct(*docs.columns).alias(ROW), order_key(F.col("doc_id"), text).alias("__key"), F.xxhash64(text).alias("__hash"))
     return keyed.join(firsts, ["__key", "__hash"], "left_semi").dropDuplicates(["__key", "__hash"]).select(f"{ROW}.*")

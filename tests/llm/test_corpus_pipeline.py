@@ -60,3 +60,10 @@ def test_odd_rows(spark, sf_dir, odd_docs, no_docs):
     once = cp.drop_near_duplicates(spark, odd_docs, sf_dir)
     assert sorted((r.doc_id or 0) for r in once.collect()) == [0, 0, 1, 3, 5, 7, 8] or once.count() >= 6
     assert cp.cut_repeats(spark, odd_docs, sf_dir).where("text is null").count() == odd_docs.where("text is null").count()
+
+
+def test_near_duplicates_keep_unlinked_texts_of_one_id(spark, sf_dir):
+    one, other, third = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    docs = spark.createDataFrame([(1, one), (1, other), (1, other), (2, one), (3, third), (3, other)], "doc_id long, text string")
+    got = sorted((r.doc_id, r.text) for r in cp.drop_near_duplicates(spark, docs, sf_dir).collect())
+    assert got == [(1, one), (1, other), (3, third)]

@@ -134,8 +134,9 @@ def link_shard(x: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
 
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, distance: int = 2) -> DataFrame:
     """One row per input row: the id, ``fingerprint`` (16 hex digits) and ``component_id``, the smallest id reachable over links
-    of at most ``distance`` bits (itself included); also ``key``, ``component_key`` (``common.order_key`` of the row and of its component's first)
-    and ``text_hash``, for joining results to rows.
+    of at most ``distance`` bits (itself included); also ``key``, ``component_key`` (``common.order_key`` of the row and of its component's first),
+    ``component_fp`` (a fingerprint of the component, alike in all its rows) and ``text_hash``, for joining results to rows. Rows that share an id
+    but not the text are linked by their fingerprints only.
 
     A null or wordless text has fingerprint zero and links like any other; fewer words than a shingle give one
     shingle of them all. Rows with a null id come after all others, as documents of their own, and a component of such rows alone
@@ -163,25 +164,26 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for b in batches:
             fp = b.column("fp").to_numpy().view(np.uint64)
             leaf, idx = leaves_of(nodes, fp, radius)
-            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), b.column("fp").take(pa.array(idx)), b.column("head").take(pa.array(idx))], ["leaf", "fp", "head"])
+            yield pa.RecordBatch.from_arrays([pa.array(leaf.astype(np.int32)), b.column("fp").take(pa.array(idx))], ["leaf", "fp"])
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if not held:
             return
         table = pa.concat_tables(held)
-        leaf, fp, head = (table.column(k).to_numpy() for k in ("leaf", "fp", "head"))
+        leaf, fp = (table.column(k).to_numpy() for k in ("leaf", "fp"))
         order = np.argsort(leaf, kind="stable")
         for idx in np.split(order, np.flatnonzero(np.diff(leaf[order])) + 1):
             a, b = link_shard(fp[idx].view(np.uint64), distance)
-            yield pa.RecordBatch.from_arrays([pa.array(head[idx][a]), pa.array(head[idx][b])], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(fp[idx][a]), pa.array(fp[idx][b])], ["a", "b"])
 
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(nodes) + 1)
-    dealt = classes.mapInArrow(deal, "leaf int, fp long, head long").repartition(shards, "leaf")
+    dealt = classes.select("fp").mapInArrow(deal, "leaf int, fp long").repartition(shards, "leaf")
     links = dealt.mapInArrow(link, "a long, b long")
-    named = classes.join(components(links), F.col("head") == F.col("node"), "left").select("fp", F.coalesce("component", "head").alias("component"))
+    grouped = classes.join(components(links), F.col("fp") == F.col("node"), "left").select("fp", "head", F.coalesce("component", "fp").alias("component_fp"))
+    named = grouped.join(grouped.groupBy("component_fp").agg(F.min("head").alias("component")), "component_fp").select("fp", "component_fp", "component")
     kind = docs.schema[id_col].dataType
     return marked.join(named, "fp").select(
         shown_id("doc", kind).alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), shown_id("component", kind).alias("component_id"),
-        F.col("doc").alias("key"), F.col("component").alias("component_key"), "text_hash",
+        F.col("doc").alias("key"), F.col("component").alias("component_key"), "component_fp", "text_hash",
     )

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.brown_lm import brown_scores
 from tidewater.llm.common import load
+from tidewater.llm.fill_middle import fill_middle
+from tidewater.llm.filter_audit import audit_documents
 from tidewater.llm.imatch import imatch_edits
 from tidewater.llm.mixing import mix_sources, with_quality, word_count
 from tidewater.llm.multi_index import embedding_groups
@@ -15,7 +17,9 @@ from tidewater.llm.simhash_vp import simhash_groups
 from tidewater.llm.substring_dedup import substring_dedup
 from tidewater.llm.suffix_dedup import suffix_dedup
 from tidewater.llm.text_density import extract_pages
+from tidewater.llm.token_files import read_token_files, write_token_files
 from tidewater.llm.zstd_toxicity import fit_toxicity, score_toxicity
+from tidewater.session import scratch_dir
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +81,26 @@ def op10_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str, tokenizer_file: str | None = None) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_dir(spark, "token-files")
+    write_token_files(load(spark, sf_dir, "documents"), path, tokenizer_file or public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_token_files(spark, path, digest=True)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), "lang")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_middle(load(spark, sf_dir, "documents"), ["doc_id"])
+    digests = [F.sha2(c, 256).alias(n) for c, n in (("output", "output_sha256"), ("restored", "restored_sha256"))]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op5_imatch, op6_inverted_multi_index, op7_simhash_near_dedup, op8_brown_lm, op9_compression_toxicity, op10_text_density)
+    for f in (op1_substring_dedup, op2_source_mixing, op3_suffix_array_dedup, op4_sentencepiece_codec, op5_imatch, op6_inverted_multi_index, op7_simhash_near_dedup, op8_brown_lm,
+              op9_compression_toxicity, op10_text_density, op11_token_files, op12_filter_audit, op13_fill_middle)
 }

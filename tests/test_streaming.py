@@ -56,3 +56,27 @@ def test_interval_join_matches_brute_force(spark):
     got = sorted((r["Id"], r["Rid"]) for r in so.interval_join(ldf, rdf, ["k"], "t", "rt", -30, 90).collect())
     want = sorted((a, b) for a, ka, sa in left for b, kb, sb in right if ka == kb and sa - 30 <= sb <= sa + 90)
     assert got == want
+
+
+def _hot_sessions(spark, path, conf):
+    src = spark.readStream.schema(SCHEMA).parquet(path)
+    q = run_stream(so.session_stream(src, "5 minutes", "10 minutes"), f"{path}-ck-{len(conf)}", fmt="noop", conf=conf)
+    return q.recentProgress[0]
+
+
+def test_sessions_of_a_hot_key_are_merged_before_the_shuffle(spark, tmp_path):
+    """20,000 readings of one key in two sessions: what reaches the state is sessions, not readings."""
+    path = str(tmp_path / "in")
+    s = F.when(F.col("id") < 10000, F.col("id") / 100).otherwise(10000 + F.col("id") / 100)
+    df = spark.range(0, 20000, 1, 8).select(F.col("id").cast("string").alias("Id"), F.timestamp_seconds(1704067200 + s).alias("MeasurementDateTime"),
+                                            F.lit(1.0).alias("SensorValue"), F.lit("s").alias("SensorLocation"), F.lit("m").alias("SensorMeasurement"))
+    df.write.parquet(path)
+    state = _hot_sessions(spark, path, so.SESSION_CONF)["stateOperators"][0]
+    assert state["numRowsUpdated"] == 2 and state["numRowsTotal"] <= 2
+    q = spark.readStream.schema(SCHEMA).parquet(path)
+    out = run_stream(so.session_stream(q, "5 minutes", "10 minutes"), f"{path}-ck-memory", fmt="memory", query_name="hot_sessions", output_mode="append", conf=so.SESSION_CONF)
+    plan = out._jsq.explainInternal(False)
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "MergingSessions" in plan[exchange:]  # below the shuffle too, not only above it
+    rows = spark.table("hot_sessions").collect()
+    assert [(r.NumMeasurements, r.AvgSensorValue) for r in rows] == [(10000, 1.0)]  # the second is still open

@@ -288,14 +288,14 @@ def stream_window_join(spark, sf_dir):
     "SELECT * FROM (" + R.SESSION_SQL + ") WHERE session_end <= (SELECT MAX(MeasurementDateTime) FROM sensors) "
     "- INTERVAL 10 MINUTE"))
 def stream_agg_session(spark, sf_dir):
-    """Streaming session windows (30-minute gap) with a 10-minute watermark; a
-    session is written once the watermark passes its end."""
+    """Streaming session windows (30-minute gap) with a 10-minute watermark, merged per task
+    before the shuffle; a session is written once the watermark passes its end."""
     root = scratch_dir(spark, "sessions")
     silver, inp = _silver_stream_source(spark, sf_dir, root)
     out, ckpt = f"{root}/sessions", f"{root}/_checkpoint"
     for _ in stage(silver, inp, TS):
-        src = spark.readStream.schema(silver.schema).parquet(inp).withWatermark(TS, "10 minutes")
-        run_stream(agg.session_stats_builtin(src, "30 minutes"), ckpt, path=out, state_partitions=_sp(spark))
+        src = spark.readStream.schema(silver.schema).parquet(inp)
+        run_stream(so.session_stream(src, "30 minutes", "10 minutes"), ckpt, path=out, state_partitions=_sp(spark), conf=so.SESSION_CONF)
     df = spark.read.parquet(out)
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 

@@ -76,18 +76,25 @@ def scratch_dir(spark: SparkSession, name: str = "run") -> str:
 
 
 @contextmanager
-def shuffle_partitions(spark: SparkSession, n: int | None):
-    """Temporarily set ``spark.sql.shuffle.partitions`` (a streaming query fixes its state
-    partitions from this value when it starts; the session keeps its own setting)."""
-    if n is None:
-        yield
-        return
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+def session_conf(spark: SparkSession, settings: dict):
+    """Temporarily change session settings (a streaming query copies the session's when it starts)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
     try:
         yield
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def shuffle_partitions(spark: SparkSession, n: int | None):
+    """Temporarily set ``spark.sql.shuffle.partitions`` (a streaming query fixes its state
+    partitions from this value when it starts; the session keeps its own setting)."""
+    return session_conf(spark, {} if n is None else {"spark.sql.shuffle.partitions": n})
 
 
 def materialize(df, label: str = "stage"):

@@ -29,6 +29,22 @@ def windowed_stats(df: DataFrame, watermark: str | None = "10 minutes", size: st
     return agg.window_stats(src, size, slide, time_col, keys)
 
 
+# Sessions of one input partition are merged before the shuffle (off by default): a task sends one row per
+# (key, session it has seen) instead of every reading, and a key's state holds its open sessions only.
+SESSION_CONF = {"spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true"}
+
+
+def session_stream(df: DataFrame, gap: str = "30 minutes", watermark: str = "10 minutes", time_col: str = "MeasurementDateTime",
+                   keys: Sequence[str] = agg.SENSOR_KEYS) -> DataFrame:
+    """Session statistics of a stream in two stages; start it with ``conf=SESSION_CONF``.
+
+    Each task first merges the readings of its own partition into sessions (its sort spills), and only
+    those partial sessions - keys, interval, running sums - are shuffled, merged with each other and with the
+    key's open sessions, and kept as state until the watermark passes their end. So a key that holds most of the readings
+    costs the state store one row per open session, whatever the number of readings."""
+    return agg.session_stats_builtin(df.withWatermark(time_col, watermark), gap, time_col, keys)
+
+
 def dedup_within_watermark(df: DataFrame, keys: Sequence[str], time_col: str = "MeasurementDateTime",
                            watermark: str = "1 hour") -> DataFrame:
     """Drop repeated keys; state is kept only while the watermark allows repeats."""

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..session import shuffle_partitions
+from ..session import session_conf
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -42,12 +42,16 @@ def run_stream(df: DataFrame, checkpoint: str, path: str | None = None, table: s
                output_mode: str = "append", trigger: str | Mapping = "availableNow",
                query_name: str | None = None, partition_by: Sequence[str] | None = None,
                options: Mapping[str, str] | None = None, wait: bool = True,
-               state_partitions: int | None = None) -> StreamingQuery:
+               state_partitions: int | None = None, conf: Mapping[str, str] | None = None) -> StreamingQuery:
     """Start a streaming query into a path, a table or a foreachBatch
     function; returns the (finished, for one-shot triggers) query.  ``state_partitions``
     sets the number of shuffle/state partitions of a new query (kept by its checkpoint
-    afterwards); by default the session's ``spark.sql.shuffle.partitions`` applies."""
-    with shuffle_partitions(df.sparkSession, state_partitions):
+    afterwards); by default the session's ``spark.sql.shuffle.partitions`` applies.
+    ``conf``: session settings that hold for this query only."""
+    settings = dict(conf or {})
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = state_partitions
+    with session_conf(df.sparkSession, settings):
         q = _start(df, checkpoint, path, table, foreach_batch, fmt, output_mode, trigger, query_name,
                    partition_by, options)
     if wait and (trigger in ("availableNow", "once")):

@@ -114,7 +114,7 @@ def _frames(docs: DataFrame, definition: str, end_id: int, id_col: str, text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, pack = tokenizer.value.get(), zstandard.ZstdCompressor(level=level, write_checksum=True)
-        for b in slices(batches, limit=1 << 23):
+        for b in slices(batches, limit=3 << 20):
             ids, sizes = words.encode(b.column("txt"))
             ends = np.cumsum(sizes)
             closed = np.insert(ids, ends, end_id).astype(words.kind).tobytes()

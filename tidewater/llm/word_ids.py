@@ -9,13 +9,14 @@ word-end marks. A word with any other character goes to the library whole, as do
 from __future__ import annotations
 
 import json
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 
-MAX_HELD = 600_000  # parts a worker keeps
-JOINED = 4096  # parts in one call of the library
+MAX_HELD = 400_000  # parts a worker keeps (about 80 MB)
+JOINED, CALLED = 4096, 8  # parts in one string, strings in one call of the library
 
 # fixed values: the settings for which words and parts are independent, and their end mark
 WORD_SETTINGS = {
@@ -89,6 +90,7 @@ def part_starts(data: np.ndarray, text_starts: np.ndarray, specials: list[bytes]
 
 class WordIds:
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the tasks of an executor share its cores already
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
@@ -124,7 +126,8 @@ class WordIds:
             bare.append(name)
         found, single = {b"": b""}, list(latin - {b""})
         strings = [b" ".join(single[i : i + JOINED]).decode() for i in range(0, len(single), JOINED)]
-        for k, encoded in enumerate(self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)):
+        called = (e for i in range(0, len(strings), CALLED) for e in self.tokenizer.encode_batch_fast(strings[i : i + CALLED], add_special_tokens=False))
+        for k, encoded in enumerate(called):
             ids, some = np.array(encoded.ids, dtype=self.kind), single[k * JOINED : (k + 1) * JOINED]
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):

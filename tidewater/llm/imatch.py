@@ -12,6 +12,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -43,9 +44,9 @@ class _TermKeys(dict):
 
 
 def _terms(text: str, memo: _TermKeys) -> np.ndarray:
-    """Sorted distinct term keys."""
-    words = set(text.encode().translate(_UPPER).split())
-    return np.unique(np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words)))
+    """Distinct term keys, in no order."""
+    keys = set(map(memo.__getitem__, set(text.encode().translate(_UPPER).split())))
+    return np.fromiter(keys, dtype=np.uint64, count=len(keys))
 
 
 def lexicon_of(texts: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
@@ -73,77 +74,99 @@ def lexicon_of(texts: DataFrame, low: float = LOW, high: float = HIGH) -> np.nda
     return np.sort(band.select("key").toPandas()["key"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _level_hashes(terms: np.ndarray, levels: range) -> list[np.ndarray]:
-    """16-bit hash of each subset's terms at each level; zero for a subset that holds none. A subset takes the terms whose product
-    with its salt begins with as many zero bits as the level says."""
-    drawn = terms[None, :] * _SALT[:, None]
-    subset, column = np.nonzero(drawn >> np.uint64(64 - levels[0]) == 0) if levels[0] else np.nonzero(np.ones(drawn.shape, dtype=bool))
-    drawn = drawn[subset, column]
-    value, out = mix(drawn), []
-    for level in levels:
-        taken = drawn >> np.uint64(64 - level) == 0 if level else np.ones(len(drawn), dtype=bool)
-        sums = np.zeros(HASHES, dtype=np.uint64)  # of distinct terms, in any order: as of the sorted ones
-        np.add.at(sums, subset[taken], value[taken])
-        hashes = np.zeros(HASHES, dtype=np.uint64)
-        held = np.unique(subset[taken])
-        hashes[held] = np.maximum(mix(sums[held]) >> np.uint64(48), np.uint64(1))
-        out.append(hashes.astype(">u2"))
-    return out
+@dataclass
+class Prints:
+    """Fingerprints of several texts. kind: ``l`` lexicon terms, ``a`` all terms, ``t`` no terms (then ``own`` is the text's hash)."""
+
+    kind: np.ndarray  # one letter a text
+    first: np.ndarray  # first of its levels
+    hashes: np.ndarray  # texts x LEVELS x HASHES, 16 bits each; zero for a subset that holds no term
+    own: list[str]
+
+    def take(self, at) -> Prints:
+        return Prints(self.kind[at], self.first[at], self.hashes[at], [self.own[i] for i in np.arange(len(self.own))[at]])
+
+    def strings(self) -> list[str]:
+        """``level:hashes/hashes/...`` behind the kind."""
+        told = self.hashes.astype(">u2")
+        return ["t" + o if k == "t" else f"{k}{f:02d}:" + h.tobytes().hex("/", 2 * HASHES) for k, f, h, o in zip(self.kind.tolist(), self.first.tolist(), told, self.own, strict=True)]
+
+
+def fingerprints(texts: list[str], lexicon: np.ndarray, memo: _TermKeys) -> Prints:
+    """Subset hashes of each text's lexicon terms at LEVELS levels around its own. A text without lexicon terms uses all its terms, one
+    without terms its own hash. A subset takes the terms whose product with its salt begins with as many zero bits as the level
+    says; its hash is of the sum of their values, so their order doesn't matter. All texts go through numpy at once, subset by subset."""
+    terms = [_terms(t, memo) for t in texts]
+    size = np.array([len(t) for t in terms], dtype=np.int64)
+    flat, doc = np.concatenate([*terms, np.empty(0, dtype=np.uint64)]), np.repeat(np.arange(len(texts)), size)
+    known = lexicon[np.minimum(np.searchsorted(lexicon, flat), len(lexicon) - 1)] == flat if len(lexicon) else np.zeros(len(flat), dtype=bool)
+    count = np.bincount(doc[known], minlength=len(texts))
+    kind = np.where(count > 0, "l", np.where(size > 0, "a", "t"))
+    used = known | (kind[doc] == "a")
+    flat, doc = flat[used], doc[used]
+    first = np.maximum(np.frexp(np.bincount(doc, minlength=len(texts)))[1] - 2, 0)  # the exponent is the number of bits
+    hashes = np.zeros((len(texts), LEVELS, HASHES), dtype=np.uint16)
+    shift = (64 - first[doc]).astype(np.uint64)
+    every = first[doc] == 0
+    for s in range(HASHES):
+        drawn = flat * _SALT[s]
+        at = np.flatnonzero(every | (drawn >> np.minimum(shift, 63) == 0))
+        d, drawn = doc[at], drawn[at]
+        value = mix(drawn)
+        for j in range(LEVELS):
+            level = first[d] + j
+            taken = (level == 0) | (drawn >> np.minimum(64 - level, 63).astype(np.uint64) == 0)
+            sums = np.zeros(len(texts), dtype=np.uint64)
+            np.add.at(sums, d[taken], value[taken])
+            held = np.unique(d[taken])
+            hashes[held, j, s] = np.maximum(mix(sums[held]) >> np.uint64(48), np.uint64(1))
+    return Prints(kind, first, hashes, [xxhash.xxh3_128_hexdigest(t.encode()) if k == "t" else "" for t, k in zip(texts, kind.tolist(), strict=True)])
+
+
+def compare(a: Prints, b: Prints) -> np.ndarray:
+    """Likeness of each fingerprint of ``a`` to the one of ``b`` at its place: the share of equal subset hashes at a level that both have, among
+    subsets that hold a term of either (0 to 1); the best such level counts. Texts without terms are alike if equal."""
+    best = np.zeros(len(a.own))
+    comparable = (a.kind == b.kind) & (a.kind != "t")
+    for apart in range(1 - LEVELS, LEVELS):  # how much higher the levels of b begin
+        at = np.flatnonzero(comparable & (b.first - a.first == apart))
+        for j in range(max(0, apart), LEVELS + min(0, apart)) if len(at) else ():
+            x, y = a.hashes[at, j], b.hashes[at, j - apart]
+            some = (x > 0) | (y > 0)
+            n = some.sum(axis=1)
+            best[at] = np.maximum(best[at], np.divide(((x == y) & some).sum(axis=1), n, out=np.zeros(len(at)), where=n > 0))
+    best[(a.kind == "t") & (b.kind == "t") & (np.array(a.own, dtype=object) == np.array(b.own, dtype=object))] = 1.0
+    return best
 
 
-def _levels(first: int) -> range:
-    return range(first, first + LEVELS)
+def fingerprint(text: str, lexicon: np.ndarray, memo: _TermKeys) -> str:
+    return fingerprints([text], lexicon, memo).strings()[0]
 
 
-def fingerprint(text: str, lexicon: np.ndarray, memo: _TermKeys) -> str:
-    """``level:hashes/hashes/...``: subset hashes of the text's lexicon terms at LEVELS levels around its own. A text without lexicon terms uses
-    all its terms (marked ``a``), one without terms its own hash (marked ``t``)."""
-    terms = _terms(text, memo)
-    kind = "l"
-    if len(terms) and len(lexicon):
-        at = np.minimum(np.searchsorted(lexicon, terms), len(lexicon) - 1)
-        known = terms[lexicon[at] == terms]
-    else:
-        known = terms[:0]
-    if not len(known):
-        kind, known = "a", terms
-    if not len(known):
-        return "t" + xxhash.xxh3_128_hexdigest(text.encode())
-    first = max(0, len(known).bit_length() - 2)
-    return f"{kind}{first:02d}:" + "/".join(h.tobytes().hex() for h in _level_hashes(known, _levels(first)))
+def parse(told: list[str]) -> Prints:
+    """Fingerprints from their strings."""
+    plain = [t[0] == "t" for t in told]
+    none = np.zeros((LEVELS, HASHES), dtype=np.uint16)
+    hashes = [none if p else np.frombuffer(bytes.fromhex(t[4:].replace("/", "")), dtype=">u2").reshape(LEVELS, HASHES) for t, p in zip(told, plain, strict=True)]
+    return Prints(np.array([t[0] for t in told]), np.array([0 if p else int(t[1:3]) for t, p in zip(told, plain, strict=True)]), np.array(hashes, dtype=np.uint16),
+                  [t[1:] if p else "" for t, p in zip(told, plain, strict=True)])
 
 
 def likeness(a: str, b: str) -> float:
-    """Share of equal subset hashes at a level both fingerprints have, among subsets that hold a term of either (0 to 1)."""
-    if a == b:
-        return 1.0
-    if a[0] != b[0] or a[0] == "t":
-        return 0.0
-    (la, ha), (lb, hb) = ((int(x[1:3]), x[4:].split("/")) for x in (a, b))
-    best = 0.0
-    for level in set(_levels(la)) & set(_levels(lb)):
-        x, y = (np.frombuffer(bytes.fromhex(h[level - first]), dtype=">u2") for h, first in ((ha, la), (hb, lb)))
-        some = (x > 0) | (y > 0)
-        if some.any():
-            best = max(best, float((x == y)[some].mean()))
-    return best
+    return float(compare(parse([a]), parse([b]))[0])
 
 
 _RESULT = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def _compare(text: str, own: str, following: str, next_print: str, lexicon: np.ndarray, memo: _TermKeys) -> tuple:
-    """Result columns of a text: its last quarter replaced by as much of the next text's beginning."""
+def _edited(text: str, following: str) -> str:
+    """The text with its last quarter replaced by as much of the next text's beginning."""
     cut = len(text) // 4
-    edited = text[: len(text) - cut] + following[:cut]
-    changed = fingerprint(edited, lexicon, memo)
-    return len(text), hashlib.sha256(edited.encode()).hexdigest(), own, changed, likeness(own, changed), likeness(own, next_print)
+    return text[: len(text) - cut] + following[:cut]
 
 
-def _batch(row: list, kind: pa.DataType, results: list[tuple]) -> pa.RecordBatch:
-    types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-    columns = [pa.array([r[i] for r in results], t) for i, t in enumerate(types)]
-    return pa.RecordBatch.from_arrays([pa.array(row, kind), *columns], ["row", *(f.split()[0] for f in _RESULT.split(", "))])
+def _joined(a: Prints, b: Prints) -> Prints:
+    return Prints(np.concatenate((a.kind, b.kind)), np.concatenate((a.first, b.first)), np.concatenate((a.hashes, b.hashes)), a.own + b.own)
 
 
 def _range_starts(keys: DataFrame, ranges: int) -> list[tuple[int, int]]:
@@ -186,16 +209,22 @@ def imatch_edits(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_
     dealt = dealt.repartition(shards, "part").sortWithinPartitions("part", "end", "doc", "tie")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, before = _TermKeys(), None
+        memo, last = _TermKeys(), None  # last: row, text and fingerprint that still wait for their successor
         for b in slices(batches):
-            rows, results, kind = [], [], b.schema.field("row").type
-            for row, text, end in zip(b.column("row").to_pylist(), b.column("txt").to_pylist(), b.column("end").to_pylist(), strict=True):
-                own = fingerprint(text, lexicon.value, memo)
-                if before is not None:
-                    rows.append(before[0])
-                    results.append(_compare(*before[1:], text, own, lexicon.value, memo))
-                before = None if end else (row, text, own)
-            yield _batch(rows, kind, results)
+            kind, row, end = b.schema.field("row").type, b.column("row"), b.column("end").to_pylist()
+            texts = b.column("txt").to_pylist()
+            own = fingerprints(texts, lexicon.value, memo)
+            rows = pa.concat_arrays([last[0], row]) if last else row
+            if last:
+                texts, end, own = [last[1], *texts], [False, *end], _joined(last[2], own)
+            at = np.array([i for i in range(len(texts) - 1) if not end[i]], dtype=np.int64)
+            edited = [_edited(texts[i], texts[i + 1]) for i in at.tolist()]
+            changed, mine = fingerprints(edited, lexicon.value, memo), own.take(at)
+            columns = [rows.take(pa.array(at)).cast(kind), pa.array([len(texts[i]) for i in at.tolist()], pa.int64()), pa.array([hashlib.sha256(e.encode()).hexdigest() for e in edited], pa.string()),
+                       pa.array(mine.strings(), pa.string()), pa.array(changed.strings(), pa.string()), pa.array(compare(mine, changed)), pa.array(compare(mine, own.take(at + 1)))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", *(f.split()[0] for f in _RESULT.split(", "))])
+            k = len(texts) - 1
+            last = None if end[k] else (rows.slice(k, 1), texts[k], own.take(np.array([k])))
 
     kind = source.schema["row"].dataType.simpleString()
     found = dealt.select("row", "txt", "end").mapInArrow(run, f"row {kind}, {_RESULT}")

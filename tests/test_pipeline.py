@@ -53,7 +53,7 @@ def test_change_target_from_stream(spark, tmp_path):
 
     p.apply_changes(target="silver", source="bronze", keys=["Id"], sequence_by="seq")
     p.run()
-    got = {r.Id: r.v for r in spark.read.parquet(p.path("silver")).collect()}
+    got = {r.Id: r.v for r in p.read("silver").collect()}
     assert got == {1: "b", 2: "x"}
 
 

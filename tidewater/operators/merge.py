@@ -1,9 +1,7 @@
 """Merges and change-data application (J3-J12) on plain Parquet.
 
-The pure functions take the current table and a batch of changes as DataFrames and return
-the new table; ``BucketedTable`` applies them to a stored table, rewriting only the hash
-buckets a batch touches (dynamic partition overwrite), so a small batch against a large
-table reads and writes a small part of it.
+The functions take the current table and a batch of changes as DataFrames and return the new
+table; ``operators/stored.py`` applies them to tables kept on disk.
 
 Conventions: keys must be non-NULL; ``sequence_by`` orders changes (higher wins, a change
 that is older than the stored row loses); ``tiebreak`` columns order equal sequences.
@@ -19,7 +17,6 @@ from pyspark.sql import functions as F
 from .moving_average import latest_per_key
 
 DELETED = "_deleted"
-BUCKET = "_bucket"
 
 
 def _seq_list(sequence_by: str | Sequence[str]) -> list[str]:
@@ -199,117 +196,26 @@ def visible(table: DataFrame) -> DataFrame:
     return table.filter(~F.col(DELETED)).drop(DELETED, *extra)
 
 
-def scd2_history(changes: DataFrame, keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str] = (),
-                 apply_as_deletes: str | Column | None = None, **kw) -> DataFrame:
-    """SCD 2 history: every upsert becomes a version valid from its sequence until
-    the next change of the key (``__END_AT`` NULL for the current one); a delete closes
-    the open version without opening a new one.
+START, END, CURRENT = "__START_AT", "__END_AT", "__IS_CURRENT"
+
+
+def with_intervals(changes: DataFrame, keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str] = (), **kw) -> DataFrame:
+    """Change rows with ``__START_AT`` (their sequence) and ``__END_AT`` (the sequence of the key's next change, NULL for its last).
 
     The next change is found by global positions in (keys, sequence, tiebreak) order and an
     equi-join on position + 1: no task holds more than its range partition, however hot a key."""
     from .ordered import next_in_group, with_global_positions
-    d = _as_cond(apply_as_deletes)
-    ch = changes.withColumn("_is_del", F.coalesce(d, F.lit(False)) if d is not None else F.lit(False))
-    pos = with_global_positions(ch, [*keys, sequence_by, *tiebreak], **kw)
-    hist = next_in_group(pos, keys, [sequence_by]).withColumnRenamed(f"_next_{sequence_by}", "__END_AT").drop("_pos")
-    return (hist.filter(~F.col("_is_del")).withColumn("__START_AT", F.col(sequence_by))
-                .withColumn("__IS_CURRENT", F.col("__END_AT").isNull()).drop("_is_del"))
-
-
-def bucket_of(keys: Sequence[str], n_buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
-
-
-def path_exists(spark, path: str) -> bool:
-    """Whether a path is there, asked of its own file system; every other failure is raised."""
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+    pos = with_global_positions(changes, [*keys, sequence_by, *tiebreak], **kw)
+    closed = next_in_group(pos, keys, [sequence_by]).withColumnRenamed(f"_next_{sequence_by}", END).drop("_pos")
+    return closed.withColumn(START, F.col(sequence_by))
 
 
-BUCKET_BYTES = 512 * 1024 * 1024
-
-
-class BucketedTable:
-    """A Parquet table partitioned by ``partition_by`` and ``_bucket = pmod(xxhash64(keys), n)``.
-
-    A merge reads only the partitions and buckets present in the batch (partition pruning),
-    combines, and overwrites exactly those (dynamic partition overwrite). The batch is written once
-    before it is merged. The number of buckets belongs to the table: choose it from the bytes it is
-    expected to hold (``for_size``); within a bucket several tasks write (``splits``).
-    ``partition_by`` columns must be part of the keys, so that a key stays in its partition.
-    One writer per table.
-    """
-
-    def __init__(self, spark, path: str, keys: Sequence[str], n_buckets: int = 64,
-                 partition_by: Sequence[str] = (), splits: int = 4):
-        if not set(partition_by) <= set(keys):
-            raise ValueError("partition columns must be among the keys")
-        self.spark, self.path, self.keys, self.n = spark, path, list(keys), n_buckets
-        self.partition_by, self.splits = list(partition_by), splits
-
-    @classmethod
-    def for_size(cls, spark, path: str, keys: Sequence[str], expected_bytes: int, **kw) -> BucketedTable:
-        """Buckets of about ``BUCKET_BYTES`` each."""
-        return cls(spark, path, keys, n_buckets=max(4, -(-expected_bytes // BUCKET_BYTES)), **kw)
-
-    def exists(self) -> bool:
-        return path_exists(self.spark, self.path)
-
-    def read(self, with_tombstones: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.path)
-        df = df if with_tombstones else visible(df)
-        return df.drop(BUCKET)
-
-    def _write(self, df: DataFrame) -> None:
-        out = df if BUCKET in df.columns else df.withColumn(BUCKET, bucket_of(self.keys, self.n))
-        part = F.pmod(F.hash(*[F.col(k) for k in self.keys]), F.lit(self.splits))
-        (out.repartition(*self.partition_by, BUCKET, part)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.partition_by, BUCKET).parquet(self.path))
-
-    def _touched(self, batch: DataFrame):
-        """The batch, written once, and the stored rows of the partitions it touches (None: no table yet)."""
-        from ..session import materialize
-        batch = materialize(batch, "merge-batch")
-        if not self.exists():
-            return batch, None
-        places = batch.select(*self.partition_by, bucket_of(self.keys, self.n).alias(BUCKET)).distinct()
-        found = [r.asDict() for r in places.collect()]   # at most partitions x buckets
-        cond = F.lit(False)
-        if found:
-            cond = F.col(BUCKET).isin(sorted({r[BUCKET] for r in found}))
-            for c in self.partition_by:
-                cond = cond & F.col(c).isin(sorted({r[c] for r in found}))
-        return batch, self.spark.read.parquet(self.path).filter(cond).drop(BUCKET)
-
-    def upsert(self, batch: DataFrame, sequence_by=None, tiebreak=()) -> None:
-        src, current = self._touched(batch)
-        if not sequence_by:
-            require_unique(src, self.keys)
-        if current is None:
-            merged = latest_per_key(src, self.keys, sequence_by, tiebreak) if sequence_by else src
-        else:
-            merged = upsert(current.select(*src.columns), src, self.keys, sequence_by, tiebreak)
-        self._write(merged)
-
-    def insert_only(self, batch: DataFrame) -> None:
-        src, current = self._touched(batch)
-        self._write(src if current is None else insert_only(current.select(*src.columns), src, self.keys))
-
-    def apply_changes(self, batch: DataFrame, **kw) -> None:
-        src, current = self._touched(batch)
-        truncates = kw.get("apply_as_truncates") is not None
-        if truncates and current is not None:
-            current = self.spark.read.parquet(self.path).drop(BUCKET)   # a truncate touches every bucket
-        out = apply_changes(current, src, self.keys, keep_tombstones=True, **kw)
-        out = out.withColumn(BUCKET, bucket_of(self.keys, self.n))
-        if truncates:
-            if self.partition_by:
-                raise ValueError("truncates need a table without partition columns")
-            # a bucket whose rows all went must be overwritten too: one tombstone without key and sequence each
-            empty = self.spark.range(self.n).select(*[
-                F.lit(True).alias(c) if c == DELETED else F.col("id").cast("int").alias(c) if c == BUCKET
-                else F.lit(None).cast(out.schema[c].dataType).alias(c) for c in out.columns])
-            out = out.unionByName(empty)
-        self._write(out)
+def scd2_history(changes: DataFrame, keys: Sequence[str], sequence_by: str, tiebreak: Sequence[str] = (),
+                 apply_as_deletes: str | Column | None = None, **kw) -> DataFrame:
+    """SCD 2 history: every upsert becomes a version valid from its sequence until
+    the next change of the key (``__END_AT`` NULL for the current one); a delete closes
+    the open version without opening a new one."""
+    d = _as_cond(apply_as_deletes)
+    ch = changes.withColumn("_is_del", F.coalesce(d, F.lit(False)) if d is not None else F.lit(False))
+    hist = with_intervals(ch, keys, sequence_by, tiebreak, **kw)
+    return hist.filter(~F.col("_is_del")).withColumn(CURRENT, F.col(END).isNull()).drop("_is_del")

@@ -25,7 +25,7 @@ from .. import schemas as S
 from ..config import RunParams
 from ..functions.ids import with_deterministic_id
 from ..operators import clean
-from ..operators import merge as mg
+from ..operators import stored
 from ..sources import files, sinks
 from ..sources.sinks import move_aside
 from ..streaming.runner import run_stream
@@ -72,9 +72,9 @@ def _start_over(spark: SparkSession, params: RunParams, name: str, output: str)
             move_aside(spark, path, f"{aside}/{path.rsplit('/', 1)[1]}")
 
 
-def silver_table(spark: SparkSession, params: RunParams, n_buckets: int = 4) -> mg.BucketedTable:
+def silver_table(spark: SparkSession, params: RunParams, n_buckets: int = 4) -> stored.BucketedTable:
     """Silver, partitioned by sensor so that gold's sensor filters prune; ``n_buckets`` per sensor belongs to the table."""
-    return mg.BucketedTable(spark, f"{params.target_root}/silver/all_sensors", ["Id", "SensorMeasurement"], n_buckets,
+    return stored.BucketedTable(spark, f"{params.target_root}/silver/all_sensors", ["Id", "SensorMeasurement"], n_buckets,
                             partition_by=["SensorMeasurement"])
 
 

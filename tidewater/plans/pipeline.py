@@ -17,7 +17,8 @@ Tables are registered under their ``name`` (several functions may share a Python
 ``run`` materialises every table into ``root/<name>``; a table is built when first read,
 so the order follows the reads (a cycle raises).  A function returning a streaming
 DataFrame becomes an incremental table (``availableNow`` with its own checkpoint under
-``root/_checkpoints``); ``read_stream`` of a materialised table streams its files.
+``root/_checkpoints``); ``read_stream`` of a materialised table streams its files, that of a
+change target its change feed.
 Expectations are applied as in ``tidewater.operators.quality``.
 """
 
@@ -28,8 +29,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import merge as mg
 from ..operators import quality as q
+from ..operators import stored
 from ..streaming.runner import run_stream
 
 
@@ -67,10 +68,12 @@ class Pipeline:
             return fn
         return deco
 
-    def apply_changes(self, target: str, source: str, keys: Sequence[str], sequence_by: str, **options) -> None:
-        """D3: a SCD 1 target kept from a change source (J6-J10 options pass through)."""
-        self.specs[target] = TableSpec(target, None, cdc=dict(source=source, keys=list(keys), sequence_by=sequence_by,
-                                                                options=options))
+    def apply_changes(self, target: str, source: str, keys: Sequence[str], sequence_by: str, expected_bytes: int = 0,
+                      partition_cols: Sequence[str] = (), **options) -> None:
+        """D3: a SCD 1 target kept from a change source (J6-J10 options pass through), in buckets for ``expected_bytes`` of rows
+        in a partition. Every micro-batch rewrites the places that it touches and appends what changed to the target's feed."""
+        self.specs[target] = TableSpec(target, None, partition_cols=tuple(partition_cols),
+                                       cdc=dict(source=source, keys=list(keys), sequence_by=sequence_by, bytes=expected_bytes, options=options))
 
     # ---------------------------------------------------------------- reading
     def path(self, name: str) -> str:
@@ -79,11 +82,18 @@ class Pipeline:
     def read(self, name: str) -> DataFrame:
         """Batch read of another table of the pipeline (built first if needed)."""
         self._build(name)
-        return self.spark.read.parquet(self.path(name))
+        cdc = self.specs[name].cdc
+        if cdc is None:
+            return self.spark.read.parquet(self.path(name))
+        table = self.change_target(name)
+        return table.read() if table.exists() else self.read(cdc["source"]).limit(0)
 
     def read_stream(self, name: str) -> DataFrame:
-        """Incremental read of another table of the pipeline (its files as a stream)."""
+        """Incremental read of another table of the pipeline: its files as a stream, or for a change target the rows that
+        each of its micro-batches changed (``_change``, ``_commit``); no file that a stream may read is ever overwritten."""
         self._build(name)
+        if self.specs[name].cdc is not None:
+            return self.change_target(name).read_changes(stream=True)
         schema = self.spark.read.parquet(self.path(name)).schema
         return self.spark.readStream.schema(schema).parquet(self.path(name))
 
@@ -126,16 +136,14 @@ class Pipeline:
                 w.parquet(self.path(name))
         self._state[name] = "done"
 
+    def change_target(self, name: str) -> stored.BucketedTable:
+        spec = self.specs[name]
+        return stored.BucketedTable.for_size(self.spark, self.path(name), spec.cdc["keys"], spec.cdc["bytes"], partition_by=spec.partition_cols, feed=True)
+
     def _build_cdc(self, spec: TableSpec) -> None:
-        c = spec.cdc
-        table = mg.BucketedTable(self.spark, f"{self.path(spec.name)}__state", c["keys"], n_buckets=16)
+        c, table = spec.cdc, self.change_target(spec.name)
         src = self.read_stream(c["source"])
 
         def apply(batch: DataFrame, batch_id: int) -> None:
             table.apply_changes(batch, sequence_by=c["sequence_by"], **c["options"])
         run_stream(src, f"{self.root}/_checkpoints/{spec.name}", foreach_batch=apply)
-        # the visible table (tombstones and bookkeeping removed)
-        if table.exists():
-            table.read().write.mode("overwrite").parquet(self.path(spec.name))
-        else:
-            self.spark.read.parquet(self.path(c["source"])).limit(0).write.mode("overwrite").parquet(self.path(spec.name))

@@ -22,8 +22,10 @@ from ..operators import clean
 from ..operators import forecast as fc
 from ..operators import merge as mg
 from ..operators import quality as qual
+from ..operators import stored
 from ..operators.moving_average import latest_per_key, moving_average
 from ..session import ensure_session_conf, materialize, scratch_dir
+from ..streaming.staging import cut_times
 from . import gold
 from . import sql as Q
 
@@ -291,16 +293,17 @@ def verify_join(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- merges / CDC
-_MID, _SPLIT, _LATE = "2024-01-20", "2024-01-15", "2024-01-10"
-MERGE_CTES = (f"tgt AS (SELECT {Q.SILVER_COLS} FROM sensors WHERE MeasurementDateTime < TIMESTAMP '{_MID}'),\n"
+# the table ends at two thirds of the time span, the updates begin at one third
+MERGE_CTES = (f"tgt AS (SELECT {Q.SILVER_COLS} FROM sensors WHERE MeasurementDateTime < {Q.cut_sql(2)}),\n"
               f"upd AS (SELECT Id, MeasurementDateTime, CAST(SensorValue AS DOUBLE) + 1 AS SensorValue, SensorUnitDescription, "
-              f"SensorMeasurement, SensorLocation FROM sensors WHERE MeasurementDateTime >= TIMESTAMP '{_LATE}')")
+              f"SensorMeasurement, SensorLocation FROM sensors WHERE MeasurementDateTime >= {Q.cut_sql(1)})")
 
 
 def _merge_inputs(spark, sf_dir):
     s = _silver(spark, sf_dir).withColumn("SensorValue", F.col("SensorValue").cast("double"))
-    tgt = s.filter(F.col("MeasurementDateTime") < F.lit(_MID).cast("timestamp_ntz"))
-    upd = (s.filter(F.col("MeasurementDateTime") >= F.lit(_LATE).cast("timestamp_ntz"))
+    early, late = cut_times(s, "MeasurementDateTime")
+    tgt = s.filter(F.col("MeasurementDateTime") < F.lit(late).cast("timestamp_ntz"))
+    upd = (s.filter(F.col("MeasurementDateTime") >= F.lit(early).cast("timestamp_ntz"))
             .withColumn("SensorValue", F.col("SensorValue") + 1))
     return tgt, upd
 
@@ -347,7 +350,7 @@ def _cdc_feed(spark, sf_dir):
 def _apply_in_batches(spark, sf_dir, **kw):
     """Apply the feed as two batches split by time, the later batch first (late data)."""
     feed = _cdc_feed(spark, sf_dir)
-    cut = F.lit(_SPLIT).cast("timestamp_ntz")
+    cut = F.lit(cut_times(feed, "ts", 2)[0]).cast("timestamp_ntz")
     late, early = feed.filter(F.col("ts") >= cut), feed.filter(F.col("ts") < cut)
     common = dict(keys=CDC_KEYS, sequence_by="ts", tiebreak=["event_id"])
     common.update(kw)
@@ -577,8 +580,8 @@ def ma_short_long(spark, sf_dir):
 _STORED_KEYS = ["user_id", "event_type"]
 
 
-def _stored(spark, name: str, **kw) -> mg.BucketedTable:
-    return mg.BucketedTable(spark, f"{scratch_dir(spark, name)}/table", _STORED_KEYS, n_buckets=4, **kw)
+def _stored(spark, name: str, **kw) -> stored.BucketedTable:
+    return stored.BucketedTable(spark, f"{scratch_dir(spark, name)}/table", _STORED_KEYS, n_buckets=4, **kw)
 
 
 def _events(spark, sf_dir):
@@ -618,9 +621,19 @@ def stored_truncate(spark, sf_dir):
     kw = dict(sequence_by=["ts", "event_id"], apply_as_truncates="event_type = 'error'")
     table.apply_changes(ev.filter("event_type <> 'error'"), **kw)
     table.apply_changes(ev.filter("event_type = 'error'"), **kw)
-    out = table.read()
-    cut = ev.filter("event_type = 'error'").agg(F.max("ts")).scalar()
-    return out.filter(F.col("ts") > cut).select("user_id", "event_type", "ts", "event_id", "value")
+    return table.read().select("user_id", "event_type", "ts", "event_id", "value")
+
+
+@register("stored_scd2_late", ORACLES["scd2_history"])
+def stored_scd2_late(spark, sf_dir):
+    """J11 on a stored table: the feed arrives in three batches, the middle of it last and part of it twice; late changes cut the
+    intervals that are already stored."""
+    feed = _cdc_feed(spark, sf_dir)
+    third = F.pmod(F.xxhash64("event_id"), F.lit(3))
+    table = stored.Scd2Table(spark, f"{scratch_dir(spark, 'scd2')}/table", CDC_KEYS, n_buckets=4)
+    for part in (feed.filter(third == 0), feed.filter(third == 2), feed.filter(third >= 1)):
+        table.apply(part, "ts", ["event_id"], apply_as_deletes=_DEL_COND)
+    return table.read().select("user_id", "event_type", "event_id", "value", "__START_AT", "__END_AT", "__IS_CURRENT")
 
 
 @register("id_no_collision", "SELECT count(*) AS num_rows, count(*) AS num_ids FROM (SELECT DISTINCT event_type, user_id, event_id FROM events)")

@@ -158,3 +158,8 @@ def gold_daily_verified_sql(verified: dict[str, str], hourly: bool = True) -> st
   CAST(lo AS DOUBLE) AS Lowest, round(mean_reading, 6) AS Midpoint, CAST(hi AS DOUBLE) AS Highest,
   0 AS HasForecast, CAST(NULL AS DOUBLE) AS AvgDailyForecast
 FROM daily d LEFT JOIN ids USING (SensorLocation, SensorMeasurement, MDate)""", hourly=hourly, extra_ctes=_daily_ctes(verified))
+
+
+def cut_sql(i: int, parts: int = 3, col: str = "MeasurementDateTime", table: str = "sensors") -> str:
+    """The i-th of the times that cut a table's span into equal parts, in whole microseconds."""
+    return f"(SELECT make_timestamp(MIN(epoch_us({col})) + (MAX(epoch_us({col})) - MIN(epoch_us({col}))) * {i} // {parts}) FROM {table})"

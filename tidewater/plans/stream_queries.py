@@ -11,7 +11,7 @@ from .. import fixtures as fx
 from .. import schemas as S
 from ..operators import aggregates as agg
 from ..operators import clean
-from ..operators import merge as mg
+from ..operators import stored
 from ..session import scratch_dir
 from ..sources import files, envelope as env
 from ..sources import sinks
@@ -19,7 +19,7 @@ from ..sources.copy_into import copy_into, read_loaded
 from ..sources.files import TS_FORMAT, stream_csv
 from ..streaming import operators as so
 from ..streaming.runner import run_stream
-from ..streaming.staging import chunks, stage
+from ..streaming.staging import chunks, cut_times, stage
 from . import registry as R
 from . import sql as Q
 
@@ -139,7 +139,7 @@ def stream_upsert(spark, sf_dir):
     buckets rewritten)."""
     root = scratch_dir(spark, "upsert")
     tgt, upd = R._merge_inputs(spark, sf_dir)
-    table = mg.BucketedTable(spark, f"{root}/silver", ["Id"], n_buckets=16)
+    table = stored.BucketedTable(spark, f"{root}/silver", ["Id"], n_buckets=16)
     table.upsert(tgt)
     ckpt, inp = f"{root}/_checkpoint", f"{root}/input"
     for _ in stage(upd, inp, TS):
@@ -155,7 +155,7 @@ def stream_apply_changes(spark, sf_dir):
     """A change feed applied per micro-batch to a bucketed SCD 1 table."""
     root = scratch_dir(spark, "cdc")
     feed = R._cdc_feed(spark, sf_dir)
-    table = mg.BucketedTable(spark, f"{root}/silver", R.CDC_KEYS, n_buckets=16)
+    table = stored.BucketedTable(spark, f"{root}/silver", R.CDC_KEYS, n_buckets=16)
     ckpt, inp = f"{root}/_checkpoint", f"{root}/input"
 
     def apply(batch, batch_id):
@@ -167,6 +167,32 @@ def stream_apply_changes(spark, sf_dir):
     return table.read().drop("event_id")
 
 
+_FEED_SQL = Q.with_sensors(
+    "SELECT user_id, event_type, CASE WHEN NOT is_delete THEN ts END AS ts, CASE WHEN NOT is_delete THEN value END AS value, "
+    "CASE WHEN is_delete THEN 'delete' WHEN COALESCE(was_deleted, TRUE) THEN 'insert' ELSE 'update' END AS _change, _commit "
+    "FROM steps WHERE NOT (is_delete AND COALESCE(was_deleted, TRUE))",
+    extra_ctes=R.CDC_FEED_SQL + ",\nspan AS (SELECT MIN(epoch_us(ts)) AS low, MAX(epoch_us(ts)) AS high FROM feed), "
+    "dropped AS (SELECT feed.*, CASE WHEN epoch_us(ts) < low + (high - low) // 3 THEN 0 WHEN epoch_us(ts) < low + (high - low) * 2 // 3 THEN 1 ELSE 2 END::BIGINT AS _commit FROM feed, span), "
+    "lasts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type, _commit ORDER BY ts DESC, event_id DESC) AS k FROM dropped) WHERE k = 1), "
+    "steps AS (SELECT *, lag(is_delete) OVER (PARTITION BY user_id, event_type ORDER BY _commit) AS was_deleted FROM lasts)")
+
+
+@R.register("pipeline_change_feed", _FEED_SQL)
+def pipeline_change_feed(spark, sf_dir):
+    """A change target fed by three drops; a further table streams the target's change feed, run by run (inserted, updated and
+    deleted keys of each merge). The target's files are never overwritten under that stream."""
+    from .pipeline import Pipeline
+    root = scratch_dir(spark, "change-feed")
+    feed = R._cdc_feed(spark, sf_dir)
+    p = Pipeline(spark, f"{root}/tables")
+    p.table(name="changes")(lambda: spark.readStream.schema(feed.schema).parquet(f"{root}/in"))
+    p.apply_changes(target="current", source="changes", keys=R.CDC_KEYS, sequence_by="ts", tiebreak=["event_id"], apply_as_deletes=R._DEL_COND, except_column_list=["raw_value"])
+    p.table(name="log")(lambda: p.read_stream("current"))
+    for _ in stage(feed, f"{root}/in", "ts"):
+        p.run()
+    return spark.read.parquet(p.path("log")).select(*R.CDC_KEYS, "ts", "value", "_change", F.col("_commit").cast("long").alias("_commit"))
+
+
 # --------------------------------------------------------------------------- joins
 _IJ_SQL = ("SELECT wt.Id AS Id, wt.SensorLocation AS SensorLocation, wt.MeasurementDateTime AS MeasurementDateTime, "
            "att.Id AS AirId, att.MeasurementDateTime AS AirTime FROM "
@@ -309,7 +335,7 @@ def stream_late_drop(spark, sf_dir):
     root = scratch_dir(spark, "late")
     silver, inp = _silver_stream_source(spark, sf_dir, root)
     parts = chunks(silver, TS)
-    late = parts[0].filter(F.col(TS) < F.lit("2024-01-06").cast("timestamp"))
+    late = parts[0].filter(F.col(TS) < F.lit(cut_times(silver, TS, 6)[0]).cast("timestamp"))
     parts[-1] = parts[-1].unionByName(late)
     out, ckpt = f"{root}/windows", f"{root}/_checkpoint"
     dropped = 0
@@ -332,7 +358,7 @@ def stream_agg_update(spark, sf_dir):
     complete result."""
     root = scratch_dir(spark, "agg-update")
     silver, inp = _silver_stream_source(spark, sf_dir, root)
-    table = mg.BucketedTable(spark, f"{root}/totals", ["SensorLocation", "SensorMeasurement"], n_buckets=4)
+    table = stored.BucketedTable(spark, f"{root}/totals", ["SensorLocation", "SensorMeasurement"], n_buckets=4)
     ckpt = f"{root}/_checkpoint"
 
     def merge(batch, batch_id):

@@ -17,7 +17,7 @@ from ..session import scratch_dir
 from ..sources import files, sinks
 from ..sources.audit import AuditLog
 from ..streaming.runner import run_stream
-from ..streaming.staging import DEFAULT_BOUNDS, chunks, stage
+from ..streaming.staging import chunks, stage
 from . import gold
 from . import registry as R
 from . import sql as Q
@@ -57,7 +57,7 @@ def partition_prune(spark, sf_dir):
 
 
 @R.register("schema_evolution_union", Q.with_sensors(
-    f"SELECT {Q.SILVER_COLS}, CASE WHEN MeasurementDateTime >= TIMESTAMP '{DEFAULT_BOUNDS[0]}' THEN payload END AS payload "
+    f"SELECT {Q.SILVER_COLS}, CASE WHEN MeasurementDateTime >= {Q.cut_sql(1)} THEN payload END AS payload "
     "FROM sensors"))
 def schema_evolution_union(spark, sf_dir):
     """K6: later writes add a column; the folder read with merged schema (NULL before)."""
@@ -174,8 +174,7 @@ def compact_zorder(spark, sf_dir):
 
 
 def _chunk_case(col: str) -> str:
-    b = DEFAULT_BOUNDS
-    return (f"CAST(CASE WHEN {col} < TIMESTAMP '{b[0]}' THEN 0 WHEN {col} < TIMESTAMP '{b[1]}' THEN 1 ELSE 2 END AS BIGINT)")
+    return f"CAST(CASE WHEN {col} < {Q.cut_sql(1)} THEN 0 WHEN {col} < {Q.cut_sql(2)} THEN 1 ELSE 2 END AS BIGINT)"
 
 
 @R.register("batch_audit", Q.with_sensors(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import aggregates as agg
-from ..operators import merge as mg
+from ..operators import stored
 
 
 def as_event_time(df: DataFrame, col: str = "MeasurementDateTime") -> DataFrame:
@@ -96,7 +96,7 @@ def window_join(left: DataFrame, right: DataFrame, size: str, keys: Sequence[str
                     "left_count", "right_count")
 
 
-def upsert_batches(table: mg.BucketedTable, sequence_by: str | None = None, tiebreak: Sequence[str] = ()):
+def upsert_batches(table: stored.BucketedTable, sequence_by: str | None = None, tiebreak: Sequence[str] = ()):
     """``foreachBatch`` function merging each micro-batch into a bucketed table
     (with ``sequence_by`` the latest row of a key wins, in the batch and against the table; without
     it a batch with two rows for a key is refused)."""

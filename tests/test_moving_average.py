@@ -45,3 +45,20 @@ def test_window_equals_brute_force(spark):
 def test_bucket_must_exceed_frame(spark):
     with pytest.raises(ValueError):
         moving_average_halo(_frame(spark, 10, 1), frames={"m": 365}, bucket_rows=300)
+
+
+@pytest.mark.parametrize("partitions,k", [(40, 30), (7, 100), (3, 3)])
+def test_partitions_shorter_than_a_frame_chain(spark, tmp_path, partitions, k):
+    """Frames that reach over several range partitions; nulls, single-row series, values whose sums pass 64 bits."""
+    big = Decimal(9 * 10**15)
+    rows = [(i, i // 2, None if i % 7 == 0 else big - i if i % 3 else -big, None if i < 40 else f"s{i % 50 if i > 290 else 0}") for i in range(300)]
+    df = spark.createDataFrame(rows, "Id int, MeasurementDateTime int, SensorValue decimal(18,2), s string")
+    frames = {"ma": k, "ma1": 1}
+    a = moving_average_window(df, frames=frames, partition_by=("s",))
+    b = moving_average_halo(df, frames=frames, partition_by=("s",), bucket_rows=k + 1, num_partitions=partitions, work_dir=str(tmp_path / "w"))
+    assert sorted(map(tuple, a.select("Id", "ma", "ma1").collect())) == sorted(map(tuple, b.select("Id", "ma", "ma1").collect()))
+
+
+def test_empty_table(spark, tmp_path):
+    df = spark.createDataFrame([], "Id int, MeasurementDateTime timestamp_ntz, SensorValue decimal(18,2)")
+    assert moving_average_halo(df, work_dir=str(tmp_path / "w")).count() == 0

@@ -36,14 +36,19 @@ def test_sensor_filter_prunes_partitions_and_columns(spark, tmp_path):
     assert "SensorUnitDescription" not in p.split("ReadSchema:")[1].split("\n")[0]
 
 
-def test_halo_window_is_partitioned_by_bucket(spark, tmp_path):
+def test_halo_shuffles_all_rows_once(spark, tmp_path):
+    """The written rows are read without an exchange; only first and last rows of partitions move again, to buckets."""
     silver = _partitioned_silver(spark, tmp_path)
     df = gold.ma_table(silver, None, gold.AIR_FRAMES, partition_by=("SensorMeasurement",),
-                       bucket_rows=512, work_dir=str(tmp_path / "w"))
+                       bucket_rows=512, num_partitions=4, work_dir=str(tmp_path / "w"))
     p = plan_of(df)
     assert "hashpartitioning(SensorMeasurement" in p and "_b#" in p
-    # the only single-partition step is the per-partition offset table (one row per partition)
+    # the only single-partition step is the table of offsets (one row per partition)
     assert p.count("Arguments: SinglePartition") <= 1
+    tree = p.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 3 and "Window" not in tree.split("Scan parquet")[0]  # union: the first child is a plain scan
+    edges = spark.read.parquet(str(tmp_path / "w")).filter("_head OR _end IS NOT NULL").count()
+    assert edges <= 2 * 365 * 4
 
 
 def test_gold_daily_has_no_pairwise_join(spark):

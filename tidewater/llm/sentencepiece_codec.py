@@ -147,7 +147,6 @@ class Codec:
         if MARKER in words:  # by itself only at the end of a text; sentencepiece gives an empty text no marker
             theirs[words.index(MARKER)] = [self.reference.piece_to_id(MARKER)]
         agrees = [a == b for a, b in zip(ids, theirs, strict=True)]
-        ids = theirs  # equal wherever ``agrees`` holds; sentencepiece decides elsewhere
         self.words.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
         self.flat = np.concatenate((self.flat, np.array([i for x in ids for i in x], dtype=np.int32)))
         self.sizes += map(len, ids)
@@ -188,7 +187,7 @@ class Codec:
 
 def sentencepiece_codec(docs: DataFrame, model_file: str, keep: list[str], text_col: str = "text", threads: int = 2) -> DataFrame:
     """The columns in ``keep`` and ``ids`` (array of int), ``n_tokens``, ``decoded``, ``round_trip`` (decoding gives the normalised
-    text) and ``parity`` (tokenizers and sentencepiece agree on every word; where they don't, the ids are sentencepiece's).
+    text) and ``parity`` (tokenizers and sentencepiece agree on every word; the ids are the tokenizers library's either way).
 
     Whole texts; a null text is empty, an empty text has no tokens. A marker character in a text decodes as a space, in either
     library. Equal rows give equal results; an empty table an empty one; other columns are ignored. The model file is read once,

@@ -61,7 +61,8 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold(ident: str, folds: int) -> Column:
-    return F.crc32(F.col(ident).cast("string")) % folds
+    """Remainder of the crc32 of the id as text; a row without an id counts as one with an empty text (remainder 0)."""
+    return F.crc32(F.coalesce(F.col(ident).cast("string"), F.lit(""))) % folds
 
 
 def op8_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

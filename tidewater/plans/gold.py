@@ -12,6 +12,7 @@ from .. import schemas as S
 from ..functions.timewin import day
 from ..operators import forecast as fc
 from ..operators.moving_average import moving_average
+from ..session import materialize
 
 # Output names of the gold tables.
 AIR_FRAMES = {"TempShortMovingAverage": 30, "TempLongMovingAverage": 365}
@@ -60,9 +61,13 @@ def gold_daily(silver: DataFrame, verified: Mapping[str, tuple[str, DataFrame]],
     timestamp (with a literal on the left side only) and aggregates the joined rows, so
     RecordsInDay and Midpoint count a reading once per matching right row.
     ``keep_join_fanout=True`` returns exactly those numbers, ``False`` the per-reading
-    ones.  Neither form materialises the joined pairs: each right table is reduced to
-    one row per timestamp (its row count) and joined 1:1, and the distinct-id counts join
-    the right ids to the distinct left (location, measurement, day, time) keys.
+    ones.
+
+    No joined pair is ever made. Silver is reduced to one row per (location, measurement, time) and the right tables
+    to one per (measurement, time, id), each read once. A distinct id of a day that stands at one time only is
+    counted at that time, as a number that every location with a reading then adds up. Ids that stand at several
+    times of a day are grouped into classes with the same times; a class is looked up through one of its ids and
+    counted once per location.
 
     ``verified``: output column -> (sensor literal, per-sensor table with MeasurementDateTime, Id).
     """
@@ -70,40 +75,39 @@ def gold_daily(silver: DataFrame, verified: Mapping[str, tuple[str, DataFrame]],
     if len(set(lits)) != len(lits):
         raise ValueError("each verified table needs its own sensor literal")
     L, M, TS, V = "SensorLocation", "SensorMeasurement", "MeasurementDateTime", "SensorValue"
-    s = silver.select(L, M, TS, V)
-
-    if keep_join_fanout:
-        # rows per (sensor literal, time) over all right tables: one aggregate, one row per key
-        rights = None
-        for lit, right in verified.values():
-            r = right.select(F.lit(lit).alias(M), TS)
-            rights = r if rights is None else rights.unionByName(r)
-        mult = rights.groupBy(M, TS).agg(F.count(F.lit(1)).alias("_c"))
-        s = s.join(mult, [M, TS], "left").withColumn("_m", F.coalesce(F.col("_c"), F.lit(1)).cast("long"))
-    else:
-        s = s.withColumn("_m", F.lit(1).cast("long"))
-
-    v = F.col(V)
-    r1 = s.groupBy(L, M, _day(F.col(TS)).alias("MDate")).agg(
-        F.min(v).cast("double").alias("Lowest"),
-        F.max(v).cast("double").alias("Highest"),
-        F.round(F.try_divide(F.sum(v * F.col("_m")).cast("double"),
-                             F.sum(F.when(v.isNotNull(), F.col("_m"))).cast("double")), 6).alias("Midpoint"),
-        F.sum("_m").alias("RecordsInDay"))
-
-    # distinct verified ids per (location, measurement, day)
-    ids = None
+    v, date = F.col(V), _day(F.col(TS)).alias("MDate")
+    base = silver.groupBy(L, M, TS).agg(F.count(F.lit(1)).alias("_rows"), F.sum(v).alias("_sum"), F.count(v).alias("_values"), F.min(v).alias("_low"), F.max(v).alias("_high"))
+    base = materialize(base, "daily-readings")
+    rights = None
     for lit, right in verified.values():
-        r = right.select(TS, "Id").filter(F.col("Id").isNotNull()).withColumn(M, F.lit(lit))
-        ids = r if ids is None else ids.unionByName(r)
-    keys = silver.select(L, M, TS).distinct().withColumn("MDate", _day(F.col(TS)))
-    dc = (keys.join(ids, [M, TS]).groupBy(L, M, "MDate")
-              .agg(F.count_distinct("Id").alias("_dc")))
-    r1 = r1.join(dc, [L, M, "MDate"], "left")
+        r = right.select(F.lit(lit).alias(M), TS, "Id")
+        rights = r if rights is None else rights.unionByName(r)
+    rights = materialize(rights.filter(F.col(TS).isNotNull()).groupBy(M, TS, "Id").agg(F.count(F.lit(1)).alias("_c")), "daily-ids")
+
+    mix = lambda seed: F.bit_xor(F.xxhash64(TS, F.lit(seed)))
+    of_id = rights.filter(F.col("Id").isNotNull()).groupBy(M, date, "Id").agg(F.count(F.lit(1)).alias("_times"), F.min(TS).alias(TS), mix(1).alias("_h1"), mix(2).alias("_h2"))
+    alone = of_id.filter("_times = 1").groupBy(M, TS).agg(F.count(F.lit(1)).alias("_ids"))
+    at_time = rights.groupBy(M, TS).agg(F.sum("_c").alias("_c")).join(alone, [M, TS], "left")
+    s = base.join(at_time, [M, TS], "left")
+    fan = F.coalesce(F.col("_c"), F.lit(1)).cast("long") if keep_join_fanout else F.lit(1).cast("long")
+    r1 = s.groupBy(L, M, date).agg(
+        F.min("_low").cast("double").alias("Lowest"),
+        F.max("_high").cast("double").alias("Highest"),
+        F.round(F.try_divide(F.sum(F.col("_sum") * fan).cast("double"), F.sum(F.col("_values") * fan).cast("double")), 6).alias("Midpoint"),
+        F.sum(F.col("_rows") * fan).alias("RecordsInDay"),
+        F.sum(F.coalesce("_ids", F.lit(0))).alias("_alone"))
+
+    # ids at several times of a day: classes of equal times, each with the times of its smallest id
+    classes = of_id.filter("_times > 1").groupBy(M, "MDate", "_times", "_h1", "_h2").agg(F.min("Id").alias("Id"), F.count(F.lit(1)).alias("_ids"))
+    times = rights.select(M, TS, date, "Id").join(classes.select(M, "MDate", "Id", "_ids"), [M, "MDate", "Id"])
+    seen = base.select(L, M, TS).join(times, [M, TS]).groupBy(L, M, "MDate", "Id").agg(F.max("_ids").alias("_ids"))
+    several = seen.groupBy(L, M, "MDate").agg(F.sum("_ids").alias("_several"))
+    keys = [L, M, "MDate"]
+    r1 = r1.alias("a").join(several.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys], "left").select("a.*", "_several")
+    ids = F.col("_alone") + F.coalesce("_several", F.lit(0))
     for col, lit in ((c, m) for c, (m, _) in verified.items()):
-        r1 = r1.withColumn(col, F.when(F.col(M) == F.lit(lit), F.coalesce(F.col("_dc"), F.lit(0)))
-                              .otherwise(F.lit(0)).cast("long"))
-    r1 = r1.drop("_dc")
+        r1 = r1.withColumn(col, F.when(F.col(M) == F.lit(lit), ids).otherwise(F.lit(0)).cast("long"))
+    r1 = r1.drop("_alone", "_several")
 
     if forecast_view is not None:
         # one row per forecast day; the view is a top-k, so this side is bounded

@@ -536,6 +536,7 @@ def series_without_model(spark, sf_dir):
 
 
 from . import stream_queries  # noqa: E402,F401  (registers the streaming queries)
+from . import recovery_queries  # noqa: E402,F401  (registers streams that fail, restart, run side by side, serve a model)
 
 
 # --------------------------------------------------------------------------- searched forecast

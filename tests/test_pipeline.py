@@ -80,3 +80,22 @@ def test_zorder_of_long_common_prefixes_and_other_scripts(spark, tmp_path):
     df.write.parquet(str(tmp_path / "t"))
     out = layout.zorder_compact(spark, str(tmp_path / "t"), ["a", "b"], bloom={"Id": 400})
     assert sorted(r.Id for r in spark.read.parquet(out).collect()) == list(range(400))
+
+
+def test_declared_schema_comment_and_properties_reach_the_catalog(spark, tmp_path):
+    db = "tw_pipeline_test"
+    p = Pipeline(spark, str(tmp_path / "t"), database=db)
+    p.table(name="kept", schema="v double, day string", comment="it's kept", table_properties={"team": "a\\b"}, partition_cols=["day"])(
+        lambda: spark.createDataFrame([("d1", 1), ("d2", 2)], "day string, v int"))
+    p.table(name="wrong", schema="v double")(lambda: spark.createDataFrame([(1, 2)], "v int, w int"))
+    p.run(["kept"])
+    p.run(["kept"])
+    try:
+        assert spark.table(f"{db}.kept").dtypes == [("v", "double"), ("day", "string")]
+        assert sorted(map(tuple, spark.table(f"{db}.kept").collect())) == [(1.0, "d1"), (2.0, "d2")]
+        told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.kept").select("col_name", "data_type").collect()}
+        assert told["Comment"] == "it's kept" and "team=a\\b" in told["Table Properties"]
+        with pytest.raises(ValueError, match="declared with"):
+            p.run(["wrong"])
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import session_conf
 from .moving_average import latest_per_key
 
 DELETED = "_deleted"
@@ -59,6 +60,31 @@ def above_high_water(source: DataFrame, target: DataFrame, column: str) -> DataF
     return source.filter(hw.isNull() | (F.col(column) > hw))
 
 
+MARK = "_mark"
+
+
+def with_mark(df: DataFrame, column: str) -> DataFrame:
+    """The column as a whole number in ``_mark`` (microseconds for times): Parquet footers keep bounds of numbers, of times they don't."""
+    c = F.col(column)
+    return df.withColumn(MARK, F.unix_micros(c.cast("timestamp")) if "timestamp" in df.schema[column].dataType.simpleString() else c.cast("long"))
+
+
+def stored_high_water(spark, path: str) -> int | None:
+    """The largest mark of a stored table, from the footers of its files alone: Spark's Parquet scan answers the pushed
+    aggregate without reading a row. ``path``: a table written with ``with_mark``; None if it is empty."""
+    with session_conf(spark, {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}):
+        return marks(spark, path).first()[0]
+
+
+def marks(spark, path: str) -> DataFrame:
+    return spark.read.parquet(path).agg(F.max(MARK))
+
+
+def above_mark(source: DataFrame, column: str, mark: int | None) -> DataFrame:
+    """Source rows above a table's high-water mark (all of them if it has none)."""
+    return with_mark(source, column).filter(F.col(MARK) > F.lit(mark)).drop(MARK) if mark is not None else source
+
+
 def _as_cond(c: str | Column | None) -> Column | None:
     if c is None:
         return None

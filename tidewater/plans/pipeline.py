@@ -28,6 +28,8 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import quality as q
 from ..operators import stored
@@ -44,12 +46,13 @@ class TableSpec:
     expect_all_or_fail: Mapping[str, str] = field(default_factory=dict)
     expect_all: Mapping[str, str] = field(default_factory=dict)
     partition_cols: Sequence[str] = ()
+    schema: T.StructType | None = None
     cdc: dict | None = None
 
 
 class Pipeline:
-    def __init__(self, spark: SparkSession, root: str, conf: Mapping[str, str] | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, conf: Mapping[str, str] | None = None, database: str | None = None):
+        self.spark, self.root, self.database = spark, root.rstrip("/"), database
         self.conf = dict(conf or {})
         self.specs: dict[str, TableSpec] = {}
         self._state: dict[str, str] = {}      # name -> "building" | "done"
@@ -58,13 +61,18 @@ class Pipeline:
     # ---------------------------------------------------------------- definition
     def table(self, name: str | None = None, comment: str = "", table_properties: Mapping[str, str] | None = None,
               expect_all_or_drop: Mapping[str, str] | None = None, expect_all_or_fail: Mapping[str, str] | None = None,
-              expect_all: Mapping[str, str] | None = None, partition_cols: Sequence[str] = ()):
+              expect_all: Mapping[str, str] | None = None, partition_cols: Sequence[str] = (),
+              schema: T.StructType | str | None = None):
+        """Declare a table. With a ``database`` the table is entered in its catalog under its name, with comment, properties and
+        partitions. ``schema`` (a StructType or DDL) is what the table must have: its columns are cast to it, missing or further ones are an error."""
+        declared = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
         def deco(fn):
             n = name or fn.__name__
             if n in self.specs:
                 raise ValueError(f"table {n} defined twice")
             self.specs[n] = TableSpec(n, fn, comment, dict(table_properties or {}), dict(expect_all_or_drop or {}),
-                                      dict(expect_all_or_fail or {}), dict(expect_all or {}), tuple(partition_cols))
+                                      dict(expect_all_or_fail or {}), dict(expect_all or {}), tuple(partition_cols), declared)
             return fn
         return deco
 
@@ -118,6 +126,10 @@ class Pipeline:
             self._build_cdc(spec)
         else:
             df = spec.fn()
+            if spec.schema is not None:
+                if set(df.columns) != set(spec.schema.names):
+                    raise ValueError(f"table {name} is declared with columns {spec.schema.names}, its query has {df.columns}")
+                df = df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in spec.schema])
             if spec.expect_all_or_drop:
                 df = q.expect_or_drop(df, spec.expect_all_or_drop)
             if spec.expect_all_or_fail:
@@ -134,8 +146,24 @@ class Pipeline:
                 if spec.partition_cols:
                     w = w.partitionBy(*spec.partition_cols)
                 w.parquet(self.path(name))
+            if self.database:
+                self._enter(spec, df.schema)
         self._state[name] = "done"
 
+    def _enter(self, spec: TableSpec, schema: T.StructType) -> None:
+        """Enter a built table in the catalog, anew if its entry differs; the files stay where they are."""
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        full = f"{self.database}.{spec.name}"
+        self.spark.sql(f"DROP TABLE IF EXISTS {full}")   # external: only the entry goes
+        quoted = lambda text: "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in spec.partition_cols)})" if spec.partition_cols else ""
+        comment = f" COMMENT {quoted(spec.comment)}" if spec.comment else ""
+        props = f" TBLPROPERTIES ({', '.join(f'{quoted(k)} = {quoted(v)}' for k, v in spec.properties.items())})" if spec.properties else ""
+        self.spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet{parts} LOCATION {quoted(self.path(spec.name))}{comment}{props}")
+        if spec.partition_cols:
+            self.spark.catalog.recoverPartitions(full)
+
     def change_target(self, name: str) -> stored.BucketedTable:
         spec = self.specs[name]
         return stored.BucketedTable.for_size(self.spark, self.path(name), spec.cdc["keys"], spec.cdc["bytes"], partition_by=spec.partition_cols, feed=True)

@@ -327,9 +327,11 @@ def merge_insert_only(spark, sf_dir):
 @register("incremental_high_water", Q.with_sensors(
     "SELECT * FROM upd WHERE MeasurementDateTime > (SELECT MAX(MeasurementDateTime) FROM tgt)", extra_ctes=MERGE_CTES))
 def incremental_high_water(spark, sf_dir):
-    """Source rows newer than the newest target row."""
+    """Source rows newer than the newest target row, which the target's Parquet footers tell."""
     tgt, upd = _merge_inputs(spark, sf_dir)
-    return mg.above_high_water(upd, tgt, "MeasurementDateTime")
+    path = f"{scratch_dir(spark, 'high-water')}/t"
+    mg.with_mark(tgt, "MeasurementDateTime").write.parquet(path)
+    return mg.above_mark(upd, "MeasurementDateTime", mg.stored_high_water(spark, path))
 
 
 # change feed: key (user_id, event_type), sequence ts, tiebreak event_id; values below 5
@@ -520,19 +522,19 @@ def forecast_mean_metrics(spark, sf_dir):
     return m.select(*[F.round(c, 6).alias(c) for c in m.columns])
 
 
-MIN_HISTORY = 24  # hourly points a series needs for a model
-
-
 @register("series_without_model", Q.with_sensors(
-    "SELECT ts_id FROM (SELECT SensorMeasurement || '-' || CAST(user_id AS VARCHAR) AS ts_id, "
-    "COUNT(DISTINCT date_trunc('hour', MeasurementDateTime)) AS n FROM sensors GROUP BY 1) "
-    f"WHERE n < {MIN_HISTORY}"))
+    "SELECT DISTINCT ts_id FROM named WHERE ts_id NOT IN (SELECT ts_id FROM named WHERE MeasurementDateTime < " + Q.cut_sql(1, 10) + " AND SensorValue IS NOT NULL)",
+    extra_ctes="named AS (SELECT *, SensorMeasurement || '-' || CAST(user_id AS VARCHAR) AS ts_id FROM sensors)"))
 def series_without_model(spark, sf_dir):
-    """Per-(sensor, user) series that got no model (too little history)."""
+    """Per-(sensor, user) series that the stored models don't cover: the models were fitted on the first tenth of the time
+    span, and a fit without values has failed."""
+    from ..streaming import serving
     s = fx.sensors(spark, sf_dir, with_user=True)
-    series = fc.hourly_series(s, id_cols=("SensorMeasurement", "user_id"))
-    models = fc.series_span(series).filter(F.col("n_obs") >= MIN_HISTORY)
-    return fc.series_without_model(series, models)
+    past = s.filter(F.col("MeasurementDateTime") < F.lit(cut_times(s, "MeasurementDateTime", 10)[0]).cast("timestamp_ntz"))
+    path = f"{scratch_dir(spark, 'models')}/m"
+    serving.store_models(serving.model_rows(fc.hourly_series(past, id_cols=("SensorMeasurement", "user_id"))), path)
+    fitted = serving.newest_models(spark, path).filter(F.get_json_object("model_json", "$.intercept").isNotNull())
+    return fc.series_without_model(fc.hourly_series(s, id_cols=("SensorMeasurement", "user_id")), fitted)
 
 
 from . import stream_queries  # noqa: E402,F401  (registers the streaming queries)

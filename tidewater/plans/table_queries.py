@@ -13,9 +13,10 @@ from .. import schemas as S
 from ..operators import aggregates as agg
 from ..operators import clean
 from ..operators import layout
-from ..session import scratch_dir
+from ..session import scratch_dir, shuffle_partitions
 from ..sources import files, sinks
 from ..sources.audit import AuditLog
+from ..streaming import operators as so
 from ..streaming.runner import run_stream
 from ..streaming.staging import chunks, stage
 from . import gold
@@ -152,9 +153,11 @@ def migrate_tables(spark, sf_dir):
     src, dst = _db(spark, root, "src"), _db(spark, root, "dst")
     silver = R._silver(spark, sf_dir)
     silver.write.saveAsTable(f"{src}.silver")
-    clean.route(silver, S.AIR_TEMP).write.saveAsTable(f"{src}.air")
+    clean.route(silver, S.AIR_TEMP).write.partitionBy("SensorLocation").saveAsTable(f"{src}.air")
     spark.sql(f"CREATE VIEW {src}.air_view AS SELECT * FROM {src}.air")
     copied = sinks.copy_tables(spark, src, dst)
+    if [c.name for c in spark.catalog.listColumns(f"{dst}.air") if c.isPartition] != ["SensorLocation"]:
+        raise AssertionError("the copy lost its partitions")
     parts = [spark.table(f"{dst}.{t}").agg(F.count(F.lit(1)).alias("num_rows")).withColumn("table_name", F.lit(t))
              for t in copied]
     out = parts[0]
@@ -173,6 +176,21 @@ def compact_zorder(spark, sf_dir):
     return spark.read.parquet(new)
 
 
+@R.register("compact_incremental", SILVER_SQL)
+def compact_incremental(spark, sf_dir):
+    """Three appends, compacted after the second and the third; the second run reads and rewrites the third append only."""
+    root = scratch_dir(spark, "clustered")
+    table = layout.ClusteredTable(spark, f"{root}/silver", [TS, "SensorLocation"])
+    made = []
+    for i, part in enumerate(chunks(R._silver(spark, sf_dir), TS)):
+        table.append(part.repartition(10))
+        if i:
+            made.append(table.compact())
+    if list(table.parts()) != made or table.compact() is not None:
+        raise AssertionError("a second run was to add to the clustered parts")
+    return table.read()
+
+
 def _chunk_case(col: str) -> str:
     return f"CAST(CASE WHEN {col} < {Q.cut_sql(1)} THEN 0 WHEN {col} < {Q.cut_sql(2)} THEN 1 ELSE 2 END AS BIGINT)"
 
@@ -204,10 +222,14 @@ def batch_audit(spark, sf_dir):
 PIPELINE_ROUTES = {k: v for k, v in S.DEFAULT_ROUTES.items() if v != S.WATER_DEPTH_FEET}
 
 
+# one rule set per generated table: what is plausible for a sensor
+ROUTE_RULES = {r: {"plausible": f"SensorValue > {6 + i}"} for i, r in enumerate(PIPELINE_ROUTES)}
+
+
 def _pipeline_sql() -> str:
     """Totals of all cleaned rows and of each route's current rows, by table."""
     clean_rows = f"SensorMeasurement <> '{S.WATER_DEPTH_FEET}' AND SensorValue >= 5"
-    parts = [("totals", clean_rows)] + [(f"{r}_totals", f"{clean_rows} AND SensorMeasurement = '{m}'") for r, m in PIPELINE_ROUTES.items()]
+    parts = [("totals", clean_rows)] + [(f"{r}_totals", f"{clean_rows} AND SensorMeasurement = '{m}' AND {ROUTE_RULES[r]['plausible']}") for r, m in PIPELINE_ROUTES.items()]
     return Q.with_sensors("\nUNION ALL ".join(
         f"SELECT '{name}' AS table_name, * FROM ({R.AGG_SQL.replace('FROM sensors', f'FROM sensors WHERE {cond}')})" for name, cond in parts))
 
@@ -215,7 +237,7 @@ def _pipeline_sql() -> str:
 @R.register("pipeline_run", _pipeline_sql())
 def pipeline_run(spark, sf_dir):
     """A pipeline driven by the route config. CSV files are cleaned by rules into ``cleaned``; each route gets a stream
-    cut from it, a table of current rows kept by key and time, and totals of those; ``totals`` and ``windows`` cover
+    cut from it with rules of its own, a table of current rows kept by key and time, and totals of those; ``totals`` and ``windows`` cover
     all rows. Returns the totals of every table that has some."""
     root = scratch_dir(spark, "pipeline")
     R._raw(spark, sf_dir).write.option("header", "true").option("timestampFormat", files.TS_FORMAT).csv(f"{root}/landing")
@@ -230,7 +252,7 @@ def pipeline_run(spark, sf_dir):
 
     define("cleaned", cleaned, expect_all_or_drop=not_null(TS, "SensorValue"))
     for route, sensor in PIPELINE_ROUTES.items():
-        define(route, lambda sensor=sensor: clean.route(p.read_stream("cleaned"), sensor))
+        define(route, lambda sensor=sensor: clean.route(p.read_stream("cleaned"), sensor), expect_all_or_drop=ROUTE_RULES[route])
         p.apply_changes(target=f"{route}_current", source=route, keys=["Id"], sequence_by=TS)
         define(f"{route}_totals", lambda route=route: agg.sensor_totals(p.read(f"{route}_current")))
     define("totals", lambda: agg.sensor_totals(p.read("cleaned")), expect_all_or_drop=not_null("SensorLocation", "SensorMeasurement"))
@@ -243,6 +265,31 @@ def pipeline_run(spark, sf_dir):
     return out
 
 
+_HIGH = "AvgSensorValue > 20"
+
+
+@R.register("pipeline_windows", Q.with_sensors(
+    "SELECT * FROM (" + R._window_sql(10, 5) + ") WHERE window_end <= (SELECT MAX(MeasurementDateTime) FROM sensors) - INTERVAL 10 MINUTE AND " + _HIGH))
+def pipeline_windows(spark, sf_dir):
+    """A pipeline whose windows are a stream with drop rules of their own, over three drops; the table is declared with a schema and entered
+    in the catalog with comment and properties."""
+    root = scratch_dir(spark, "pipeline-windows")
+    silver = R._silver(spark, sf_dir).withColumn(TS, F.col(TS).cast("timestamp"))
+    db = _db(spark, root, "tw")
+    p = Pipeline(spark, f"{root}/tables", database=db)
+    p.table(name="silver")(lambda: spark.readStream.schema(silver.schema).parquet(f"{root}/in"))
+    schema = "SensorLocation string, SensorMeasurement string, window_start timestamp, window_end timestamp, AvgSensorValue double, NumMeasurements long, HighestSensorValue double, LowestSensorValue double"
+    p.table(name="windows", schema=schema, comment="10-minute statistics", table_properties={"quality": "gold"}, expect_all_or_drop={"high": _HIGH, "placed": "SensorLocation IS NOT NULL"})(
+        lambda: so.windowed_stats(p.read_stream("silver"), "10 minutes", "10 minutes", "5 minutes"))
+    with shuffle_partitions(spark, spark.sparkContext.defaultParallelism):
+        for _ in stage(silver, f"{root}/in", TS):
+            p.run()
+    told = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {db}.windows").select("col_name", "data_type").collect()}
+    if told["Comment"] != "10-minute statistics" or "quality=gold" not in told["Table Properties"]:
+        raise AssertionError("comment and properties were to reach the catalog")
+    return spark.table(f"{db}.windows")
+
+
 def _landing(spark, sf_dir):
     """Rows of the raw export's columns, as they land."""
     return R._silver(spark, sf_dir).select(

@@ -91,13 +91,16 @@ def read_evolving(spark: SparkSession, path: str) -> DataFrame:
 
 
 def copy_tables(spark: SparkSession, source_db: str, target_db: str, location_root: str | None = None) -> list[str]:
-    """Copy every table (not views) of a database into another database."""
+    """Copy every table (not views) of a database into another database, with its partitioning."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {target_db}")
     copied = []
     for t in spark.catalog.listTables(source_db):
         if t.tableType == "VIEW" or t.isTemporary:
             continue
         w = spark.table(f"{source_db}.{t.name}").write.mode("overwrite").format("parquet")
+        parts = [c.name for c in spark.catalog.listColumns(f"{source_db}.{t.name}") if c.isPartition]
+        if parts:
+            w = w.partitionBy(*parts)
         if location_root:
             w = w.option("path", f"{location_root}/{target_db}/{t.name}")
         w.saveAsTable(f"{target_db}.{t.name}")

@@ -260,6 +260,63 @@ def test_exchange_raises_the_likelihood():
     assert max(pure) == 1
 
 
+def test_best_class_raises_the_likelihood_most():
+    """Against moving the word to every class and counting anew."""
+    from tidewater.llm.brown_lm import CLASSES, LAST, _table_likelihood, best_class
+    rng = np.random.default_rng(8)
+    cls, text = rng.integers(0, 6, 40), rng.integers(1, 40, 3000)
+    text = text[np.append(True, text[1:] != text[:-1])]  # no word before itself
+    cls[0] = LAST
+
+    def table(of):
+        t = np.zeros((CLASSES, CLASSES))
+        np.add.at(t, (of[text[:-1]], of[text[1:]]), 1)
+        return t
+    words = [w for w in range(1, 40, 7) if w not in (text[0], text[-1])]  # those have a neighbour on one side only
+    assert len(words) >= 4
+    for word in words:
+        at = np.flatnonzero(text[1:-1] == word) + 1
+        left, right = (np.bincount(cls[text[at + d]], minlength=CLASSES).astype(float) for d in (-1, 1))
+        moved = []
+        for c in range(LAST):
+            other = cls.copy()
+            other[word] = c
+            moved.append(_table_likelihood(table(other)))
+        assert moved[best_class(table(cls), int(cls[word]), left, right)] == pytest.approx(max(moved), rel=1e-12)
+
+
+def test_brown_scores_equal_plain_loops(spark, sf_dir):
+    """Class tables counted one by one, and every text's probability multiplied out word by word, rare and unknown words too."""
+    from tidewater.llm import brown_lm as b
+    rows = [(r.doc_id, (r.text or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")).split())
+            for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
+    train = [(i, w) for i, w in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(b, "HOT", 3e-5)  # so that there are rare words
+        model, counts = b.fit_brown(docs.where(F.crc32(F.col("doc_id").cast("string")) % 7 != 2).select(F.coalesce("text", F.lit("")).alias("txt")))
+        got = {r.doc_id: r for r in b.score_brown(docs, model, counts, ["doc_id"]).collect()}
+    memo, count = b._WordKeys(), Counter(w for _, ws in train for w in ws)
+    hot = dict(zip(model.hot_key.tolist(), model.hot_cls.tolist()))
+    assert set(hot) == {memo[w] for w, n in count.items() if n >= max(1.0, 3e-5 * model.tokens)} | {memo[w] for w, _ in sorted(count.items(), key=lambda x: (-x[1], memo[x[0]]))[:b.CORE]}
+    cls = lambda w: hot.get(memo[w], int(model.ending_cls[memo[w] & 0xFF]))
+    table = np.zeros((b.CLASSES, b.CLASSES))
+    for k, (_, ws) in enumerate(train):
+        seq = [b.LAST, *map(cls, ws), b.LAST]
+        np.add.at(table, (seq[:-1], seq[1:]), 1)
+    size, once = table.sum(axis=0), Counter(int(model.ending_cls[memo[w] & 0xFF]) for w, n in count.items() if n == 1)
+    prior = (size + 1) / (size.sum() + b.CLASSES)
+    unknown = [min((once[c] + 0.5) / (size[c] + 1), 0.5) for c in range(b.CLASSES)]
+    for i, ws in rows:
+        total, last = 0.0, b.LAST
+        for w in [*ws, None]:
+            c, n = (b.LAST, len(train)) if w is None else (cls(w), count[w])
+            total += math.log10((table[last, c] + b.CLASSES * prior[c]) / (table[last].sum() + b.CLASSES))
+            total += math.log10(unknown[c]) if not n else math.log10((1 - unknown[c]) / max(size[c], 1) * n)
+            last = c
+        assert got[i].score == pytest.approx(total, rel=1e-9)
+
+
 def test_brown_odd_rows(odd_docs, no_docs):
     assert brown_scores(no_docs, F.lit(True), ["doc_id"]).count() == 0
     out = brown_scores(odd_docs, F.col("doc_id") < 6, ["doc_id", "row"]).collect()

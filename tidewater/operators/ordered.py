@@ -22,16 +22,16 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
-ROWS_PER_PARTITION = 2_000_000
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST = 64  # times the session's partitions: estimates of joins and of unknown sources can be far too high
 
 
-def range_partitions(df: DataFrame, n_rows: int | None = None, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    """Partitions for a range shuffle: the session's shuffle partitions, or more when the
-    row count is known and large (about ``rows_per_partition`` rows each)."""
+def range_partitions(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Partitions for a range shuffle: the session's shuffle partitions, or as many more as Catalyst's size estimate asks for, so that
+    a partition's sort stays near ``partition_bytes`` on a table the session wasn't set up for."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if n_rows is None:
-        return base
-    return max(base, -(-n_rows // rows_per_partition))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(base, min(-(-size // partition_bytes), MOST * base))
 
 
 def with_global_positions(df: DataFrame, order_by: Sequence[str], num_partitions: int | None = None,

@@ -105,15 +105,17 @@ def _apart(x: np.ndarray, book: np.ndarray) -> np.ndarray:
 
 
 def calibrate(found: list[tuple[int, int, int]], recall: float) -> int | None:
-    """Visits that bring the mean recall of the probes with links (rows: probe, rank of a cell, links in it; at least LINKED probes). None if no
-    count up to MAX_VISITS is known to."""
+    """Visits that bring the recall of the probes with links (rows: probe, rank of a cell, links in it; at least LINKED probes): the mean over the probes
+    less two standard errors reaches ``recall``, so a few lucky probes don't stop the traversal early. None if no count up to MAX_VISITS is known to."""
     if not found or len({f[0] for f in found}) < LINKED:
         return None
     probe, rank, n = np.array(found, dtype=np.int64).T
     _, probe = np.unique(probe, return_inverse=True)
-    share = n / np.bincount(probe, weights=n)[probe]
-    reach = np.cumsum(np.bincount(rank, weights=share, minlength=MAX_VISITS + 1)) / (probe.max() + 1)
-    enough = np.flatnonzero(reach[:MAX_VISITS] >= recall - 1e-12)
+    share = np.zeros((probe.max() + 1, MAX_VISITS + 1))
+    np.add.at(share, (probe, rank), n / np.bincount(probe, weights=n)[probe])
+    reach = np.cumsum(share, axis=1)[:, :MAX_VISITS]
+    sure = reach.mean(axis=0) - 2 * reach.std(axis=0) / len(reach) ** 0.5
+    enough = np.flatnonzero(sure >= recall - 1e-12)
     return int(enough[0]) + 1 if len(enough) else None
 
 

@@ -38,7 +38,8 @@ def test_range_partitions_follow_the_size_estimate(spark, tmp_path):
     from tidewater.operators.ordered import range_partitions
     _hot(spark).write.parquet(str(tmp_path / "t"))
     df, base = spark.read.parquet(str(tmp_path / "t")), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert range_partitions(df) == base  # far below one partition's size
+    assert range_partitions(df) == 1  # far below one partition's size
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    assert range_partitions(df, least_bytes=size // 3 + 1) == 3 and range_partitions(df, least_bytes=1) == base
     assert range_partitions(df, partition_bytes=size // (3 * base) + 1) == 3 * base
     assert range_partitions(df, partition_bytes=1) == 64 * base

@@ -146,7 +146,7 @@ def _slide(df: DataFrame, value: str, keys: Sequence[str], frames: Mapping[str,
             if not b.num_rows:
                 continue
             averages, head = slide(b, b.column("_v"))
-            n = b.num_rows
+            n, head = b.num_rows, head & (pid > 0)  # nothing comes before the first partition
             waiting.append([*(b.column(c) for c in names), *averages.values(), pa.array(np.full(n, pid, dtype=np.int32)), pa.array(np.arange(at, at + n)), pa.array(head)])
             at += n
             while sum(len(w[0]) for w in waiting[1:]) >= k:

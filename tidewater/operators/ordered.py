@@ -22,16 +22,16 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
-PARTITION_BYTES = 256 * 1024 * 1024
+PARTITION_BYTES, LEAST_BYTES = 256 * 1024 * 1024, 4 * 1024 * 1024
 MOST = 64  # times the session's partitions: estimates of joins and of unknown sources can be far too high
 
 
-def range_partitions(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> int:
-    """Partitions for a range shuffle: the session's shuffle partitions, or as many more as Catalyst's size estimate asks for, so that
-    a partition's sort stays near ``partition_bytes`` on a table the session wasn't set up for."""
+def range_partitions(df: DataFrame, partition_bytes: int = PARTITION_BYTES, least_bytes: int = LEAST_BYTES) -> int:
+    """Partitions for a range shuffle: the session's shuffle partitions; more where Catalyst's size estimate says that a partition would
+    hold over ``partition_bytes``, fewer where it would hold under ``least_bytes`` (a range shuffle isn't coalesced at run time)."""
     base = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(base, min(-(-size // partition_bytes), MOST * base))
+    return max(min(base, -(-size // least_bytes)), min(-(-size // partition_bytes), MOST * base), 1)
 
 
 def with_global_positions(df: DataFrame, order_by: Sequence[str], num_partitions: int | None = None,

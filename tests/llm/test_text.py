@@ -260,6 +260,59 @@ def test_exchange_raises_the_likelihood():
     assert max(pure) == 1
 
 
+def test_merges_lose_least():
+    """Brown's merges against counting the information of every possible merge anew."""
+    from tidewater.llm.brown_lm import merge_losses, merge_paths, merge_units
+    rng = np.random.default_rng(5)
+    kind = rng.integers(0, 3, 30)
+    pairs = rng.poisson(np.where((kind[:, None] + 1) % 3 == kind[None, :], 9.0, 1.0)).astype(float)
+    pairs[20] = pairs[:, 20] = 0  # never occurs
+    n, classes = 30, 5
+    rows, cols = pairs.sum(axis=1), pairs.sum(axis=0)
+
+    def information(groups):
+        total = 0.0
+        for a in groups:
+            for b in groups:
+                t = pairs[np.ix_(a, b)].sum()
+                total += t * math.log(t / (rows[a].sum() * cols[b].sum())) if t else 0.0
+        return total
+
+    def merged(groups, i, j):
+        return [g for k, g in enumerate(groups) if k not in (i, j)] + [groups[i] + groups[j]]
+    order = [int(u) for u in np.argsort(-(rows + cols), kind="stable") if u not in (n - 1, 20)]
+    end, groups = [n - 1], [[u] for u in order[:classes - 1]]
+    for u in order[classes - 1:]:
+        groups.append([u])
+        every = [end, *groups]
+        table = np.array([[pairs[np.ix_(a, b)].sum() for b in every] for a in every])
+        loss = merge_losses(table, np.array([rows[g].sum() for g in every]), np.array([cols[g].sum() for g in every]))
+        for i in range(1, len(every)):
+            for j in range(1, i):
+                assert loss[i, j] == pytest.approx(information(every) - information(merged(every, i, j)), abs=1e-7)
+        _, i, j = min((loss[i + 1, j + 1], i, j) for i in range(len(groups)) for j in range(i))
+        groups = merged(groups, i, j)
+    cls = merge_units(pairs, classes)
+    assert {frozenset(g) for g in groups} | {frozenset(end)} == {frozenset(np.flatnonzero((cls == c) & (np.arange(n) != 20)).tolist()) for c in range(classes)}
+    onehot = np.eye(classes)[cls]
+    paths = merge_paths(onehot.T @ pairs @ onehot)
+    assert paths[-1] == "" and len(set(paths[:-1])) == classes - 1 and sum(2.0 ** -len(p) for p in paths[:-1]) == 1.0
+
+
+def test_fit_starts_from_merges(spark, monkeypatch):
+    """With no later step, the classes are those of Brown's merges, whose first words are classes of their own."""
+    import tidewater.llm.brown_lm as lm
+    rng = np.random.default_rng(1)
+    texts = [(" ".join(f"w{k}" for k in rng.zipf(1.3, 200) if k < 2000),) for _ in range(200)]
+    monkeypatch.setattr(lm, "SWEEPS", 0)
+    monkeypatch.setattr(lm, "_exchange_all", lambda texts, key, cls, ending, table: (cls, table))
+    model, _ = lm.fit_brown(spark.createDataFrame(texts, "txt string"))
+    top = sorted(Counter(w for t, in texts for w in t.split()).items(), key=lambda x: -x[1])[:10]
+    memo, cls = lm._WordKeys(), dict(zip(model.hot_key.tolist(), model.hot_cls.tolist()))
+    assert len({cls[memo[w.encode()]] for w, _ in top}) > 5  # few of the most frequent are merged with one another
+    assert len(set(model.paths)) == lm.CLASSES
+
+
 def test_best_class_raises_the_likelihood_most():
     """Against moving the word to every class and counting anew."""
     from tidewater.llm.brown_lm import CLASSES, LAST, _table_likelihood, best_class

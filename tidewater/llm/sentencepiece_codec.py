@@ -3,14 +3,14 @@
 The model file is a protobuf; its pieces, scores, kinds and normaliser settings are read from the wire format, and the
 same tokenizer is set up: normaliser, space marker, unigram scores (or merges in score order for a BPE model) and byte
 fallback. No piece of such a model holds a marker behind another character, so a text falls into words that
-encode and decode by themselves; a task encodes each distinct word once, in batches on several threads, and puts the
-texts together from them. Every distinct word is also encoded by sentencepiece, and the two must agree.
+encode and decode by themselves; numpy finds the words of all texts of a slice, Arrow numbers the distinct ones, and a task encodes and decodes
+each once, many in one string and in batches on several threads, and puts the texts together from them. Every distinct word is also encoded by sentencepiece, and
+the two must agree.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -26,6 +26,7 @@ MARKER = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 MAX_WORDS = 500_000  # distinct words a task keeps
+JOINED = 128  # words in one string
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -89,6 +90,12 @@ class SentencePieceModel:
     def splits_at_markers(self) -> bool:
         return self.dummy_prefix and self.escape_spaces and not any(MARKER in p.lstrip(MARKER) for p, _, k in self.pieces if k in (NORMAL, USER_DEFINED))
 
+    @property
+    def joins_words(self) -> bool:
+        """Whether a string of several words gives the ids of each: merges never cross a marker, and each word's first piece begins with it."""
+        kinds = {k for _, _, k in self.pieces}
+        return self.splits_at_markers and self.kind == BPE and USER_DEFINED not in kinds and any(p == MARKER and k == NORMAL for p, _, k in self.pieces)
+
     def normalizer(self):
         from tokenizers import Regex, normalizers
 
@@ -133,56 +140,108 @@ class Codec:
         self.model, self.threads = SentencePieceModel.parse(data), threads
         self.normalizer, self.tokenizer = self.model.normalizer(), self.model.tokenizer()
         self.reference = sentencepiece.SentencePieceProcessor(model_proto=data)
-        self.split = re.compile(f"{MARKER}+[^{MARKER}]*|[^{MARKER}]+").findall if self.model.splits_at_markers else (lambda s: [s] if s else [])
-        self.words: dict[str, int] = {}
-        self.sizes: list[int] = []
+        self.by_word, self.joins = self.model.splits_at_markers, self.model.joins_words
+        self.begins = np.array([p.startswith(MARKER) for p, _, _ in self.model.pieces], dtype=bool)  # a word, in a string of several
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words: dict[bytes, int] = {}  # a word with spaces for its markers
         self.flat = np.empty(0, dtype=np.int32)  # ids of all words, one after the other
-        self.decoded: list[str] = []
-        self.agrees: list[bool] = []
+        self.sizes = np.empty(0, dtype=np.int64)
+        self.agrees = np.empty(0, dtype=bool)
+        self.decoded: dict[int, str] = {}  # of words that decode to something else
 
-    def _learn(self, words: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        spaced = [(w[1:] if self.model.dummy_prefix else w).replace(MARKER, " ") if MARKER in w else w for w in words]
+    def _single(self, words: list[bytes]) -> None:
+        """Learn words one by one."""
+        texts = [w.decode() for w in words]
+        normal = [t.replace(" ", MARKER) for t in texts] if self.by_word else texts
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(normal, add_special_tokens=False)]
+        spaced = [(w[1:] if self.model.dummy_prefix else w).replace(MARKER, " ") for w in normal]
         theirs = self.reference.encode(spaced, num_threads=self.threads)
-        if MARKER in words:  # by itself only at the end of a text; sentencepiece gives an empty text no marker
-            theirs[words.index(MARKER)] = [self.reference.piece_to_id(MARKER)]
-        agrees = [a == b for a, b in zip(ids, theirs, strict=True)]
-        self.words.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words)), strict=True))
-        self.flat = np.concatenate((self.flat, np.array([i for x in ids for i in x], dtype=np.int32)))
-        self.sizes += map(len, ids)
-        self.agrees += agrees
-        self.decoded += self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        if MARKER in normal:  # by itself only at the end of a text; sentencepiece gives an empty text no marker
+            theirs[normal.index(MARKER)] = [self.reference.piece_to_id(MARKER)]
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        first = len(self.words)
+        self.decoded |= {first + k: d for k, (d, n) in enumerate(zip(decoded, normal, strict=True)) if d != n.replace(MARKER, " ")}
+        self._add(words, np.array([i for x in ids for i in x], dtype=np.int32), list(map(len, ids)), [x == y for x, y in zip(ids, theirs, strict=True)])
+
+    def _add(self, words: list[bytes], ids: np.ndarray, sizes: list[int] | np.ndarray, agrees: list[bool]) -> None:
+        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
+        self.flat = np.concatenate((self.flat, ids))
+        self.sizes = np.concatenate((self.sizes, np.asarray(sizes, dtype=np.int64)))
+        self.agrees = np.concatenate((self.agrees, np.asarray(agrees, dtype=bool)))
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Learn new words, many in one string where no merge crosses a marker: its ids fall apart again before those that begin with one. A string on which the
+        libraries differ, or that doesn't decode to itself, is learnt word by word."""
+        plain = [w for w in words if len(w) > 1 and w[1] != 32] if self.joins else []  # one marker and more
+        parts = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        strings = [b"".join(p).decode() for p in parts]
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast([t.replace(" ", MARKER) for t in strings], add_special_tokens=False)]
+        theirs = self.reference.encode([t[1:] for t in strings], num_threads=self.threads)
+        decoded = self.tokenizer.decode_batch(ids, skip_special_tokens=False)
+        known, arrays, sizes = [], [np.empty(0, dtype=np.int32)], [np.empty(0, dtype=np.int64)]
+        for part, text, own, other, back in zip(parts, strings, ids, theirs, decoded, strict=True):
+            flat = np.array(own, dtype=np.int32)
+            starts = np.flatnonzero(self.begins[flat])
+            if own == other and back == text and len(starts) == len(part):
+                known += part
+                arrays.append(flat)
+                sizes.append(np.diff(starts, append=len(flat)))
+        self._add(known, np.concatenate(arrays), np.concatenate(sizes), [True] * len(known))
+        rest = [w for w in words if w not in self.words] if len(known) < len(words) else []
+        if rest:
+            self._single(rest)
 
     def run(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], list[bool], list[bool]]:
         """All ids one after the other and, per text: how many, the decoded text, whether that is the normalised text
         again, whether both libraries agree."""
         if len(self.words) > MAX_WORDS:
-            self.words, self.sizes, self.decoded, self.agrees = {}, [], [], []
-            self.flat = self.flat[:0]
+            self._forget()
+        lead = 1 if self.model.dummy_prefix else 0
         normal = [self._normal(t) for t in texts]
-        cut = [self.split(n) for n in normal]
-        new = set().union(*cut).difference(self.words)
+        _, offsets, data = pa.array([t.encode() for t in normal], pa.large_binary()).buffers()
+        offsets = np.frombuffer(offsets, dtype=np.int64)[: len(texts) + 1]
+        data = np.frombuffer(data or b"", dtype=np.uint8)[: offsets[-1]]
+        first = np.zeros(len(data), dtype=bool)  # of a word: spaces and what follows them
+        if self.by_word:
+            blank = data == 32
+            first[1:] = blank[1:] & ~blank[:-1]
+        first[offsets[:-1][np.diff(offsets) > 0]] = True
+        starts = np.flatnonzero(first)
+        bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
+        spots = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]).dictionary_encode()
+        distinct = spots.dictionary.to_pylist()
+        new = [w for w in distinct if w not in self.words]
         if new:
-            self._learn(list(new))
-        at = [list(map(self.words.__getitem__, words)) for words in cut]
-        flat = self.flat
-        size = np.array(self.sizes, dtype=np.int64)
-        begin = np.cumsum(size) - size
-        every = np.array([k for a in at for k in a], dtype=np.int64)
-        each = size[every]
-        ids = flat[np.repeat(begin[every] - (np.cumsum(each) - each), each) + np.arange(each.sum())]
-        ends = np.concatenate(([0], np.cumsum(each)))[np.cumsum([0] + [len(a) for a in at])]
-        lead = 1 if self.model.dummy_prefix else 0
-        decoded = ["".join(map(self.decoded.__getitem__, a))[lead:] for a in at]
-        same = [d == n[lead:].replace(MARKER, " ") for d, n in zip(decoded, normal, strict=True)]
-        odd = {k for k, ok in enumerate(self.agrees) if not ok}
-        return ids, np.diff(ends), decoded, same, [odd.isdisjoint(a) for a in at]
+            self._learn(new)
+        known = np.fromiter(map(self.words.__getitem__, distinct), dtype=np.int64, count=len(distinct))
+        word = known[spots.indices.to_numpy()]
+        each = self.sizes[word]
+        ends = np.concatenate(([0], np.cumsum(each)))
+        begin = (np.cumsum(self.sizes) - self.sizes)[word]
+        ids = self.flat[np.repeat(begin - ends[:-1], each) + np.arange(ends[-1])]
+        cuts = np.searchsorted(starts, offsets)
+        some = lambda bad: np.diff(np.concatenate(([0], np.cumsum(bad[word])))[cuts]) > 0
+        decoded = [t[lead:] if self.by_word else t.replace(MARKER, " ")[lead:] for t in normal]  # of texts all of whose words decode to themselves
+        same, other = [True] * len(texts), np.zeros(len(self.words), dtype=bool)
+        if self.decoded:
+            other[list(self.decoded)] = True
+            spoken = dict(zip(known.tolist(), distinct, strict=True))
+            speak = lambda k: self.decoded[k] if k in self.decoded else spoken[k].decode().replace(MARKER, " ")
+            for i in np.flatnonzero(some(other)):
+                text = "".join(map(speak, word[cuts[i] : cuts[i + 1]].tolist()))[lead:]
+                same[i], decoded[i] = text == decoded[i], text
+        return ids, np.diff(ends[cuts]), decoded, same, (~some(~self.agrees)).tolist()
 
     def _normal(self, text: str) -> str:
+        """The normalised text; if it falls into words, with spaces for its markers."""
         m = self.model
         if m.charsmap or m.squeeze_spaces or not (m.dummy_prefix and m.escape_spaces):
-            return self.normalizer.normalize_str(text)
-        return MARKER + text.replace(" ", MARKER) if text else text  # the same, without leaving Python
+            text = self.normalizer.normalize_str(text)
+        elif text:
+            text = MARKER + text.replace(" ", MARKER)  # the same, without leaving Python
+        return text.replace(MARKER, " ") if self.by_word else text
 
 
 def sentencepiece_codec(docs: DataFrame, model_file: str, keep: list[str], text_col: str = "text", threads: int = 2) -> DataFrame:

@@ -211,7 +211,7 @@ class Codec:
         starts = np.flatnonzero(first)
         bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
         spots = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]).dictionary_encode()
-        distinct = spots.dictionary.to_pylist()
+        distinct = spots.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [w for w in distinct if w not in self.words]
         if new:
             self._learn(new)

@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 MAX_HELD = 400_000  # parts a worker keeps (about 80 MB)
-JOINED, CALLED = 4096, 8  # parts in one string, strings in one call of the library
+JOINED, CALLED = 128, 256  # parts in one string, strings in one call of the library
 
 # fixed values: the settings for which words and parts are independent, and their end mark
 WORD_SETTINGS = {
@@ -26,6 +26,11 @@ WORD_SETTINGS = {
         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
 }
 WORD_END = "</w>"
+# the same for a string of lower-cased parts in NFC, with a blank between them
+PART_SETTINGS = {
+    "normalizer": None, "truncation": None, "padding": None,
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}, WORD_SETTINGS["pre_tokenizer"]["pretokenizers"][1]]},
+}
 BLANKS = b" \t\n\x0b\x0c\r"
 
 # classes of the characters below U+0180 (all in NFC, all but the dotted capital I lower-cased in place): blanks, letters, digits, others
@@ -46,7 +51,10 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
 
 
 ONE_BYTE, TWO_BYTES = _classes()
-_LATIN = re.compile("[\x00-\x7f¡-įı-ſ]*").fullmatch
+# a part of such characters that the tokenizer's pattern takes as one
+_RANGE = {kind: "".join(f"\\x{{{c:x}}}" for c in range(0x180) if (ONE_BYTE[c] if c < 128 else TWO_BYTES[(c >> 6) - 2, c & 63] if c > 0xA0 else ODD) == kind)
+          for kind in (LETTER, DIGIT, OTHER)}
+LATIN_PART = rf"\A(?:'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[{_RANGE[LETTER]}]+|[{_RANGE[DIGIT]}]|[{_RANGE[OTHER]}]+)\z"
 
 
 def part_starts(data: np.ndarray, text_starts: np.ndarray, specials: list[bytes]) -> np.ndarray:
@@ -102,6 +110,7 @@ class WordIds:
         model, self.specials = told["model"], [t["content"].encode() for t in told.get("added_tokens", [])]
         self.by_part = (all(told.get(k) == v for k, v in WORD_SETTINGS.items()) and model.get("end_of_word_suffix") == WORD_END and not model.get("dropout")
                         and not any(s.split() != [s] or t["lstrip"] or t["rstrip"] for s, t in zip(self.specials, told.get("added_tokens", []))))
+        self.joined = Tokenizer.from_str(json.dumps(told | PART_SETTINGS)) if self.by_part else self.tokenizer
         self.is_end = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
         self.is_end[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
         self.parts: dict[bytes, bytes] = {}
@@ -115,27 +124,28 @@ class WordIds:
 
     def _learn(self, parts: list[bytes]) -> None:
         """Ids of parts, without the blanks at their ends and, for Latin ones, in lower case."""
-        bare, latin = [], set()
-        for p in parts:
-            name = p.strip(BLANKS)
-            if _LATIN(name.decode()):
-                low = name.lower()
-                if not any(s in low for s in self.specials):
-                    name = low
-                    latin.add(low)
-            bare.append(name)
-        found, single = {b"": b""}, list(latin - {b""})
-        strings = [b" ".join(single[i : i + JOINED]).decode() for i in range(0, len(single), JOINED)]
-        called = (e for i in range(0, len(strings), CALLED) for e in self.tokenizer.encode_batch_fast(strings[i : i + CALLED], add_special_tokens=False))
+        bare = pc.utf8_trim(pa.array(parts, pa.large_binary()).cast(pa.large_string()), BLANKS.decode())
+        low = pc.utf8_lower(bare)
+        latin = pc.match_substring_regex(bare, LATIN_PART)
+        for s in self.specials:
+            for form in (bare, low):
+                latin = pc.and_(latin, pc.invert(pc.match_substring(form, s.decode())))
+        names = pc.if_else(latin, low, bare).dictionary_encode()
+        single = pc.unique(low.filter(latin)).to_numpy(zero_copy_only=False).tolist()
+        found = {"": b""}
+        strings = [" ".join(single[i : i + JOINED]) for i in range(0, len(single), JOINED)]
+        called = (e for i in range(0, len(strings), CALLED) for e in self.joined.encode_batch_fast(strings[i : i + CALLED], add_special_tokens=False))
         for k, encoded in enumerate(called):
             ids, some = np.array(encoded.ids, dtype=self.kind), single[k * JOINED : (k + 1) * JOINED]
             ends = np.flatnonzero(self.is_end[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
-                data, cuts = ids.tobytes(), [0, *(ends * self.width).tolist()]
-                found.update((b, data[i:j]) for b, i, j in zip(some, cuts, cuts[1:], strict=False))
-        rest = list(set(bare).difference(found))
-        found.update(zip(rest, self._whole([b.decode() for b in rest]), strict=True))
-        self.parts.update(zip(parts, map(found.__getitem__, bare), strict=True))
+                data, cuts = ids.tobytes(), (ends * self.width).tolist()
+                found.update(zip(some, map(data.__getitem__, map(slice, [0, *cuts], cuts)), strict=True))
+        distinct = names.dictionary.to_numpy(zero_copy_only=False).tolist()
+        rest = [n for n in distinct if n not in found]
+        found.update(zip(rest, self._whole(rest), strict=True))
+        own = list(map(found.__getitem__, distinct))
+        self.parts.update(zip(parts, map(own.__getitem__, names.indices.to_numpy().tolist()), strict=True))
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (no nulls) one after the other, and how many each text has."""
@@ -154,13 +164,14 @@ class WordIds:
         starts = part_starts(data, filled, self.specials)
         bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
         spots = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]).dictionary_encode()
-        distinct = spots.dictionary.to_pylist()
+        distinct = spots.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.parts) > MAX_HELD:
             self.parts = {}
-        new = [p for p in distinct if p not in self.parts]
+        ids = list(map(self.parts.get, distinct))
+        new = [p for p, known in zip(distinct, ids, strict=True) if known is None]
         if new:
             self._learn(new)
-        ids = list(map(self.parts.__getitem__, distinct))
+            ids = list(map(self.parts.__getitem__, distinct))
         flat = np.frombuffer(b"".join(ids), dtype=self.kind)
         size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // self.width
         begin = np.cumsum(size) - size

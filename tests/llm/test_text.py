@@ -305,6 +305,21 @@ def test_exchange_raises_the_likelihood():
     assert max(pure) == 1
 
 
+def test_exchange_ends_where_no_move_raises_the_likelihood():
+    """Against moving every unit to every class and counting anew; the table has units before themselves and small classes."""
+    from tidewater.llm.brown_lm import SWEEPS, _table_likelihood
+    for seed in range(6):
+        rng = np.random.default_rng(seed)
+        pairs = rng.poisson(rng.gamma(0.15, 25.0, (24, 24))).astype(float)
+        cls = exchange(pairs, 7, SWEEPS)
+
+        def likelihood(of):
+            onehot = np.eye(7)[of]
+            return _table_likelihood(onehot.T @ pairs @ onehot)
+        moves = [np.where(np.arange(24) == u, c, cls) for u in range(23) for c in range(6)]
+        assert max(map(likelihood, moves)) <= likelihood(cls) + 1e-5
+
+
 def test_merges_lose_least():
     """Brown's merges against counting the information of every possible merge anew."""
     from tidewater.llm.brown_lm import merge_losses, merge_paths, merge_units
@@ -415,6 +430,79 @@ def test_brown_scores_equal_plain_loops(spark, sf_dir):
         assert got[i].score == pytest.approx(total, rel=1e-9)
 
 
+def test_best_classes_are_those_word_by_word():
+    from tidewater.llm.brown_lm import CLASSES, LAST, best_class, best_classes
+    rng = np.random.default_rng(3)
+    cls = rng.integers(0, 5, 60)  # most classes stay empty
+    cls[0] = LAST
+    text = rng.zipf(1.2, 20000)
+    text = text[text < 60] * rng.integers(0, 2, (text < 60).sum())  # some words before themselves
+    table, beside = np.zeros((CLASSES, CLASSES)), np.zeros((60, 2, CLASSES))
+    np.add.at(table, (cls[text[:-1]], cls[text[1:]]), 1)
+    np.add.at(beside, (text[1:], 0, cls[text[:-1]]), 1)
+    np.add.at(beside, (text[:-1], 1, cls[text[1:]]), 1)
+    words = np.arange(1, 60)
+    got = best_classes(table, cls[words], beside[words, 0], beside[words, 1])
+    assert got.tolist() == [best_class(table, int(cls[w]), beside[w, 0], beside[w, 1]) for w in words] and (got != cls[words]).any()
+    assert best_classes(table, cls[:0], beside[:0, 0], beside[:0, 1]).tolist() == []
+
+
+def test_every_rare_word_is_merged_by_its_own_contexts(spark, monkeypatch):
+    """Words of two kinds that take turns and have one ending: rare ones, too, are told apart; scores against plain loops."""
+    from tidewater.llm import brown_lm as b
+    monkeypatch.setattr(b, "HOT", 2e-4)
+    rng = np.random.default_rng(4)
+    texts = []
+    for _ in range(300):
+        n = rng.zipf(1.15, 100)
+        n = np.where(n < 3000, n, rng.integers(3000, 9000, 100))
+        texts.append(" ".join(f"{'ab'[k % 2]}{x}Ing" for k, x in enumerate(n)))
+    rows = [(k, t) for k, t in enumerate(texts)] + [(900, None), (901, "a5ing new one a7000ing b8000ing"), (906, "unheard"), (3, texts[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    training = F.col("doc_id") % 5 != 1
+    train = [(t or "").lower().encode().split() for i, t in rows if i % 5 != 1]
+    model, counts = b.fit_brown(docs.where(training).select(F.coalesce("text", F.lit("")).alias("txt")))
+    got = {r.key: r for r in b.merge_rare(b._class_texts(docs, training, model, ["doc_id"], "text"), model).collect()}
+    memo, count = b._WordKeys(), Counter(w for ws in train for w in ws)
+    hot = dict(zip(model.hot_key.tolist(), model.hot_cls.tolist()))
+    rare = [w for w in count if memo[w] not in hot]
+    assert len(rare) > 1000 and {k: r.n for k, r in got.items()} == {memo[w]: count[w] for w in rare}
+    by_ending = lambda w: int(model.ending_cls[memo[w] & 0xFF])
+    first, beside = lambda w: hot.get(memo[w], by_ending(w)), {w: np.zeros((2, b.CLASSES)) for w in rare}
+    for ws in train:
+        for k, w in enumerate(ws):
+            if w in beside:
+                beside[w][0][first(ws[k - 1]) if k else b.LAST] += 1
+                beside[w][1][first(ws[k + 1]) if k + 1 < len(ws) else b.LAST] += 1
+    assert {k: r.cls for k, r in got.items()} == {memo[w]: b.best_class(model.table, by_ending(w), *beside[w]) for w in rare}
+    kinds = [Counter(got[memo[w]].cls for w in rare if w.startswith(kind)) for kind in (b"a", b"b")]
+    assert len({by_ending(w) for w in rare}) == 1 and sum((kinds[0] & kinds[1]).values()) < 0.05 * len(rare)  # nearly all are told apart
+
+    cls = lambda w: got[memo[w]].cls if memo[w] in got else first(w)
+    table = np.zeros((b.CLASSES, b.CLASSES))
+    for ws in train:
+        seq = [b.LAST, *map(cls, ws), b.LAST]
+        np.add.at(table, (seq[:-1], seq[1:]), 1)
+    size, once = table.sum(axis=0), Counter(by_ending(w) for w, n in count.items() if n == 1)
+    prior, total = (size + 1) / (size.sum() + b.CLASSES), sum(count.values()) + len(train)
+    unknown = [min((once[c] + 0.5) / (size[c] + 1), 0.5) for c in range(b.CLASSES)]
+    before = {r.doc_id: r.score for r in b.score_brown(docs, model, counts, ["doc_id"]).collect()}
+    out = b.brown_scores(docs, training, ["doc_id"]).collect()
+    assert sorted(r.doc_id for r in out) == sorted(i for i, _ in rows)
+    for r in out:
+        ws, want, last = (dict(rows)[r.doc_id] or "").lower().encode().split(), 0.0, b.LAST
+        for w in [*ws, None]:
+            c, n = (b.LAST, len(train)) if w is None else (cls(w), count[w])
+            want += math.log10((table[last, c] + b.CLASSES * prior[c]) / (table[last].sum() + b.CLASSES))
+            want += math.log10(unknown[c]) if not n else math.log10((1 - unknown[c]) / max(size[c], 1) * n)
+            last = c
+        assert r.score == pytest.approx(want, rel=1e-9)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws) + 1, sum(count[w] > 0 for w in ws) + 1, total)
+        assert r.base_score == pytest.approx(sum(math.log10((n + 1) / (total + len(count) + 2)) for n in [len(train), *(count[w] for w in ws)]), rel=1e-9)
+    held = [r for r in out if r.doc_id % 5 == 1 and r.doc_id < 900]
+    assert sum(r.score for r in held) > sum(before[r.doc_id] for r in held)
+
+
 def test_brown_odd_rows(odd_docs, no_docs):
     assert brown_scores(no_docs, F.lit(True), ["doc_id"]).count() == 0
     out = brown_scores(odd_docs, F.col("doc_id") < 6, ["doc_id", "row"]).collect()
